@@ -35,3 +35,62 @@ TOPIC_NAMES = """
     FROM (SELECT p_partkey, lower(p_type) || '.' || replace(p_name, ' ', '-') || '-' || CAST(p_partkey AS VARCHAR) AS b
           FROM part)
 """
+
+TASKS = """
+    SELECT 'task-' || CAST(s_suppkey AS VARCHAR) AS task_id,
+           'arn:task:' || CAST(s_suppkey AS VARCHAR) AS arn,
+           'arn:ep:' || CAST(s_nationkey AS VARCHAR) AS source_arn,
+           'arn:ep:' || CAST((s_nationkey + 7) % 25 AS VARCHAR) AS target_arn,
+           CASE s_suppkey % 3 WHEN 0 THEN 'running' WHEN 1 THEN 'stopped' ELSE 'failed' END AS status,
+           CASE WHEN s_suppkey % 2 = 0 THEN 'cdc' ELSE 'full-load-and-cdc' END AS migration_type,
+           'arn:ri:' || CAST(s_suppkey % 4 AS VARCHAR) AS instance_arn,
+           '{"TargetMetadata":{"ParallelLoadThreads":' || CAST(s_suppkey % 8 AS VARCHAR) || '}}' AS settings,
+           '{"rules":[{"rule-id":"' || CAST(s_suppkey AS VARCHAR) || '"}]}' AS mappings,
+           TIMESTAMP '2024-01-01 00:00:00' + to_hours(s_suppkey) AS created,
+           TIMESTAMP '2024-01-01 00:00:00' + to_hours(s_suppkey) + INTERVAL 1 DAY AS started
+    FROM supplier
+"""
+
+ENDPOINTS = """
+    SELECT 'arn:ep:' || CAST(n_nationkey AS VARCHAR) AS arn,
+           lower(n_name) || '-ep' AS id,
+           CASE WHEN n_nationkey % 2 = 0 THEN 'SOURCE' ELSE 'TARGET' END AS type,
+           CASE n_regionkey WHEN 0 THEN 'mysql' WHEN 1 THEN 'postgres' WHEN 2 THEN 'aurora'
+                WHEN 3 THEN 'redshift' ELSE 'mariadb' END AS engine,
+           upper(CASE n_regionkey WHEN 0 THEN 'mysql' WHEN 1 THEN 'postgres' WHEN 2 THEN 'aurora'
+                WHEN 3 THEN 'redshift' ELSE 'mariadb' END) AS engine_name,
+           'active' AS status,
+           CASE WHEN n_nationkey % 3 = 0 THEN '' ELSE lower(n_name) || '_db' END AS database,
+           'db' || CAST(n_regionkey AS VARCHAR) || '.example' AS server
+    FROM nation
+"""
+
+TABLE_STATS = """
+    SELECT 'arn:task:' || CAST((l_suppkey // 2) * 2 AS VARCHAR) AS task_arn,
+           'sch' || CAST(l_partkey % 3 AS VARCHAR) AS schema,
+           CASE l_linenumber % 4
+                WHEN 0 THEN 'order_line_' || CAST(year(l_shipdate) AS VARCHAR)
+                WHEN 1 THEN 'order_line_p' || lpad(CAST(month(l_shipdate) AS VARCHAR), 2, '0') || '_'
+                            || CAST(year(l_shipdate) AS VARCHAR)
+                WHEN 2 THEN 'returns_' || lower(l_returnflag) || '_default'
+                ELSE 'lineitem2_' || CAST(l_orderkey % 7 AS VARCHAR) END AS "table",
+           CAST(sum(CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS inserts,
+           CAST(sum(CASE WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS updates,
+           CAST(sum(CASE WHEN l_returnflag = 'A' AND l_linestatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS deletes,
+           min(l_orderkey * 10 + l_linenumber) AS seen_no
+    FROM lineitem GROUP BY 1, 2, 3
+"""
+
+PHYSICAL_NAMES = """
+    SELECT CASE p_partkey % 8
+        WHEN 0 THEN b || '_' || CAST(1990 + p_size AS VARCHAR)
+        WHEN 1 THEN b || '_p' || CAST(p_size AS VARCHAR) || '_default'
+        WHEN 2 THEN b || '_default_p' || CAST(p_size % 100 AS VARCHAR)
+        WHEN 3 THEN b || '_' || CAST(200000 + p_partkey % 1000 AS VARCHAR)
+        WHEN 4 THEN b || '_p' || lpad(CAST(p_size AS VARCHAR), 3, '0')
+        WHEN 5 THEN b || '_' || CAST(2020 + p_size % 5 AS VARCHAR) || '_' || lpad(CAST(p_size % 12 + 1 AS VARCHAR), 2, '0')
+                    || '_' || lpad(CAST(p_size % 28 + 1 AS VARCHAR), 2, '0')
+        WHEN 6 THEN upper(b) || '_2020'
+        ELSE b || '_' || CAST(p_partkey AS VARCHAR) END AS "table"
+    FROM (SELECT *, replace(p_name, ' ', '_') AS b FROM part)
+"""

@@ -312,3 +312,27 @@ def item_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("time"),
         F.col("o_orderkey").alias("order_key"),
     )
+
+
+def physical_table_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Physical table names in many partition styles (and some that match
+    no rule: upper case, five-digit suffixes)."""
+    p = read_table(spark, sf_dir, "part")
+    k, sz = F.col("p_partkey"), F.col("p_size")
+    b = F.regexp_replace("p_name", " ", "_")
+    r = k % 8
+    name = (
+        F.when(r == 0, F.concat(b, F.lit("_"), _s(1990 + sz)))
+        .when(r == 1, F.concat(b, F.lit("_p"), _s(sz), F.lit("_default")))
+        .when(r == 2, F.concat(b, F.lit("_default_p"), _s(sz % 100)))
+        .when(r == 3, F.concat(b, F.lit("_"), _s(200000 + k % 1000)))
+        .when(r == 4, F.concat(b, F.lit("_p"), F.lpad(_s(sz), 3, "0")))
+        .when(
+            r == 5,
+            F.concat(b, F.lit("_"), _s(2020 + sz % 5), F.lit("_"), F.lpad(_s(sz % 12 + 1), 2, "0"), F.lit("_"),
+                     F.lpad(_s(sz % 28 + 1), 2, "0")),
+        )
+        .when(r == 6, F.concat(F.upper(b), F.lit("_2020")))
+        .otherwise(F.concat(b, F.lit("_"), _s(k)))
+    )
+    return p.select(name.alias("table"))
