@@ -94,3 +94,30 @@ PHYSICAL_NAMES = """
         ELSE b || '_' || CAST(p_partkey AS VARCHAR) END AS "table"
     FROM (SELECT *, replace(p_name, ' ', '_') AS b FROM part)
 """
+
+SNAPSHOTS = """
+    SELECT 'cluster-' || CAST(o_custkey % 5 AS VARCHAR) AS cluster,
+           CASE WHEN o_orderkey % 7 = 0 THEN 'manual-' || CAST(o_orderkey AS VARCHAR)
+                ELSE 'rs:cluster-' || CAST(o_custkey % 5 AS VARCHAR) || '-'
+                     || strftime(o_orderdate + to_seconds(o_orderkey % 86400), '%Y-%m-%d-%H-%M-%S') || '-'
+                     || lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0') END AS identifier,
+           o_orderdate + to_seconds(o_orderkey % 86400) AS create_time
+    FROM orders
+"""
+
+CLUSTERS = """
+    SELECT CASE WHEN c_custkey % 4 = 0
+                THEN 'bi-snapshot-' || lpad(CAST(19900000 + c_custkey AS VARCHAR), 8, '0') || 't'
+                     || lpad(CAST(c_custkey % 240000 AS VARCHAR), 6, '0')
+                ELSE 'cluster-' || lower(c_mktsegment) || '-' || CAST(c_custkey AS VARCHAR) END AS identifier
+    FROM customer
+"""
+
+CATALOGUE = """
+    SELECT 'dw' AS database,
+           ['ods', 'stg', 'dim', 'dwd', 'dws', 'met', 'ads', 'public', 'temp'][p_size % 9 + 1] AS schema,
+           CASE WHEN p_size % 11 = 0 THEN 'pg_' ELSE '' END || replace(p_name, ' ', '_') || '_'
+               || CAST(p_partkey AS VARCHAR) AS "table",
+           CASE WHEN p_partkey % 5 = 0 THEN 'VIEW' ELSE 'TABLE' END AS type
+    FROM part
+"""
