@@ -121,3 +121,33 @@ CATALOGUE = """
            CASE WHEN p_partkey % 5 = 0 THEN 'VIEW' ELSE 'TABLE' END AS type
     FROM part
 """
+
+QUERY_HISTORY = """
+    SELECT event_id AS query_id,
+           CAST(CASE WHEN event_id % 4 = 0 THEN 102 WHEN event_id % 4 = 1 THEN 109 ELSE user_id END AS INTEGER) AS user_id,
+           ts AS start_time,
+           CAST(trunc(value * 60000000) AS BIGINT) AS elapsed_us,
+           CASE WHEN event_type IN ('click', 'view')
+                THEN '-- MBI:' || event_type || CAST(user_id AS VARCHAR) || ' query: q' || CAST(event_id AS VARCHAR)
+                     || ' select * from t'
+                WHEN event_type = 'error' THEN repeat('x', 70) || ' -- MBI:late'
+                ELSE 'select 1 /* ' || event_type || ' */' END AS query_text
+    FROM events
+"""
+
+TABLE_INFO = """
+    SELECT 's' || CAST(p_size % 4 AS VARCHAR) AS schema,
+           replace(p_name, ' ', '_') || '_' || CAST(p_partkey AS VARCHAR) AS "table",
+           CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE round(p_retailprice % 97, 0) END AS benefit
+    FROM part
+"""
+
+SLOTS = """
+    SELECT CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_id % 5 = 1 THEN ''
+                ELSE 'db' || CAST(user_id % 7 AS VARCHAR) END AS database,
+           event_id % 2 = 0 AS active,
+           'slot_' || CAST(event_id AS VARCHAR) AS slot_name,
+           hex(event_id // 7) || '/' || hex((event_id * 1000003) % 4294967296) AS restart_lsn,
+           hex((event_id * 3) // 7 + 16) || '/' || hex((event_id * 7919) % 4294967296) AS current_lsn
+    FROM events
+"""

@@ -35,6 +35,7 @@ def register(name: str, sql: str | None = None):
 def _load_all() -> None:
     from pipewatch.plans import (  # noqa: F401
         catalog_audits,
+        history_audits,
         stats_audits,
         topic_audits,
     )
