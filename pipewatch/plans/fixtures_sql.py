@@ -151,3 +151,19 @@ SLOTS = """
            hex((event_id * 3) // 7 + 16) || '/' || hex((event_id * 7919) % 4294967296) AS current_lsn
     FROM events
 """
+
+CDC_SOURCE = """
+    SELECT *,
+           CASE o_orderkey % 3 WHEN 0 THEN 'I' WHEN 1 THEN 'U' ELSE 'D' END AS op,
+           strftime(o_orderdate + to_seconds(o_orderkey % 3600), '%Y-%m-%d %H:%M:%S') AS commit_timestamp,
+           'tx' || CAST(o_orderkey % 1000 AS VARCHAR) AS cdc_transact_id,
+           strftime(o_orderdate + to_hours(o_orderkey % 24), '%Y/%m/%d/%H') AS event_time
+    FROM orders
+"""
+
+LOAD_LOG = """
+    SELECT 'load_' || CAST(o_custkey % 50 AS VARCHAR) AS label,
+           CASE o_orderkey % 3 WHEN 0 THEN 'FINISHED' WHEN 1 THEN 'LOADING' ELSE 'CANCELLED' END AS state,
+           o_orderdate + to_seconds(o_orderkey) AS create_time
+    FROM orders
+"""

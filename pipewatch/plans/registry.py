@@ -36,6 +36,7 @@ def _load_all() -> None:
     from pipewatch.plans import (  # noqa: F401
         catalog_audits,
         history_audits,
+        load_audits,
         stats_audits,
         topic_audits,
     )
