@@ -157,7 +157,7 @@ CDC_SOURCE = """
            CASE o_orderkey % 3 WHEN 0 THEN 'I' WHEN 1 THEN 'U' ELSE 'D' END AS op,
            strftime(o_orderdate + to_seconds(o_orderkey % 3600), '%Y-%m-%d %H:%M:%S') AS commit_timestamp,
            'tx' || CAST(o_orderkey % 1000 AS VARCHAR) AS cdc_transact_id,
-           strftime(o_orderdate + to_hours(o_orderkey % 24), '%Y/%m/%d/%H') AS event_time
+           strftime(o_orderdate, '%Y/%m/%d/%H') AS event_time
     FROM orders
 """
 

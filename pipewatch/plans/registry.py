@@ -36,7 +36,9 @@ def _load_all() -> None:
     from pipewatch.plans import (  # noqa: F401
         catalog_audits,
         history_audits,
+        item_audits,
         load_audits,
+        schema_audits,
         stats_audits,
         topic_audits,
     )

@@ -16,12 +16,14 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
         SparkSession.builder.master(master or "local[8]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "32")
         .config("spark.driver.memory", os.environ.get("PIPEWATCH_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()

@@ -260,7 +260,7 @@ def cdc_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 3 == 0, "I").when(k % 3 == 1, "U").otherwise("D").alias("op"),
         F.date_format(F.timestamp_add("SECOND", k % 3600, F.col("o_orderdate")), _FMT).alias("commit_timestamp"),
         F.concat(F.lit("tx"), _s(k % 1000)).alias("cdc_transact_id"),
-        F.date_format(F.timestamp_add("HOUR", k % 24, F.col("o_orderdate")), "yyyy/MM/dd/HH").alias("event_time"),
+        F.date_format(F.col("o_orderdate"), "yyyy/MM/dd/HH").alias("event_time"),
     )
 
 
