@@ -40,6 +40,7 @@ def _load_all() -> None:
         load_audits,
         schema_audits,
         stats_audits,
+        stream_audits,
         topic_audits,
     )
 

@@ -27,12 +27,17 @@ def _ts(text: str) -> F.Column:
 
 # ------------------------------------------------------------- message logs
 def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mild disorder: broker time = ts + (event_id*7919 % 3600) s.
+    """Mild disorder: broker time = ts + (event_id*7919 % 3600) s (see
+    :func:`events_as_log`)."""
+    return events_as_log(read_table(spark, sf_dir, "events"))
+
+
+def events_as_log(ev: DataFrame) -> DataFrame:
+    """Events (batch or stream) as a message log.
 
     value: ``{"id": user_id, "event_time": ..., "modify_time": ..., "type":
     event_type}``; every tenth row (id % 10 = 3) has no ``event_time`` (the
     fallback is read); id % 97 = 0 carries an unparsable event time."""
-    ev = read_table(spark, sf_dir, "events")
     eid = F.col("event_id")
     t = F.date_format("ts", _FMT)
     event_time = F.when(eid % 97 == 0, F.lit("not a time")).when(eid % 10 != 3, t)
@@ -54,7 +59,11 @@ def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Strong disorder: orders in key order, event time = order date."""
-    o = read_table(spark, sf_dir, "orders")
+    return orders_as_log(read_table(spark, sf_dir, "orders"))
+
+
+def orders_as_log(o: DataFrame) -> DataFrame:
+    """Orders (batch or stream) as a message log."""
     value = F.to_json(F.struct(F.col("o_custkey").alias("id"), F.date_format("o_orderdate", _FMT).alias("event_time")))
     return o.select(
         F.lit(0).alias("partition"),
