@@ -81,13 +81,13 @@ def slice_last_day(log: DataFrame, now, **names) -> DataFrame:
 
 
 # ------------------------------------------------------------------------- T3
-def _parsed(log: DataFrame, value: str, key_field: str, time_field: str, fallback: str | None, fmt: str, tz: str):
-    m = json_map(value)
-    key = m.getItem(key_field)
-    t = m.getItem(time_field)
-    if fallback:
-        t = F.coalesce(t, m.getItem(fallback))
-    return m, key, epoch_seconds(t, fmt, tz)
+def _fields(value: str, key_field: str, time_field: str, fallback: str | None) -> tuple[F.Column, list[str]]:
+    """One ``json_tuple`` generator pulling the key and time fields in a
+    single streaming parse (a generator, so later filters cannot be inlined
+    into it and re-parse the text)."""
+    names = [key_field, time_field] + ([fallback] if fallback and fallback not in (key_field, time_field) else [])
+    outs = ["__k", "__t"] + (["__f"] if len(names) == 3 else [])
+    return F.json_tuple(F.col(value), *names).alias(*outs), outs
 
 
 def split_events(
@@ -106,19 +106,21 @@ def split_events(
     seconds of the event time read in zone ``tz``).  The time field falls
     back to ``fallback`` when absent *or* null.  Rows whose value is not a
     JSON object, or whose key or time is missing or unparsable, go to
-    rejects with a ``reason`` column.
+    rejects with a ``reason`` column (worked out on the reject rows only).
     """
-    m, key, ts = _parsed(log, value, key_field, time_field, fallback, fmt, tz)
-    staged = log.select(*keep, value, m.alias("__m"), key.alias("key"), ts.alias("ts"))
+    gen, outs = _fields(value, key_field, time_field, fallback)
+    t = F.coalesce(*[F.col(c) for c in outs[1:]])
+    staged = log.select(*keep, value, gen).select(
+        *keep, value, F.col("__k").alias("key"), epoch_seconds(t, fmt, tz).alias("ts")
+    )
+    good = staged.where(F.col("key").isNotNull() & F.col("ts").isNotNull()).select(*keep, "key", "ts")
+    bad = staged.where(F.col("key").isNull() | F.col("ts").isNull())
     reason = (
-        F.when(F.col("__m").isNull(), F.lit("value is not a JSON object"))
+        F.when(json_map(value).isNull(), F.lit("value is not a JSON object"))
         .when(F.col("key").isNull(), F.lit("key missing"))
-        .when(F.col("ts").isNull(), F.lit("event time missing or unparsable"))
+        .otherwise(F.lit("event time missing or unparsable"))
     )
-    staged = staged.withColumn("reason", reason)
-    good = staged.where(F.col("reason").isNull()).select(*keep, "key", "ts")
-    bad = staged.where(F.col("reason").isNotNull()).select(*keep, value, "reason")
-    return good, bad
+    return good, bad.select(*keep, value, reason.alias("reason"))
 
 
 def extract_events(log: DataFrame, **kw) -> DataFrame:
@@ -261,7 +263,7 @@ def check_landed(
     topic = (
         log.join(F.broadcast(rng), partition)
         .where(F.col(offset).between(F.col("__lo"), F.col("__hi")))
-        .select(partition, offset, json_map(value).getItem(key_field).alias("topic_key"))
+        .select(partition, offset, F.json_tuple(F.col(value), key_field).alias("topic_key"))
     )
     copy = landed.select(partition, offset, F.col("key").alias("landed_key"), F.lit(True).alias("__in"))
     both = topic.withColumn("__t", F.lit(True)).join(copy, [partition, offset], "full_outer")

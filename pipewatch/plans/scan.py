@@ -6,9 +6,10 @@ preceding and current row)`` plans an ``Exchange SinglePartition`` when
 bucketed prefix max below splits the ``seq`` axis into buckets of about
 ``rows_per_bucket`` rows:
 
-1. bucket boundaries come from ``approxQuantile`` over ``seq`` (one pass
-   over a single pruned column); ``bk`` = the bucket of a row, found by
-   binary search (``Bucketizer``), so it is a plain deterministic column;
+1. bucket boundaries come from one aggregate over ``seq`` (row count and
+   approximate quantiles; a single pruned column); ``bk`` = the bucket of a
+   row, found by binary search (``Bucketizer``), so it is a plain
+   deterministic column;
 2. ``bmax`` = ``max(ts)`` per ``(keys, bk)`` - a partial/final hash
    aggregate whose output has at most ``#keys x #buckets`` rows;
 3. ``carry`` = exclusive running max of ``bmax`` over the buckets of a key
@@ -36,12 +37,8 @@ _CARRY = "__pw_carry"
 _SORT = "__pw_first"
 
 
-def plan_buckets(df: DataFrame, seq: str, rows_per_bucket: int) -> int:
-    """Number of buckets for ``df``: ``ceil(rows / rows_per_bucket)``.
-
-    One action (a count of the non-null ``seq`` values)."""
-    n_rows = df.where(F.col(seq).isNotNull()).count()
-    return max(1, math.ceil(n_rows / max(1, rows_per_bucket)))
+_GRID = 1024  # quantile probes taken in the planning pass
+_ACCURACY = 10_000  # percentile_approx accuracy (relative error 1e-4)
 
 
 def bucket_bounds(df: DataFrame, seq: str, buckets: int) -> list[float]:
@@ -55,6 +52,33 @@ def bucket_bounds(df: DataFrame, seq: str, buckets: int) -> list[float]:
     return sorted({float(b) for b in bounds if b is not None})
 
 
+def plan_bounds(df: DataFrame, seq: str, rows_per_bucket: int, buckets: int | None = None) -> list[float]:
+    """Bucket boundaries for ``df``.
+
+    With ``buckets`` given: that many (one ``approxQuantile`` action).
+    Otherwise one aggregate pass returns the row count and a grid of 1023
+    approximate quantiles; the count fixes ``ceil(rows / rows_per_bucket)``
+    buckets whose bounds are read off the grid (a second pass only beyond
+    1024 buckets)."""
+    base = df.where(F.col(seq).isNotNull())
+    if buckets is not None:
+        return bucket_bounds(base, seq, buckets)
+    grid = [i / _GRID for i in range(1, _GRID)]
+    row = base.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx(F.col(seq).cast("double"), grid, _ACCURACY).alias("q"),
+    ).first()
+    n_rows = int(row["n"] or 0)
+    n = max(1, math.ceil(n_rows / max(1, rows_per_bucket)))
+    if n <= 1:
+        return []
+    if n > _GRID:
+        return bucket_bounds(base, seq, n)
+    q = row["q"] or []
+    picks = {q[round(i * _GRID / n) - 1] for i in range(1, n)}
+    return sorted(float(b) for b in picks if b is not None)
+
+
 def with_bucket(df: DataFrame, seq: str, bounds: list[float], out: str = _BK) -> DataFrame:
     """Adds ``out`` = index of the bucket of ``seq`` (0 .. len(bounds))."""
     if not bounds:
@@ -82,13 +106,11 @@ def running_max(
     row, in ``seq`` order.
 
     ``buckets`` forces the bucket count (tests); otherwise it follows the
-    row count.  Two small actions happen here (count, approxQuantile) when
-    more than one bucket is needed.
+    row count.  One planning action runs here (:func:`plan_bounds`).
     """
     keys = list(keys)
     base = df.where(F.col(seq).isNotNull())
-    n = buckets if buckets is not None else plan_buckets(base, seq, rows_per_bucket)
-    bounds = bucket_bounds(base, seq, n)
+    bounds = plan_bounds(base, seq, rows_per_bucket, buckets)
     data = with_bucket(base, seq, bounds)
 
     part = [*keys, _BK]
