@@ -65,7 +65,7 @@ def slice_log(
         log.groupBy(partition)
         .agg(lo_expr.alias("__lo"), hi_expr.alias("__hi"))
         .where(F.col("__lo").isNotNull())
-        .withColumn("__hi", F.greatest("__lo", "__hi"))
+        .withColumn("__hi", F.when(F.col("__hi").isNotNull(), F.greatest("__lo", "__hi")))
     )
     joined = log.join(F.broadcast(bounds), on=partition, how="inner")
     keep = (F.col(offset) >= F.col("__lo")) & (F.col("__hi").isNull() | (F.col(offset) <= F.col("__hi")))

@@ -38,6 +38,14 @@ def t1_slice_log(spark, sf_dir):
     return topics.slice_log(log, SLICE_START, SLICE_END).select("partition", "offset", "timestamp")
 
 
+@register("t1_slice_open_end", _slice_sql("2024-01-25 00:00:00", "2024-03-01 00:00:00"))
+def t1_slice_open_end(spark, sf_dir):
+    log = derived.events_log(spark, sf_dir)
+    return topics.slice_log(log, dt.datetime(2024, 1, 25), dt.datetime(2024, 3, 1)).select(
+        "partition", "offset", "timestamp"
+    )
+
+
 @register("t2_slice_last_day", _slice_sql("2024-01-14 12:34:56", "2024-01-15 12:34:56"))
 def t2_slice_last_day(spark, sf_dir):
     log = derived.events_log(spark, sf_dir)
