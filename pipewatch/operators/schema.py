@@ -55,12 +55,13 @@ def _warehouse_type(dt: T.DataType) -> tuple[str, int | None, int | None, int |
     return dt.simpleString(), None, None, None
 
 
-def columns_of(spark: SparkSession, frames: dict[str, DataFrame], schema: str = "public") -> DataFrame:
-    """Column profile of DataFrames (name -> frame), from their schemas
-    (metadata only: one row per column, no data read)."""
+def columns_of(spark: SparkSession, frames: dict[str, DataFrame | T.StructType], schema: str = "public") -> DataFrame:
+    """Column profile of DataFrames or schemas (name -> frame/schema), from
+    their schemas (metadata only: one row per column, no data read)."""
     rows = []
     for table, df in frames.items():
-        for i, f in enumerate(df.schema.fields, start=1):
+        struct = df if isinstance(df, T.StructType) else df.schema
+        for i, f in enumerate(struct.fields, start=1):
             rows.append((schema, table, f.name, i, *_warehouse_type(f.dataType)))
     return spark.createDataFrame(rows, PROFILE_SCHEMA)
 

@@ -33,7 +33,8 @@ def change_counts(
     Physical rows with ``inserts + updates + deletes > 0`` are folded to
     their logical name (R1), prefixed ``<database>.`` of the task's source
     endpoint when that database is non-empty, and summed.  ``start_date``
-    and ``task`` come from the first row seen (smallest ``seen_no``).
+    and ``task`` come from the first row seen (smallest ``seen_no``, ties
+    broken by task id).
     Sorted by ``cdc_counts`` descending (ties by name); ``topn`` None gives
     the full export.  ``endpoint_arns`` keeps tasks touching those endpoints.
 
@@ -66,7 +67,7 @@ def change_counts(
         joined.groupBy(name.alias("table_name"))
         .agg(
             F.sum("cdc").alias("cdc_counts"),
-            F.min_by(F.struct("started", "task_id"), F.col("seen_no")).alias("__first"),
+            F.min_by(F.struct("started", "task_id"), F.struct("seen_no", "task_id")).alias("__first"),
         )
         .select(
             "table_name",

@@ -54,7 +54,7 @@ def _r3_sql(topn: int | None) -> str:
                  || f.schema || '.' || f.base AS table_name, f.cdc, f.seen_no, t.task_id, t.started
           FROM f JOIN t ON f.task_arn = t.arn LEFT JOIN e ON t.source_arn = e.arn)
     SELECT table_name, CAST(sum(cdc) AS BIGINT) AS cdc_counts,
-           arg_min(started, seen_no) AS start_date, arg_min(task_id, seen_no) AS task
+           arg_min(started, (seen_no, task_id)) AS start_date, arg_min(task_id, (seen_no, task_id)) AS task
     FROM j GROUP BY table_name {lim}
     """
 
