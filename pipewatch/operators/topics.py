@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pipewatch.functions.maps import json_map
 from pipewatch.functions.names import table_name_of  # noqa: F401  (re-exported: T11)
 from pipewatch.functions.times import epoch_seconds, ts_literal
-from pipewatch.plans.scan import lateness
+from pipewatch.plans.scan import DEFAULT_BUCKET_WIDTH, lateness
 
 # Defaults of a topic audit.
 DEFAULT_KEY_FIELD = "id"
@@ -154,7 +154,8 @@ def disorder_bound(
     topn: int | None = DEFAULT_TOPN,
     per: Sequence[str] = ("partition",),
     buckets: int | None = None,
-    rows_per_bucket: int = 1_000_000,
+    rows_per_bucket: int | None = None,
+    bucket_width: int = DEFAULT_BUCKET_WIDTH,
 ) -> DataFrame:
     """How far behind the running maximum event time rows arrive.
 
@@ -169,7 +170,7 @@ def disorder_bound(
     keys = [key] if isinstance(key, str) else list(key or [])
     per = [c for c in per if c in events.columns]
     group = [*per, *keys]
-    late = lateness(events, seq, ts, group, buckets, rows_per_bucket).where(F.col("diff_ts") > 0)
+    late = lateness(events, seq, ts, group, buckets, rows_per_bucket, bucket_width).where(F.col("diff_ts") > 0)
     out = late.select(*group, F.col("diff_ts"), F.col(seq).alias("id"))
     if topn is None:
         return out
@@ -184,6 +185,7 @@ def late_beyond(
     key: str | Sequence[str] | None = None,
     per: Sequence[str] = ("partition",),
     buckets: int | None = None,
+    bucket_width: int = DEFAULT_BUCKET_WIDTH,
 ) -> DataFrame:
     """S3, batch form: for each candidate watermark delay, the rows that a
     watermark of that delay would drop (arriving more than ``delay`` behind
@@ -192,7 +194,7 @@ def late_beyond(
     column against a tiny literal table of delays."""
     keys = [key] if isinstance(key, str) else list(key or [])
     per = [c for c in per if c in events.columns]
-    lat = lateness(events, seq, ts, [*per, *keys], buckets)
+    lat = lateness(events, seq, ts, [*per, *keys], buckets, bucket_width=bucket_width)
     # One pass: a conditional count per candidate delay (a short literal
     # list), then ``stack`` turns the counts into rows - no join needed.
     aggs = [F.count(F.when(F.col("diff_ts") > int(d), 1)).alias(f"d{i}") for i, d in enumerate(delays)]

@@ -6,10 +6,11 @@ preceding and current row)`` plans an ``Exchange SinglePartition`` when
 bucketed prefix max below splits the ``seq`` axis into buckets of about
 ``rows_per_bucket`` rows:
 
-1. bucket boundaries come from one aggregate over ``seq`` (row count and
-   approximate quantiles; a single pruned column); ``bk`` = the bucket of a
-   row, found by binary search (``Bucketizer``), so it is a plain
-   deterministic column;
+1. ``bk`` = the bucket of a row, a plain deterministic column: by default
+   ``floor(seq / width)`` (arrival sequences are dense, so a bucket holds
+   at most ``width`` rows of a key and no planning pass is needed); or, for
+   sequences that are not dense, quantile boundaries from one aggregate
+   over ``seq`` looked up by binary search (``Bucketizer``);
 2. ``bmax`` = ``max(ts)`` per ``(keys, bk)`` - a partial/final hash
    aggregate whose output has at most ``#keys x #buckets`` rows;
 3. ``carry`` = exclusive running max of ``bmax`` over the buckets of a key
@@ -20,6 +21,7 @@ bucketed prefix max below splits the ``seq`` axis into buckets of about
 
 The large side is shuffled exactly once (step 4) and nothing is broadcast,
 so no size bound is needed; null keys form their own group as in SQL.
+With fixed-width buckets nothing is executed until the result is used.
 Rows with a null ``seq`` have no place in arrival order and are dropped
 (use :func:`split_null_seq` to keep them as rejects).
 """
@@ -32,6 +34,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+DEFAULT_BUCKET_WIDTH = 1_000_000  # seq units (offsets) per bucket
+
 _BK = "__pw_bk"
 _CARRY = "__pw_carry"
 _SORT = "__pw_first"
@@ -99,25 +103,42 @@ def running_max(
     keys: Sequence[str] = (),
     out: str = "max_ts",
     buckets: int | None = None,
-    rows_per_bucket: int = 1_000_000,
+    rows_per_bucket: int | None = None,
+    bucket_width: int = DEFAULT_BUCKET_WIDTH,
 ) -> DataFrame:
     """``df`` (rows with non-null ``seq``) plus ``out`` = running max of
     ``value`` over rows of the same ``keys`` with ``seq`` up to the current
     row, in ``seq`` order.
 
-    ``buckets`` forces the bucket count (tests); otherwise it follows the
-    row count.  One planning action runs here (:func:`plan_bounds`).
+    Bucketing of the ``seq`` axis:
+
+    * default - fixed width: ``bucket = floor(seq / bucket_width)``.  For an
+      arrival sequence (offsets, identity ids: dense by construction) every
+      bucket holds at most ``bucket_width`` rows of a key, the bucket count
+      grows with the data, and no action runs here (the plan stays lazy);
+    * ``buckets=N`` - N quantile buckets (one ``approxQuantile`` action);
+    * ``rows_per_bucket=R`` - quantile buckets of about R rows, planned in one
+      aggregate pass (:func:`plan_bounds`), for sequences that are not dense.
     """
     keys = list(keys)
     base = df.where(F.col(seq).isNotNull())
-    bounds = plan_bounds(base, seq, rows_per_bucket, buckets)
-    data = with_bucket(base, seq, bounds)
+    if buckets is not None or rows_per_bucket is not None:
+        bounds = plan_bounds(base, seq, rows_per_bucket or 1, buckets)
+        data = with_bucket(base, seq, bounds)
+        if not bounds:
+            return _single_bucket(data, seq, value, keys, out)
+    else:
+        data = base.withColumn(_BK, F.floor(F.col(seq) / F.lit(int(bucket_width))))
+    return _bucketed(df, data, seq, value, keys, out)
 
-    part = [*keys, _BK]
-    if not bounds:
-        w = Window.partitionBy(*part).orderBy(F.col(seq)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return data.withColumn(out, F.max(value).over(w)).drop(_BK)
 
+def _single_bucket(data: DataFrame, seq: str, value: str, keys: list[str], out: str) -> DataFrame:
+    w = Window.partitionBy(*keys, _BK).orderBy(F.col(seq)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return data.withColumn(out, F.max(value).over(w)).drop(_BK)
+
+
+def _bucketed(df: DataFrame, data: DataFrame, seq: str, value: str, keys: list[str], out: str) -> DataFrame:
+    part = [*keys, _BK]
     # 2. per (keys, bucket) max - partial aggregation before the shuffle.
     bmax = data.groupBy(*part).agg(F.max(value).alias(_CARRY))
     # 3. exclusive prefix max over the buckets of each key (small table).
@@ -143,12 +164,13 @@ def lateness(
     ts: str,
     keys: Sequence[str] = (),
     buckets: int | None = None,
-    rows_per_bucket: int = 1_000_000,
+    rows_per_bucket: int | None = None,
+    bucket_width: int = DEFAULT_BUCKET_WIDTH,
 ) -> DataFrame:
     """``df`` plus ``max_ts`` (running max of ``ts``) and ``diff_ts`` =
     ``max_ts - ts``: how far each row arrives behind the latest time seen
     before it."""
-    ran = running_max(df, seq, ts, keys, "max_ts", buckets, rows_per_bucket)
+    ran = running_max(df, seq, ts, keys, "max_ts", buckets, rows_per_bucket, bucket_width)
     return ran.withColumn("diff_ts", F.col("max_ts") - F.col(ts))
 
 

@@ -25,30 +25,31 @@ def _late_rows(seq: str, ts: str, keys: Sequence[str]):
     import pandas as pd
 
     def fn(key, pdfs, state):
-        frame = pd.concat(list(pdfs), ignore_index=True)
+        frames = list(pdfs)
+        frame = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
         if frame.empty:
             return
-        frame = frame.sort_values(seq, kind="stable")
-        values = frame[ts].to_numpy(dtype="float64")
-        prior = float(state.get[0]) if state.exists and state.get[0] is not None else -np.inf
-        running = np.maximum.accumulate(np.concatenate([[prior], values]))[1:]
-        diff = running - values
-        late = diff > 0
-        top = running[-1] if len(running) else prior
+        order = np.argsort(frame[seq].to_numpy(), kind="stable")
+        values = frame[ts].to_numpy(dtype="float64")[order]
+        prior = state.get[0] if state.exists else None
+        running = np.fmax.accumulate(values)  # fmax: a null time never poisons the max
+        if prior is not None:
+            running = np.fmax(running, float(prior))
+        top = running[-1]
         if np.isfinite(top):
             state.update((int(top),))
+        late = (running - values) > 0
         if late.any():
-            out = pd.DataFrame(
+            idx = order[late]
+            part = frame["partition"].to_numpy()[idx] if "partition" in frame else np.zeros(len(idx), dtype="int32")
+            yield pd.DataFrame(
                 {
-                    "partition": frame.loc[late, "partition"].astype("int32").to_numpy()
-                    if "partition" in frame
-                    else np.zeros(int(late.sum()), dtype="int32"),
-                    "key": frame.loc[late, "key"].astype(str).to_numpy(),
-                    "diff_ts": diff[late].astype("int64"),
-                    "id": frame.loc[late, seq].astype("int64").to_numpy(),
+                    "partition": part.astype("int32"),
+                    "key": frame["key"].to_numpy()[idx].astype(str),
+                    "diff_ts": (running[late] - values[late]).astype("int64"),
+                    "id": frame[seq].to_numpy()[idx].astype("int64"),
                 }
             )
-            yield out
 
     return fn
 

@@ -41,6 +41,24 @@ def test_bucketed_equals_plain(spark, buckets, keys):
     assert _rows(got, cols) == _rows(want, cols)
 
 
+@pytest.mark.parametrize("width", [1, 37, 10_000])
+@pytest.mark.parametrize("keys", [(), ("key",)])
+def test_width_buckets_equal_plain(spark, width, keys):
+    df = _data(spark, n=700)
+    got = running_max(df, "seq", "ts", keys, bucket_width=width)
+    want = _plain(df, "seq", "ts", list(keys))
+    cols = ["seq", "key", "ts", "max_ts"]
+    assert _rows(got, cols) == _rows(want, cols)
+
+
+def test_width_buckets_are_lazy(spark):
+    df = _data(spark, n=50)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup()
+    before = len(jobs)
+    running_max(df, "seq", "ts", ["key"], bucket_width=7)  # builds the plan only
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup()) == before
+
+
 def test_hot_key_split_across_buckets(spark):
     # one key holds most rows: buckets split it, result is unchanged
     rows = [(i, "hot" if i % 4 else f"c{i}", (i * 7919) % 1000) for i in range(2000)]
@@ -73,7 +91,7 @@ def test_null_seq_dropped_and_empty(spark):
 
 def test_plan_single_partition_only_on_carry(spark):
     df = _data(spark, null_keys=False)
-    plan = running_max(df, "seq", "ts", buckets=7)._jdf.queryExecution().executedPlan().toString()
+    plan = running_max(df, "seq", "ts", bucket_width=64)._jdf.queryExecution().executedPlan().toString()
     # the data side is shuffled on the bucket column; only the tiny carry
     # branch (after the per-bucket aggregate) goes through one partition
     assert "hashpartitioning(__pw_bk" in plan
