@@ -73,7 +73,7 @@ def load(spark: SparkSession, path: str, cols: Sequence[str], label: str, attemp
     numbers = spark.createDataFrame([(f, i) for i, f in enumerate(files, start=1)], "__file string, __n int")
     if len(files) <= MAX_BROADCAST_FILES:
         numbers = F.broadcast(numbers)
-    staged = df.select(*cols, F.regexp_extract(F.col("_metadata.file_path"), r"[^/]+$", 0).alias("__file"))
+    staged = df.select(*cols, F.col("_metadata.file_name").alias("__file"))
     tag = F.concat(F.lit(f"{label}__{attempt}__"), F.col("__n").cast("string"))
     return staged.join(numbers, "__file").select(*cols, tag.alias("label"))
 
