@@ -11,17 +11,22 @@ bucketed prefix max below splits the ``seq`` axis into buckets of about
    at most ``width`` rows of a key and no planning pass is needed); or, for
    sequences that are not dense, quantile boundaries from one aggregate
    over ``seq`` looked up by binary search (``Bucketizer``);
-2. ``bmax`` = ``max(ts)`` per ``(keys, bk)`` - a partial/final hash
-   aggregate whose output has at most ``#keys x #buckets`` rows;
+2. ``bmax`` = ``max(ts)`` per ``(keys, bk)`` - at most ``#keys x
+   #buckets`` rows;
 3. ``carry`` = exclusive running max of ``bmax`` over the buckets of a key
    (window on the small table, partitioned by the keys);
-4. the carry rows are *unioned* into the data as leading pseudo-rows of
-   their ``(keys, bk)`` group, and one window partitioned by
-   ``(keys, bk)`` and ordered by ``seq`` finishes the job.
-
-The large side is shuffled exactly once (step 4) and nothing is broadcast,
-so no size bound is needed; null keys form their own group as in SQL.
-With fixed-width buckets nothing is executed until the result is used.
+4. a window partitioned by ``(keys, bk)`` and ordered by ``seq`` gives the
+   running max inside the bucket; ``greatest`` with the joined ``carry``
+   finishes the job.
+
+The large side is shuffled once, on ``(keys, bk)``, for the window of
+step 4; the bucket aggregate of step 2 reads the key, seq and value columns
+a second time but combines map-side, so only a small table is shuffled.
+The join in step 4 needs no shuffle of the large side (same partitioning
+and order); nothing is broadcast unless AQE finds the carry table small at
+run time.  Null keys
+form their own group as in SQL.  With fixed-width buckets nothing is
+executed until the result is used.
 Rows with a null ``seq`` have no place in arrival order and are dropped
 (use :func:`split_null_seq` to keep them as rejects).
 """
@@ -38,7 +43,8 @@ DEFAULT_BUCKET_WIDTH = 1_000_000  # seq units (offsets) per bucket
 
 _BK = "__pw_bk"
 _CARRY = "__pw_carry"
-_SORT = "__pw_first"
+_LOCAL = "__pw_local"
+_KEY = "__pw_key"
 
 
 _GRID = 1024  # quantile probes taken in the planning pass
@@ -138,24 +144,27 @@ def _single_bucket(data: DataFrame, seq: str, value: str, keys: list[str], out:
 
 
 def _bucketed(df: DataFrame, data: DataFrame, seq: str, value: str, keys: list[str], out: str) -> DataFrame:
-    part = [*keys, _BK]
-    # 2. per (keys, bucket) max - partial aggregation before the shuffle.
-    bmax = data.groupBy(*part).agg(F.max(value).alias(_CARRY))
+    # The key columns travel as one struct: struct equality treats null
+    # fields as equal, so null keys group (and join) together as in SQL.
+    kcols = [F.struct(*keys).alias(_KEY)] if keys else []
+    part = [_KEY, _BK] if keys else [_BK]
+    kdata = data.select("*", *kcols)
+    # 2. per (keys, bucket) max: partial aggregation before a small shuffle
+    #    (reads only the key, seq and value columns).
+    bmax = kdata.groupBy(*part).agg(F.max(value).alias(_CARRY))
     # 3. exclusive prefix max over the buckets of each key (small table).
-    wc = Window.partitionBy(*keys).orderBy(_BK).rowsBetween(Window.unboundedPreceding, -1)
+    wc = Window.partitionBy(*part[:-1]).orderBy(_BK).rowsBetween(Window.unboundedPreceding, -1)
     carry = bmax.select(*part, F.max(_CARRY).over(wc).alias(_CARRY)).where(F.col(_CARRY).isNotNull())
-
-    # 4. carry rows lead their group; one shuffle of the data on (keys, bk).
-    value_type = df.schema[value].dataType
-    rows = data.withColumn(_SORT, F.lit(1)).withColumn(_CARRY, F.lit(None).cast(value_type))
-    pseudo = carry.withColumn(_SORT, F.lit(0))
-    stacked = rows.unionByName(pseudo, allowMissingColumns=True)
-    w = Window.partitionBy(*part).orderBy(F.col(_SORT), F.col(seq)).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    merged = F.coalesce(F.col(value), F.col(_CARRY))
-    result = stacked.withColumn(out, F.max(merged).over(w)).where(F.col(_SORT) == 1)
-    return result.drop(_BK, _CARRY, _SORT)
+    # 4. running max inside the bucket - the one shuffle of the data, on
+    #    (keys, bucket) - then the carry of earlier buckets joined on the same
+    #    columns: the data side already has that partitioning and order, so
+    #    only the small carry side moves (or is broadcast when AQE finds it
+    #    small at run time).
+    w = Window.partitionBy(*part).orderBy(F.col(seq)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = kdata.withColumn(_LOCAL, F.max(value).over(w))
+    joined = local.join(carry, part, "left")
+    result = joined.withColumn(out, F.greatest(F.col(_LOCAL), F.col(_CARRY)))
+    return result.drop(_BK, _CARRY, _LOCAL, _KEY)
 
 
 def lateness(
