@@ -38,9 +38,57 @@ def epoch_seconds(text: Column | str, fmt: str = "yyyy-MM-dd HH:mm:ss", tz: str
 
 def ntz_epoch_seconds(ts: Column | str) -> Column:
     """Whole epoch seconds of a timestamp_ntz taken as UTC wall time."""
-    return F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {})".format(ts)) if isinstance(
-        ts, str
-    ) else F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    return F.timestamp_diff("SECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), _c(ts))
+
+
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+# The zone-free text of a timestamp_ntz ("yyyy-MM-dd HH:mm:ss[.ffffff]").
+_WALL = r"^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})"
+_TOKENS = (("yyyy", "$1"), ("MM", "$2"), ("dd", "$3"), ("HH", "$4"), ("mm", "$5"), ("ss", "$6"))
+
+
+def utc_wall(ts: Column | str, dtype: DataType | None = None) -> Column:
+    """A timestamp as ``timestamp_ntz`` wall time: NTZ values unchanged, an
+    instant (TIMESTAMP) as its UTC wall clock - never the session zone."""
+    c = _c(ts)
+    if dtype is not None and dtype.typeName() == "timestamp":
+        return F.timestamp_add("MICROSECOND", F.unix_micros(c), F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
+    return c
+
+
+def _replacement(pattern: str) -> str:
+    out, i = [], 0
+    while i < len(pattern):
+        if pattern[i] == "'":
+            j = pattern.index("'", i + 1)
+            out.append(pattern[i + 1 : j])
+            i = j + 1
+            continue
+        for tok, ref in _TOKENS:
+            if pattern.startswith(tok, i):
+                out.append(ref)
+                i += len(tok)
+                break
+        else:
+            out.append("\\" + pattern[i] if pattern[i] in "$\\" else pattern[i])
+            i += 1
+    return "".join(out)
+
+
+def format_ntz(ts: Column | str, pattern: str) -> Column:
+    """Render a ``timestamp_ntz`` with a ``yyyy MM dd HH mm ss`` pattern
+    (quoted literals allowed) without any time zone.  (``date_format``
+    first turns the value into a session-zone instant, which shifts wall
+    times that fall in a daylight-saving gap of that zone.)"""
+    wall = F.regexp_extract(_c(ts).cast("string"), _WALL, 0)
+    return F.when(_c(ts).isNotNull(), F.regexp_replace(wall, _WALL + "$", _replacement(pattern)))
+
+
+def parse_ntz(text: Column | str, pattern: str) -> Column:
+    """Parse text to ``timestamp_ntz`` without any time zone (null when the
+    text does not fit the pattern or is not a valid date-time)."""
+    instant = F.try_to_timestamp(F.concat(_c(text), F.lit(" UTC")), F.lit(pattern + " VV"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
 
 
 def to_local(text: Column | str, hours: int = 8) -> Column:
@@ -48,8 +96,6 @@ def to_local(text: Column | str, hours: int = 8) -> Column:
     as ``yyyy-MM-ddTHH:mm:ss`` (fraction and zone dropped); other text, and
     text whose date is not valid, is returned unchanged."""
     c = _c(text)
-    parsed = F.try_to_timestamp(F.substring(c, 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
-    shifted = F.date_format(
-        F.timestamp_add("HOUR", F.lit(hours), parsed.cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss"
-    )
+    parsed = parse_ntz(F.substring(c, 1, 19), "yyyy-MM-dd'T'HH:mm:ss")
+    shifted = format_ntz(F.timestamp_add("HOUR", F.lit(hours), parsed), "yyyy-MM-dd'T'HH:mm:ss")
     return F.when(c.rlike(ISO_PREFIX), F.coalesce(shifted, c)).otherwise(c)

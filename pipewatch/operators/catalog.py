@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pipewatch.functions.times import ts_literal
+from pipewatch.functions.times import format_ntz, parse_ntz, ts_literal, utc_wall
 
 # Engines and schemas the inventories keep, and snapshot rules.
 SOURCE_ENGINES = ("mysql", "mariadb", "aurora", "postgres", "aurora-postgresql")
@@ -177,9 +177,9 @@ def snapshots(
     start, end = _start_end(now, start_date, end_date, offset_hours, retention_days)
     ttype = df.schema["create_time"].dataType
     ident = F.col("identifier")
-    local = F.timestamp_add("HOUR", F.lit(offset_hours), F.col("create_time"))
-    stamp = F.try_to_timestamp(F.substring(ident, -23, 19), F.lit("yyyy-MM-dd-HH-mm-ss"))
-    shown = F.date_format(F.timestamp_add("HOUR", F.lit(offset_hours), stamp.cast("timestamp_ntz")), "yyyy-MM-dd-HH-mm-ss")
+    local = F.timestamp_add("HOUR", F.lit(offset_hours), utc_wall("create_time", ttype))
+    stamp = parse_ntz(F.substring(ident, -23, 19), "yyyy-MM-dd-HH-mm-ss")
+    shown = format_ntz(F.timestamp_add("HOUR", F.lit(offset_hours), stamp), "yyyy-MM-dd-HH-mm-ss")
     display = F.concat(F.expr("substring(identifier, 1, length(identifier) - 23)"), shown)
     return df.where(
         ident.rlike(SNAPSHOT_ID_PATTERN) & F.col("create_time").between(ts_literal(start, ttype), ts_literal(end, ttype))
@@ -187,7 +187,7 @@ def snapshots(
         "cluster",
         "identifier",
         "create_time",
-        F.date_format(local, "yyyyMMddHHmm").alias("create_time_str"),
+        format_ntz(local, "yyyyMMddHHmm").alias("create_time_str"),
         display.alias("display_name"),
     )
 

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pipewatch.functions.times import ts_literal
+from pipewatch.functions.times import format_ntz, ts_literal, utc_wall
 
 # Dashboard query markers, users, windows and report sizes.
 DASHBOARD_MARKER = "-- MBI:"
@@ -34,16 +34,16 @@ def dashboard_queries(
     or after ``as_of - days``: ``query_id``, local ``start_time`` text,
     ``elapsed`` in whole minutes, and the dashboard code and query uuid read
     from the first 64 characters of the text (missing gives ``''``)."""
-    local = F.timestamp_add("HOUR", F.lit(offset_hours), F.col("start_time"))
+    local = F.timestamp_add("HOUR", F.lit(offset_hours), utc_wall("start_time", hist.schema["start_time"].dataType))
     since = as_of - dt.timedelta(days=days)
     head = F.substring("query_text", 1, DASHBOARD_TEXT_PREFIX)
     return hist.where(
         F.col("user_id").isin(list(users))
-        & (local >= ts_literal(dt.datetime(since.year, since.month, since.day), hist.schema["start_time"].dataType))
+        & (local >= ts_literal(dt.datetime(since.year, since.month, since.day)))
         & (F.instr("query_text", DASHBOARD_MARKER) > 0)
     ).select(
         "query_id",
-        F.date_format(local, "yyyy-MM-dd HH:mm:ss").alias("start_time"),
+        format_ntz(local, "yyyy-MM-dd HH:mm:ss").alias("start_time"),
         F.call_function("div", F.call_function("div", F.col("elapsed_us"), F.lit(1000000)), F.lit(60)).alias("elapsed"),
         F.regexp_extract(head, DASHBOARD_CODE_PATTERN, 1).alias("dashboard_code"),
         F.regexp_extract(head, QUERY_UUID_PATTERN, 1).alias("query_uuid"),

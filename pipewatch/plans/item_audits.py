@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pipewatch.functions.times import to_local
+from pipewatch.functions.times import format_ntz, to_local
 from pipewatch.operators import items as it
 from pipewatch.operators.sql import run_sql
 from pipewatch.plans.registry import register
@@ -59,7 +59,7 @@ def k4_attributes(spark, sf_dir):
 def _iso_text(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
-    t = F.date_format(F.timestamp_add("SECOND", k % 86400, F.col("o_orderdate")), "yyyy-MM-dd'T'HH:mm:ss")
+    t = format_ntz(F.timestamp_add("SECOND", k % 86400, F.col("o_orderdate")), "yyyy-MM-dd'T'HH:mm:ss")
     text = (
         F.when(k % 3 == 0, F.concat(t, F.lit(".123Z")))
         .when(k % 3 == 1, t)

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from pipewatch.functions.names import table_name_of
+from pipewatch.functions.times import format_ntz
 from pipewatch.operators import topics
 from pipewatch.plans import fixtures_sql as fx
 from pipewatch.plans.registry import register
@@ -124,7 +125,7 @@ def _broker_events(spark, sf_dir):
     log = derived.events_log(spark, sf_dir)
     ev = topics.extract_events(log.withColumn("value", F.to_json(F.struct(
         F.get_json_object("value", "$.id").alias("id"),
-        F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("event_time"),
+        format_ntz("timestamp", "yyyy-MM-dd HH:mm:ss").alias("event_time"),
     ))))
     return ev
 

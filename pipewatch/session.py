@@ -21,7 +21,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", os.environ.get("PIPEWATCH_TZ", "UTC"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "32")
         .config("spark.driver.memory", os.environ.get("PIPEWATCH_DRIVER_MEMORY", "8g"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pipewatch.functions.times import format_ntz
 from pipewatch.sources.tables import read_table
 
 _FMT = "yyyy-MM-dd HH:mm:ss"
@@ -39,7 +40,7 @@ def events_as_log(ev: DataFrame) -> DataFrame:
     event_type}``; every tenth row (id % 10 = 3) has no ``event_time`` (the
     fallback is read); id % 97 = 0 carries an unparsable event time."""
     eid = F.col("event_id")
-    t = F.date_format("ts", _FMT)
+    t = format_ntz("ts", _FMT)
     event_time = F.when(eid % 97 == 0, F.lit("not a time")).when(eid % 10 != 3, t)
     value = F.to_json(
         F.struct(
@@ -64,7 +65,7 @@ def orders_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_as_log(o: DataFrame) -> DataFrame:
     """Orders (batch or stream) as a message log."""
-    value = F.to_json(F.struct(F.col("o_custkey").alias("id"), F.date_format("o_orderdate", _FMT).alias("event_time")))
+    value = F.to_json(F.struct(F.col("o_custkey").alias("id"), format_ntz("o_orderdate", _FMT).alias("event_time")))
     return o.select(
         F.lit(0).alias("partition"),
         F.col("o_orderkey").alias("offset"),
@@ -177,7 +178,7 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     created = F.timestamp_add("SECOND", k % 86400, F.col("o_orderdate"))
     cluster = F.concat(F.lit("cluster-"), _s(F.col("o_custkey") % 5))
-    stamp = F.concat(F.date_format(created, "yyyy-MM-dd-HH-mm-ss"), F.lit("-"), F.lpad(_s(k % 1000), 3, "0"))
+    stamp = F.concat(format_ntz(created, "yyyy-MM-dd-HH-mm-ss"), F.lit("-"), F.lpad(_s(k % 1000), 3, "0"))
     ident = F.when(k % 7 == 0, F.concat(F.lit("manual-"), _s(k))).otherwise(F.concat(F.lit("rs:"), cluster, F.lit("-"), stamp))
     return o.select(cluster.alias("cluster"), ident.alias("identifier"), created.alias("create_time"))
 
@@ -267,9 +268,9 @@ def cdc_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         "*",
         F.when(k % 3 == 0, "I").when(k % 3 == 1, "U").otherwise("D").alias("op"),
-        F.date_format(F.timestamp_add("SECOND", k % 3600, F.col("o_orderdate")), _FMT).alias("commit_timestamp"),
+        format_ntz(F.timestamp_add("SECOND", k % 3600, F.col("o_orderdate")), _FMT).alias("commit_timestamp"),
         F.concat(F.lit("tx"), _s(k % 1000)).alias("cdc_transact_id"),
-        F.date_format(F.col("o_orderdate"), "yyyy/MM/dd/HH").alias("event_time"),
+        format_ntz(F.col("o_orderdate"), "yyyy/MM/dd/HH").alias("event_time"),
     )
 
 

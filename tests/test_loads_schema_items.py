@@ -153,3 +153,22 @@ def test_to_local(spark):
     )
     got = [r.l for r in df.select(to_local("s").alias("l")).collect()]
     assert got == ["2024-01-02T04:00:00", "2024-01-02T04:00:00", "2024-13-01T20:00:00", "hello", None]
+
+
+def test_times_ignore_session_zone(spark):
+    from pipewatch.functions.times import format_ntz, parse_ntz
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.sql("SELECT TIMESTAMP_NTZ'1998-04-05 02:30:00' AS t, '1998-04-04T18:30:00' AS s")
+        r = df.select(
+            format_ntz("t", "yyyyMMddHHmm").alias("a"),
+            format_ntz("t", "yyyy/MM/dd/HH").alias("b"),
+            to_local("s").alias("c"),
+            parse_ntz(F.lit("1998-04-05 02:30:00"), "yyyy-MM-dd HH:mm:ss").cast("string").alias("d"),
+        ).first()
+        # 02:30 on that day does not exist in Los Angeles; wall times must not move
+        assert (r.a, r.b, r.c, r.d) == ("199804050230", "1998/04/05/02", "1998-04-05T02:30:00", "1998-04-05 02:30:00")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
