@@ -49,22 +49,26 @@ def slice_log(
     partition with no row at or after ``start`` contributes nothing; with no
     row reaching ``end`` (or ``end`` None) the slice runs to the last row.
 
-    One aggregation per partition gives both bounds: any row with time
-    ``>= end >= start`` lies at or after the start offset, so the first such
-    row needs no second pass; ``greatest`` covers ``end < start`` (the start
-    row itself then ends the slice).  The bounds table has one row per topic
+    One aggregation per partition, over rows at or after ``start`` only
+    (pushed to the scan), gives both bounds: any row with time ``>= end >=
+    start`` lies at or after the start offset, so the first such row needs
+    no second pass; ``greatest`` covers ``end < start`` (the start row
+    itself then ends the slice).  The bounds table has one row per topic
     partition - bounded by the topic's partition count - and is broadcast.
     """
     ttype = log.schema[ts].dataType
-    lo_expr = F.min(F.when(F.col(ts) >= ts_literal(start, ttype), F.col(offset)))
-    if end is None:
-        hi_expr = F.lit(None).cast("bigint")
-    else:
-        hi_expr = F.min(F.when(F.col(ts) >= ts_literal(end, ttype), F.col(offset)))
+    t = F.col(ts)
+    # Rows before ``start`` cannot move either bound (an ``end`` row found
+    # before the start offset is replaced by the start row via greatest), so
+    # the bounds pass filters on time first - a predicate Parquet can use to
+    # skip row groups of a long, roughly time-ordered log.
+    recent = log.where(t >= ts_literal(start, ttype))
+    hi_expr = (
+        F.lit(None).cast("bigint") if end is None else F.min(F.when(t >= ts_literal(end, ttype), F.col(offset)))
+    )
     bounds = (
-        log.groupBy(partition)
-        .agg(lo_expr.alias("__lo"), hi_expr.alias("__hi"))
-        .where(F.col("__lo").isNotNull())
+        recent.groupBy(partition)
+        .agg(F.min(offset).alias("__lo"), hi_expr.alias("__hi"))
         .withColumn("__hi", F.when(F.col("__hi").isNotNull(), F.greatest("__lo", "__hi")))
     )
     joined = log.join(F.broadcast(bounds), on=partition, how="inner")
