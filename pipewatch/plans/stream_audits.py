@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pipewatch.operators.topics import extract_events
+from pyspark.sql import functions as F
+
+from pipewatch.functions.times import format_ntz
+from pipewatch.operators.topics import disorder_bound, extract_events
+from pipewatch.plans.topic_audits import _broker_events
 from pipewatch.plans import fixtures_sql as fx
 from pipewatch.plans.registry import register
 from pipewatch.plans.topic_audits import _disorder_sql
@@ -10,7 +14,12 @@ from pipewatch.session import work_dir
 from pipewatch.sources import derived
 from pipewatch.streaming.lag import load_lag
 from pipewatch.streaming.landing import land_available
-from pipewatch.streaming.lateness import late_rows_stream
+from pipewatch.streaming.lateness import (
+    late_rows_stream,
+    latest_updates,
+    run_update_to_parquet,
+    windowed_counts_with_watermark,
+)
 from pipewatch.streaming.sources import table_stream
 
 
@@ -52,3 +61,44 @@ def s2_late_rows_stream(spark, sf_dir):
 )
 def s4_load_lag(spark, sf_dir):
     return load_lag(derived.load_jobs(spark, sf_dir))
+
+
+def _broker_view(events):
+    """Event time = broker time (mild disorder), as epoch seconds and as a
+    timestamp for the watermark."""
+    return extract_events(
+        events.withColumn(
+            "value",
+            F.to_json(F.struct(
+                F.get_json_object("value", "$.id").alias("id"),
+                format_ntz("timestamp", "yyyy-MM-dd HH:mm:ss").alias("event_time"),
+            )),
+        )
+    )
+
+
+@register(
+    "s3_watermark_at_bound_stream",
+    f"""SELECT CAST(epoch(date_trunc('hour', date_trunc('second', "timestamp"))) AS BIGINT) AS window_start,
+               count(*) AS "rows"
+        FROM ({fx.EVENTS_LOG}) GROUP BY 1""",
+)
+def s3_watermark_at_bound_stream(spark, sf_dir):
+    # 1. the bound (T5 over the whole log, in arrival order)
+    bound = disorder_bound(_broker_events(spark, sf_dir), topn=1).first()
+    delay = int(bound["diff_ts"]) if bound else 0
+    # 2. replay the log as four files in offset order (one micro-batch each)
+    log = derived.events_log(spark, sf_dir)
+    src = work_dir(spark, "wm", "src")
+    hi = log.agg(F.max("offset")).first()[0] or 0
+    step = hi // 4 + 1
+    for i in range(4):  # four range writes: control loop over offset ranges, not over rows
+        log.where((F.col("offset") >= i * step) & (F.col("offset") < (i + 1) * step)).coalesce(1).write.mode(
+            "append"
+        ).parquet(src)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    events = _broker_view(stream).withColumn("event_ts", F.timestamp_seconds("ts"))
+    counts = windowed_counts_with_watermark(events, "event_ts", delay)
+    out, ckpt = work_dir(spark, "wm", "out"), work_dir(spark, "wm", "ckpt")
+    run_update_to_parquet(counts.select(F.unix_seconds(F.col("w.start")).alias("window_start"), "rows"), out, ckpt)
+    return latest_updates(spark.read.parquet(out), ["window_start"], "rows")
