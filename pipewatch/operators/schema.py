@@ -55,15 +55,54 @@ def _warehouse_type(dt: T.DataType) -> tuple[str, int | None, int | None, int |
     return dt.simpleString(), None, None, None
 
 
-def columns_of(spark: SparkSession, frames: dict[str, DataFrame | T.StructType], schema: str = "public") -> DataFrame:
-    """Column profile of DataFrames or schemas (name -> frame/schema), from
-    their schemas (metadata only: one row per column, no data read)."""
+def columns_of(
+    spark: SparkSession,
+    frames: dict[str, DataFrame | T.StructType],
+    schema: str = "public",
+    measure: bool = True,
+) -> DataFrame:
+    """Column profile of DataFrames or schemas (name -> frame/schema).
+
+    Types come from the schemas.  A string column has no declared length in
+    Spark, so its ``char_len`` is the longest value actually stored (one
+    aggregate pass per table over its string columns, kept lazy: the
+    per-table results are unpivoted with ``stack`` and joined to the schema
+    rows); declared ``varchar(n)`` / ``char(n)`` lengths are kept.  With
+    ``measure=False``, or for a bare schema, text gets the warehouse maximum
+    (65535)."""
     rows = []
+    measured = []
     for table, df in frames.items():
         struct = df if isinstance(df, T.StructType) else df.schema
+        strings = []
         for i, f in enumerate(struct.fields, start=1):
-            rows.append((schema, table, f.name, i, *_warehouse_type(f.dataType)))
-    return spark.createDataFrame(rows, PROFILE_SCHEMA)
+            kind = _warehouse_type(f.dataType)
+            rows.append((schema, table, f.name, i, *kind))
+            if type(f.dataType) is T.StringType:
+                strings.append(f.name)
+        if measure and strings and isinstance(df, DataFrame):
+            lens = df.agg(*[F.max(F.length(F.col(c))).alias(f"__l{j}") for j, c in enumerate(strings)])
+            pairs = ", ".join(f"'{_sql_str(c)}', __l{j}" for j, c in enumerate(strings))
+            measured.append(
+                lens.select(F.expr(f"stack({len(strings)}, {pairs})").alias("column", "__len")).select(
+                    F.lit(table).alias("table"), "column", F.greatest(F.col("__len"), F.lit(1)).cast("int").alias("__len")
+                )
+            )
+    profile = spark.createDataFrame(rows, PROFILE_SCHEMA)
+    if not measured:
+        return profile
+    lengths = measured[0]
+    for m in measured[1:]:
+        lengths = lengths.unionByName(m)
+    joined = profile.join(lengths, ["table", "column"], "left")
+    return joined.select(
+        "schema", "table", "column", "position", "data_type",
+        F.coalesce(F.col("__len"), F.col("char_len")).alias("char_len"), "precision", "scale",
+    )
+
+
+def _sql_str(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
 # ------------------------------------------------------------------------- C1

@@ -23,27 +23,48 @@ def _profile(spark, sf_dir):
 
 
 _IN = ", ".join(f"'{n}'" for n in PROFILED)
-_PROFILE_SQL = f"""
-    SELECT 'public' AS schema, table_name AS "table", column_name AS "column",
-           CAST(ordinal_position AS INTEGER) AS position,
+
+# The text columns of the profiled tables (the oracle measures them).
+TEXT_COLUMNS = {
+    "region": ["r_name"],
+    "nation": ["n_name"],
+    "customer": ["c_name", "c_mktsegment"],
+    "supplier": ["s_name"],
+    "part": ["p_name", "p_brand", "p_type"],
+    "orders": ["o_orderstatus", "o_orderpriority"],
+    "lineitem": ["l_returnflag", "l_linestatus"],
+    "events": ["event_type", "props"],
+}
+_CDC_TEXT = ["o_orderstatus", "o_orderpriority", "op", "commit_timestamp", "cdc_transact_id", "event_time"]
+
+_LENGTHS_SQL = " UNION ALL ".join(
+    [f"SELECT '{t}' AS t, '{c}' AS c, max(length({c})) AS len FROM {t}" for t, cols in TEXT_COLUMNS.items() for c in cols]
+    + [f"SELECT 'orders_cdc', '{c}', max(length({c})) FROM ({fx.CDC_SOURCE})" for c in _CDC_TEXT]
+)
+
+_TYPES_SQL = f"""
+    SELECT table_name AS "table", column_name AS "column", CAST(ordinal_position AS INTEGER) AS position,
            CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'integer'
                 WHEN 'VARCHAR' THEN 'character varying' WHEN 'DOUBLE' THEN 'double precision'
                 WHEN 'TIMESTAMP' THEN 'timestamp without time zone' ELSE lower(data_type) END AS data_type,
-           CAST(CASE WHEN data_type = 'VARCHAR' THEN 65535 END AS INTEGER) AS char_len,
            CAST(CASE data_type WHEN 'BIGINT' THEN 64 WHEN 'INTEGER' THEN 32 WHEN 'DOUBLE' THEN 53 END AS INTEGER) AS precision,
            CAST(CASE WHEN data_type IN ('BIGINT', 'INTEGER') THEN 0 END AS INTEGER) AS scale
     FROM information_schema.columns WHERE table_name IN ({_IN})
 """
 _PROFILE_ALL_SQL = f"""
-    {_PROFILE_SQL}
-    UNION ALL
-    SELECT 'public', 'orders_cdc', "column", position, data_type, char_len, precision, scale FROM (
-        SELECT "column", position, data_type, char_len, precision, scale
-        FROM ({_PROFILE_SQL}) WHERE "table" = 'orders'
-        UNION ALL SELECT 'op', 7, 'character varying', 65535, NULL, NULL
-        UNION ALL SELECT 'commit_timestamp', 8, 'character varying', 65535, NULL, NULL
-        UNION ALL SELECT 'cdc_transact_id', 9, 'character varying', 65535, NULL, NULL
-        UNION ALL SELECT 'event_time', 10, 'character varying', 65535, NULL, NULL)
+    SELECT 'public' AS schema, ty."table", ty."column", ty.position, ty.data_type,
+           CAST(CASE WHEN ty.data_type = 'character varying' THEN greatest(coalesce(l.len, 1), 1) END AS INTEGER) AS char_len,
+           ty.precision, ty.scale
+    FROM (
+        SELECT * FROM ({_TYPES_SQL})
+        UNION ALL
+        SELECT 'orders_cdc', "column", position, data_type, precision, scale FROM (
+            SELECT "column", position, data_type, precision, scale FROM ({_TYPES_SQL}) WHERE "table" = 'orders'
+            UNION ALL SELECT 'op', 7, 'character varying', NULL, NULL
+            UNION ALL SELECT 'commit_timestamp', 8, 'character varying', NULL, NULL
+            UNION ALL SELECT 'cdc_transact_id', 9, 'character varying', NULL, NULL
+            UNION ALL SELECT 'event_time', 10, 'character varying', NULL, NULL)
+    ) ty LEFT JOIN ({_LENGTHS_SQL}) l ON l.t = ty."table" AND l.c = ty."column"
 """
 
 

@@ -172,3 +172,12 @@ def test_times_ignore_session_zone(spark):
         assert (r.a, r.b, r.c, r.d) == ("199804050230", "1998/04/05/02", "1998-04-05T02:30:00", "1998-04-05 02:30:00")
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_columns_of_measures_text_length(spark):
+    df = spark.createDataFrame([("ab", None, 1), ("abcé", None, 2)], "s string, empty string, n int")
+    prof = {r.column: (r.data_type, r.char_len) for r in sc.columns_of(spark, {"t": df}).collect()}
+    assert prof == {"s": ("character varying", 4), "empty": ("character varying", 1), "n": ("integer", None)}
+    cdc = {r.column: r.cdc_type for r in sc.map_types_cdc(sc.columns_of(spark, {"t": df})).collect()}
+    assert cdc["s"] == "varchar(4)"
+    assert sc.columns_of(spark, {"t": df}, measure=False).where("column = 's'").first().char_len == 65535
