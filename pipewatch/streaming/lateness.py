@@ -20,11 +20,14 @@ OUTPUT_SCHEMA = "partition int, key string, diff_ts bigint, id bigint"
 STATE_SCHEMA = "max_ts bigint"
 
 
-def _late_rows(seq: str, ts: str, keys: Sequence[str]):
+def _late_rows(seq: str, ts: str, keys: Sequence[str], idle_ms: int | None = None):
     import numpy as np
     import pandas as pd
 
     def fn(key, pdfs, state):
+        if state.hasTimedOut:  # idle key: forget its running max
+            state.remove()
+            return
         frames = list(pdfs)
         frame = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
         if frame.empty:
@@ -38,6 +41,8 @@ def _late_rows(seq: str, ts: str, keys: Sequence[str]):
         top = running[-1]
         if np.isfinite(top):
             state.update((int(top),))
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
         late = (running - values) > 0
         if late.any():
             idx = order[late]
@@ -54,14 +59,27 @@ def _late_rows(seq: str, ts: str, keys: Sequence[str]):
     return fn
 
 
-def late_rows_stream(events: DataFrame, seq: str = "offset", ts: str = "ts", keys: Sequence[str] = ("partition", "key")) -> DataFrame:
+def late_rows_stream(
+    events: DataFrame,
+    seq: str = "offset",
+    ts: str = "ts",
+    keys: Sequence[str] = ("partition", "key"),
+    idle_timeout_ms: int | None = None,
+) -> DataFrame:
     """Streaming late rows per key: ``partition, key, diff_ts, id`` for
-    every row behind the running max of its key (across batches)."""
+    every row behind the running max of its key (across batches).
+
+    State is one bigint per key.  With ``idle_timeout_ms`` the state of a
+    key that sees no rows for that long (processing time) is removed, which
+    bounds the state of a stream whose key space keeps growing; lateness of
+    a key that returns after that is measured afresh.  Timeouts need a
+    continuously running query (processing-time trigger): Spark keeps
+    scheduling empty batches to fire pending timeouts, so an ``availableNow``
+    replay would not end."""
     keys = list(keys)
-    fn = _late_rows(seq, ts, keys)
-    return events.groupBy(*keys).applyInPandasWithState(
-        fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
-    )
+    fn = _late_rows(seq, ts, keys, idle_timeout_ms)
+    timeout = GroupStateTimeout.NoTimeout if idle_timeout_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+    return events.groupBy(*keys).applyInPandasWithState(fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append", timeout)
 
 
 def with_lateness_watermark(events: DataFrame, event_time: str, bound_seconds: int) -> DataFrame:
@@ -86,14 +104,15 @@ def windowed_counts_with_watermark(events: DataFrame, event_time: str, delay_sec
 
 def run_update_to_parquet(stream_df: DataFrame, path: str, checkpoint: str) -> None:
     """Run an aggregating stream with ``availableNow`` in update mode; each
-    micro-batch appends its updated rows, tagged with the batch id, to a
-    Parquet folder (idempotent per batch id on replay: rows of a batch id are
-    written once per successful commit).  Read the final value of a group as
-    the row of its highest batch id (:func:`latest_updates`)."""
+    micro-batch writes its updated rows, tagged with the batch id, to its own
+    ``batch_id=<n>`` folder in overwrite mode, so a batch replayed after a
+    failure replaces its earlier attempt instead of duplicating it.  Read the
+    final value of a group as the row of its highest batch id
+    (:func:`latest_updates`)."""
     from pyspark.sql import functions as F
 
     def write(batch, batch_id):
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(f"{path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     q = (
         stream_df.writeStream.outputMode("update")

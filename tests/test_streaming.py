@@ -59,6 +59,32 @@ def test_stream_late_rows_equal_batch_per_key(spark):
     assert got.exceptAll(want.select(got.columns)).count() == 0
 
 
+def test_stream_late_rows_with_idle_timeout(spark):
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    src = work_dir(spark, "s2tsrc")
+    _write_parts(spark, orders, src, [(0, 10_000)], "o_orderkey")
+    stream = spark.readStream.schema(orders.schema).parquet(src)
+    late = late_rows_stream(tp.extract_events(derived.orders_as_log(stream)), idle_timeout_ms=3_600_000)
+    out, ckpt = work_dir(spark, "s2tout"), work_dir(spark, "s2tckpt")
+    # timeouts need a continuously running query (not availableNow)
+    q = late.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt).trigger(
+        processingTime="1 second"
+    ).start()
+    # processAllAvailable() would wait for an idle stream, but pending
+    # timeouts keep empty batches running: poll for a batch after the data
+    deadline = time.time() + 120
+    try:
+        while time.time() < deadline:
+            lp = q.lastProgress
+            if lp and lp["batchId"] >= 1 and lp["numInputRows"] == 0:
+                break
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    want = tp.disorder_bound(tp.extract_events(derived.orders_log(spark, SF)), key="key", topn=None)
+    assert spark.read.schema(late.schema).parquet(out).count() == want.count()
+
+
 def test_watermark_below_bound_drops_rows(spark):
     from pipewatch.streaming.lateness import latest_updates, run_update_to_parquet, windowed_counts_with_watermark
 

@@ -57,7 +57,13 @@ def main(argv):
     from pipewatch.plans import registry
     from pipewatch.session import build_session
 
-    spark = build_session()
+    if os.environ.get("PIPEWATCH_PLAIN"):  # a default session, as a caller might bring
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = build_session()
     con = duckdb.connect()
     for t in TABLES:
         p = f"{sf_dir}/{t}.parquet"
