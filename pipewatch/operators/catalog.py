@@ -282,7 +282,9 @@ def date_drill(df: DataFrame, ts: str, year: int | None = None, month: int | Non
     else:
         out = out.where((F.year(c) == year) & (F.month(c) == month))
         level = "day"
-    return out.groupBy(F.date_trunc(level, c).cast("date").alias("period")).agg(F.count(F.lit(1)).alias("count"))
+    day = F.to_date(c)  # the wall-clock date; no session zone involved
+    period = day if level == "day" else F.trunc(day, level)
+    return out.groupBy(period.alias("period")).agg(F.count(F.lit(1)).alias("count"))
 
 
 # ------------------------------------------------------------------------ I14

@@ -206,30 +206,35 @@ def i12_pick(spark, sf_dir):
     return cg.pick(c, {"c_mktsegment": "BUILDING", "c_nationkey": 3}).select("c_custkey", "c_name")
 
 
+def _as_ts(drill):
+    """Period start as a midnight timestamp (the oracle's date_trunc type)."""
+    return drill.select(F.col("period").cast("timestamp_ntz").alias("period"), "count")
+
+
 @register(
     "i13_date_drill_years",
-    """SELECT CAST(date_trunc('year', o_orderdate) AS DATE) AS period, count(*) AS "count" FROM orders GROUP BY 1""",
+    """SELECT date_trunc('year', o_orderdate) AS period, count(*) AS "count" FROM orders GROUP BY 1""",
 )
 def i13_date_drill_years(spark, sf_dir):
-    return cg.date_drill(read_table(spark, sf_dir, "orders"), "o_orderdate")
+    return _as_ts(cg.date_drill(read_table(spark, sf_dir, "orders"), "o_orderdate"))
 
 
 @register(
     "i13_date_drill_months",
-    """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period, count(*) AS "count" FROM orders
+    """SELECT date_trunc('month', o_orderdate) AS period, count(*) AS "count" FROM orders
        WHERE year(o_orderdate) = 1997 GROUP BY 1""",
 )
 def i13_date_drill_months(spark, sf_dir):
-    return cg.date_drill(read_table(spark, sf_dir, "orders"), "o_orderdate", year=1997)
+    return _as_ts(cg.date_drill(read_table(spark, sf_dir, "orders"), "o_orderdate", year=1997))
 
 
 @register(
     "i13_date_drill_days",
-    """SELECT CAST(date_trunc('day', o_orderdate) AS DATE) AS period, count(*) AS "count" FROM orders
+    """SELECT date_trunc('day', o_orderdate) AS period, count(*) AS "count" FROM orders
        WHERE year(o_orderdate) = 1997 AND month(o_orderdate) = 5 GROUP BY 1""",
 )
 def i13_date_drill_days(spark, sf_dir):
-    return cg.date_drill(read_table(spark, sf_dir, "orders"), "o_orderdate", year=1997, month=5)
+    return _as_ts(cg.date_drill(read_table(spark, sf_dir, "orders"), "o_orderdate", year=1997, month=5))
 
 
 @register("i14_scoped", f"""SELECT * FROM ({fx.CATALOGUE}) WHERE schema = 'ods'""")

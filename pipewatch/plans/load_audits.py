@@ -137,13 +137,13 @@ def l6_restore_tables(spark, sf_dir):
 
 @register(
     "l7_heads",
-    """SELECT 'nation' AS table_name, row_number() OVER (ORDER BY n_nationkey) AS rn, to_json(t) AS row_json
+    """SELECT 'nation' AS table_name, CAST(row_number() OVER (ORDER BY n_nationkey) AS INTEGER) AS rn, to_json(t) AS row_json
        FROM (SELECT * FROM nation ORDER BY n_nationkey LIMIT 3) t
        UNION ALL
-       SELECT 'region', row_number() OVER (ORDER BY r_regionkey), to_json(t)
+       SELECT 'region', CAST(row_number() OVER (ORDER BY r_regionkey) AS INTEGER), to_json(t)
        FROM (SELECT * FROM region ORDER BY r_regionkey LIMIT 3) t
        UNION ALL
-       SELECT 'supplier', row_number() OVER (ORDER BY s_suppkey), to_json(t)
+       SELECT 'supplier', CAST(row_number() OVER (ORDER BY s_suppkey) AS INTEGER), to_json(t)
        FROM (SELECT * FROM supplier ORDER BY s_suppkey LIMIT 3) t""",
 )
 def l7_heads(spark, sf_dir):
@@ -156,7 +156,7 @@ def l7_heads(spark, sf_dir):
     "l7_heads_by_supplier",
     """SELECT l_suppkey, l_orderkey, l_linenumber, rn FROM (
            SELECT l_suppkey, l_orderkey, l_linenumber,
-                  row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber) AS rn
+                  CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber) AS INTEGER) AS rn
            FROM lineitem) WHERE rn <= 3""",
 )
 def l7_heads_by_supplier(spark, sf_dir):
