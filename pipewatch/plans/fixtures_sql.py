@@ -56,9 +56,9 @@ ENDPOINTS = """
            lower(n_name) || '-ep' AS id,
            CASE WHEN n_nationkey % 2 = 0 THEN 'SOURCE' ELSE 'TARGET' END AS type,
            CASE n_regionkey WHEN 0 THEN 'mysql' WHEN 1 THEN 'postgres' WHEN 2 THEN 'aurora'
-                WHEN 3 THEN 'redshift' ELSE 'mariadb' END AS engine,
+                WHEN 3 THEN 'sqlserver' ELSE 'mariadb' END AS engine,
            upper(CASE n_regionkey WHEN 0 THEN 'mysql' WHEN 1 THEN 'postgres' WHEN 2 THEN 'aurora'
-                WHEN 3 THEN 'redshift' ELSE 'mariadb' END) AS engine_name,
+                WHEN 3 THEN 'sqlserver' ELSE 'mariadb' END) AS engine_name,
            'active' AS status,
            CASE WHEN n_nationkey % 3 = 0 THEN '' ELSE lower(n_name) || '_db' END AS database,
            'db' || CAST(n_regionkey AS VARCHAR) || '.example' AS server

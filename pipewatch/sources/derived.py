@@ -1,6 +1,6 @@
 """Logical inputs of the audits, derived by Spark from the driver tables.
 
-The reference reads these rows from AWS APIs, Kafka and warehouse
+In production these rows come from cloud service APIs, Kafka and warehouse
 catalogues; here each one is a deterministic projection of a driver table
 (see FIXTURES.md), so the work of every audit grows with the tables.
 Each function takes ``(spark, sf_dir)`` and returns a lazy DataFrame.
@@ -124,7 +124,7 @@ def endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("n_nationkey")
     r = F.col("n_regionkey")
     engine = (
-        F.when(r == 0, "mysql").when(r == 1, "postgres").when(r == 2, "aurora").when(r == 3, "redshift").otherwise("mariadb")
+        F.when(r == 0, "mysql").when(r == 1, "postgres").when(r == 2, "aurora").when(r == 3, "sqlserver").otherwise("mariadb")
     )
     return n.select(
         F.concat(F.lit("arn:ep:"), _s(k)).alias("arn"),
