@@ -112,3 +112,13 @@ def test_tasks_of_endpoint(spark):
     assert got == ["t2", "t3"]
     known = spark.createDataFrame([("t2",)], "task_id string")
     assert [r.task_id for r in sx.tasks_of_endpoint(tasks, "ep:c", known).collect()] == ["t3"]
+
+
+def test_change_counts_export_csv(spark, tmp_dir):
+    from pipewatch.sources.sinks import export
+
+    tasks, eps, stats = _catalogue(spark)
+    full = sx.change_counts(stats, tasks, eps, topn=None)
+    export(full, tmp_dir, "csv")
+    back = spark.read.option("header", "true").csv(tmp_dir)
+    assert sorted(r.table_name for r in back.collect()) == ["db1.s.orders", "s.orders", "s.users"]
