@@ -30,6 +30,8 @@ DEFAULT_FALLBACK_FIELD = "modify_time"
 DEFAULT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DEFAULT_TOPN = 5
 INTERNAL_TOPIC_PREFIXES = ("__", "--")
+# Topic partitions up to which slice bounds become a literal scan filter.
+MAX_STATIC_PARTITIONS = 256
 
 
 # --------------------------------------------------------------------- T1, T2
@@ -40,6 +42,7 @@ def slice_log(
     partition: str = "partition",
     offset: str = "offset",
     ts: str = "timestamp",
+    static_bounds: bool = True,
 ) -> DataFrame:
     """Time-bounded slice of a message log, per partition.
 
@@ -54,7 +57,12 @@ def slice_log(
     start`` lies at or after the start offset, so the first such row needs
     no second pass; ``greatest`` covers ``end < start`` (the start row
     itself then ends the slice).  The bounds table has one row per topic
-    partition - bounded by the topic's partition count - and is broadcast.
+    partition - bounded by the topic's partition count.  With
+    ``static_bounds`` (one small action) it is collected and becomes a
+    literal ``partition = p AND offset BETWEEN lo AND hi`` filter that the
+    Parquet scan uses to skip row groups, so a recent slice of a long topic
+    reads only its own row groups; otherwise (or beyond
+    ``MAX_STATIC_PARTITIONS``) it is broadcast-joined to the log.
     """
     ttype = log.schema[ts].dataType
     t = F.col(ts)
@@ -71,6 +79,18 @@ def slice_log(
         .agg(F.min(offset).alias("__lo"), hi_expr.alias("__hi"))
         .withColumn("__hi", F.when(F.col("__hi").isNotNull(), F.greatest("__lo", "__hi")))
     )
+    if static_bounds:
+        rows = bounds.collect()  # one row per topic partition (bounded)
+        if len(rows) <= MAX_STATIC_PARTITIONS:
+            if not rows:
+                return log.where(F.lit(False))
+            cond = F.lit(False)
+            for r in rows:
+                term = (F.col(partition) == F.lit(r[partition])) & (F.col(offset) >= F.lit(r["__lo"]))
+                if r["__hi"] is not None:
+                    term = term & (F.col(offset) <= F.lit(r["__hi"]))
+                cond = cond | term
+            return log.where(cond)
     joined = log.join(F.broadcast(bounds), on=partition, how="inner")
     keep = (F.col(offset) >= F.col("__lo")) & (F.col("__hi").isNull() | (F.col(offset) <= F.col("__hi")))
     return joined.where(keep).drop("__lo", "__hi")

@@ -23,15 +23,22 @@ def test_facets_single_scan_with_expand(spark):
     assert plan.count("FileScan") == 1 and "Expand" in plan
 
 
-def test_slice_bounds_filter_reaches_scan(spark):
-    # a log whose broker time is a stored column (as in a landed or Kafka log)
+def test_slice_filters_reach_scan(spark):
+    # a log whose broker time and offset are stored columns (as in a landed or Kafka log)
     log = spark.read.parquet(f"{SF}/events.parquet").selectExpr(
         "0 AS partition", "event_id AS offset", "ts AS timestamp", "props AS value"
     )
-    plan = _plan(tp.slice_log(log, dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 12)))
-    scans = [ln for ln in plan.splitlines() if "FileScan" in ln]
-    assert any("ts" in ln and ">= 2024-01-10" in ln for ln in scans)
-    assert "BroadcastExchange" in plan  # the per-partition bounds (one row per topic partition)
+    start, end = dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 12)
+    # bounds pass: the time filter reaches the scan
+    bounds_plan = _plan(log.where(F.col("timestamp") >= F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")))
+    assert any(">= 2024-01-10" in ln for ln in bounds_plan.splitlines() if "FileScan" in ln)
+    # slice pass: the collected bounds are a literal offset range on the scan
+    sliced = tp.slice_log(log, start, end)
+    scans = [ln for ln in _plan(sliced).splitlines() if "FileScan" in ln]
+    assert any("event_id" in ln and ">=" in ln and "<=" in ln for ln in scans)
+    joined = tp.slice_log(log, start, end, static_bounds=False)
+    assert "BroadcastExchange" in _plan(joined)
+    assert sorted(r.offset for r in sliced.collect()) == sorted(r.offset for r in joined.collect())
 
 
 def test_latest_items_broadcasts_only_top_n(spark):
