@@ -80,22 +80,32 @@ def slice_log(
         .withColumn("__hi", F.when(F.col("__hi").isNotNull(), F.greatest("__lo", "__hi")))
     )
     if static_bounds:
-        rows = bounds.collect()  # one row per topic partition (bounded)
-        if len(rows) <= MAX_STATIC_PARTITIONS:
-            if not rows:
-                return log.where(F.lit(False))
-            cond = F.lit(False)
-            for r in rows:
-                term = (F.col(partition) == F.lit(r[partition])) & (F.col(offset) >= F.lit(r["__lo"]))
-                if r["__hi"] is not None:
-                    term = term & (F.col(offset) <= F.lit(r["__hi"]))
-                cond = cond | term
-            return log.where(cond)
+        narrowed = _offset_ranges(log, bounds, partition, offset)
+        if narrowed is not None:
+            return narrowed
     joined = log.join(F.broadcast(bounds), on=partition, how="inner")
     keep = (F.col(offset) >= F.col("__lo")) & (F.col("__hi").isNull() | (F.col(offset) <= F.col("__hi")))
     return joined.where(keep).drop("__lo", "__hi")
 
 
+def _offset_ranges(log: DataFrame, ranges: DataFrame, partition: str, offset: str) -> DataFrame | None:
+    """``log`` restricted to per-partition offset ranges (``ranges``: one
+    row per topic partition with ``__lo`` and a nullable ``__hi``) through a
+    literal filter the Parquet scan can use to skip row groups.  Collects the
+    ranges (bounded by the partition count); returns None beyond
+    ``MAX_STATIC_PARTITIONS`` so the caller can join instead."""
+    rows = ranges.select(partition, "__lo", "__hi").collect()
+    if len(rows) > MAX_STATIC_PARTITIONS:
+        return None
+    cond = F.lit(False)
+    for r in rows:
+        term = (F.col(partition) == F.lit(r[partition])) & (F.col(offset) >= F.lit(r["__lo"]))
+        if r["__hi"] is not None:
+            term = term & (F.col(offset) <= F.lit(r["__hi"]))
+        cond = cond | term
+    return log.where(cond)
+
+
 def slice_last_day(log: DataFrame, now, **names) -> DataFrame:
     """T1 over ``[now - 24h, now]``, ``now`` cut to whole seconds."""
     if isinstance(now, dt.datetime):
@@ -276,6 +286,7 @@ def check_landed(
     partition: str = "partition",
     offset: str = "offset",
     value: str = "value",
+    static_bounds: bool = True,
 ) -> DataFrame:
     """Compare the key sequence of the topic with the landed copy, position
     by position (offset), over the landed offset range of each partition.
@@ -284,13 +295,18 @@ def check_landed(
     both sides), ``mismatched`` (keys differ, null-safe), ``missing``
     (topic rows absent from the copy), ``extra`` (copy rows absent from the
     topic), ``first_offset`` of the first difference (null when equal).
-    An equi-join on (partition, offset), not a positional zip."""
+    An equi-join on (partition, offset), not a positional zip.  The landed
+    ranges (one row per partition) become a literal offset filter on the
+    log scan, as in :func:`slice_log`."""
     rng = landed.groupBy(partition).agg(F.min(offset).alias("__lo"), F.max(offset).alias("__hi"))
-    topic = (
-        log.join(F.broadcast(rng), partition)
-        .where(F.col(offset).between(F.col("__lo"), F.col("__hi")))
-        .select(partition, offset, F.json_tuple(F.col(value), key_field).alias("topic_key"))
-    )
+    in_range = _offset_ranges(log, rng, partition, offset) if static_bounds else None
+    if in_range is None:
+        in_range = (
+            log.join(F.broadcast(rng), partition)
+            .where(F.col(offset).between(F.col("__lo"), F.col("__hi")))
+            .drop("__lo", "__hi")
+        )
+    topic = in_range.select(partition, offset, F.json_tuple(F.col(value), key_field).alias("topic_key"))
     copy = landed.select(partition, offset, F.col("key").alias("landed_key"), F.lit(True).alias("__in"))
     both = topic.withColumn("__t", F.lit(True)).join(copy, [partition, offset], "full_outer")
     diff = ~F.col("topic_key").eqNullSafe(F.col("landed_key"))

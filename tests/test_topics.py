@@ -142,3 +142,14 @@ def test_disorder_is_per_topic_partition(spark):
     assert tp.disorder_bound(ev, topn=5).count() == 0
     late = tp.disorder_bound(ev, topn=5, per=()).collect()  # one global sequence: offsets collide
     assert late  # treating offsets as one sequence would report disorder
+
+
+def test_check_landed_static_and_joined_agree(spark):
+    log = _log(spark, [(p, i, _t(0), f'{{"id": {i % 4}}}') for p in (0, 1) for i in range(12)])
+    landed = spark.createDataFrame(
+        [(p, i, str(i % 4) if (p, i) != (1, 5) else "x", 0) for p in (0, 1) for i in range(3, 9 + p)],
+        "partition int, offset bigint, key string, ts bigint",
+    )
+    a = sorted(tuple(r) for r in tp.check_landed(log, landed).collect())
+    b = sorted(tuple(r) for r in tp.check_landed(log, landed, static_bounds=False).collect())
+    assert a == b == [(0, 6, 0, 0, 0, None), (1, 7, 1, 0, 0, 5)]
