@@ -263,16 +263,32 @@ def _pretty_json(values):  # per-row helper on the final few rows only
 
 
 def last_message(
-    log: DataFrame, partition: str = "partition", offset: str = "offset", value: str = "value", pretty: bool = True
+    log: DataFrame,
+    partition: str = "partition",
+    offset: str = "offset",
+    value: str = "value",
+    pretty: bool = True,
+    static_bounds: bool = True,
 ) -> DataFrame:
     """The last message of each partition (highest offset): ``partition,
     offset, timestamp, value`` and, with ``pretty``, the value re-indented.
-    An empty log gives no rows.  ``max_by`` is a partial aggregate, so a
-    hot partition is combined map-side."""
-    cols = [c for c in log.columns if c not in (partition,)]
-    last = log.groupBy(partition).agg(F.max_by(F.struct(*cols), F.col(offset)).alias("__m")).select(
-        partition, "__m.*"
-    )
+    An empty log gives no rows.
+
+    The highest offset per partition is found from the two narrow columns
+    only; the rows themselves are then read through a literal offset filter
+    (row groups skipped by their offset statistics), so the wide ``value``
+    column of the whole log is never read.  Beyond
+    ``MAX_STATIC_PARTITIONS`` partitions a ``max_by`` aggregate (partial,
+    combined map-side) is used instead."""
+    last = None
+    if static_bounds:
+        top = log.groupBy(partition).agg(F.max(offset).alias("__lo")).withColumn("__hi", F.col("__lo"))
+        last = _offset_ranges(log, top, partition, offset)
+    if last is None:
+        cols = [c for c in log.columns if c != partition]
+        last = log.groupBy(partition).agg(F.max_by(F.struct(*cols), F.col(offset)).alias("__m")).select(
+            partition, "__m.*"
+        )
     if pretty:
         last = last.withColumn("pretty", _pretty_json(F.col(value)))
     return last
