@@ -15,7 +15,7 @@ def spark():
     from pyspark.sql import SparkSession
 
     s = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[*]")
         .appName("pipewatch-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
