@@ -204,7 +204,11 @@ def disorder_bound(
     keys = [key] if isinstance(key, str) else list(key or [])
     per = [c for c in per if c in events.columns]
     group = [*per, *keys]
-    late = lateness(events, seq, ts, group, buckets, rows_per_bucket, bucket_width).where(F.col("diff_ts") > 0)
+    # per key: split only keys with more than bucket_width rows (many small
+    # keys would otherwise each get a bucket per offset range they touch)
+    late = lateness(events, seq, ts, group, buckets, rows_per_bucket, bucket_width, hot_keys_only=bool(keys)).where(
+        F.col("diff_ts") > 0
+    )
     out = late.select(*group, F.col("diff_ts"), F.col(seq).alias("id"))
     if topn is None:
         return out
@@ -228,7 +232,7 @@ def late_beyond(
     column against a tiny literal table of delays."""
     keys = [key] if isinstance(key, str) else list(key or [])
     per = [c for c in per if c in events.columns]
-    lat = lateness(events, seq, ts, [*per, *keys], buckets, bucket_width=bucket_width)
+    lat = lateness(events, seq, ts, [*per, *keys], buckets, bucket_width=bucket_width, hot_keys_only=bool(keys))
     # One pass: a conditional count per candidate delay (a short literal
     # list), then ``stack`` turns the counts into rows - no join needed.
     aggs = [F.count(F.when(F.col("diff_ts") > int(d), 1)).alias(f"d{i}") for i, d in enumerate(delays)]

@@ -44,6 +44,8 @@ DEFAULT_BUCKET_WIDTH = 1_000_000  # seq units (offsets) per bucket
 _BK = "__pw_bk"
 _CARRY = "__pw_carry"
 _LOCAL = "__pw_local"
+_HOT = "__pw_hot"
+MAX_BROADCAST_HOT_KEYS = 1_000_000  # checked bound for broadcasting the hot-key list
 _KEY = "__pw_key"
 
 
@@ -111,6 +113,7 @@ def running_max(
     buckets: int | None = None,
     rows_per_bucket: int | None = None,
     bucket_width: int = DEFAULT_BUCKET_WIDTH,
+    hot_keys_only: bool = False,
 ) -> DataFrame:
     """``df`` (rows with non-null ``seq``) plus ``out`` = running max of
     ``value`` over rows of the same ``keys`` with ``seq`` up to the current
@@ -125,6 +128,16 @@ def running_max(
     * ``buckets=N`` - N quantile buckets (one ``approxQuantile`` action);
     * ``rows_per_bucket=R`` - quantile buckets of about R rows, planned in one
       aggregate pass (:func:`plan_bounds`), for sequences that are not dense.
+
+    ``hot_keys_only`` (fixed width, with keys): only keys holding more than
+    ``bucket_width`` rows are split into buckets.  Otherwise a small key
+    spread over a long log gets a bucket per offset range it touches and the
+    bucket table grows to the size of the data.  One narrow partial
+    aggregate counts rows per key.  The hot keys (at most
+    ``rows / bucket_width`` of them) are checkpointed to the shared
+    checkpoint folder and counted, then broadcast when within
+    ``MAX_BROADCAST_HOT_KEYS``; beyond that every key is bucketed.  With no
+    hot key this is a plain per-key window.
     """
     keys = list(keys)
     base = df.where(F.col(seq).isNotNull())
@@ -133,12 +146,35 @@ def running_max(
         data = with_bucket(base, seq, bounds)
         if not bounds:
             return _single_bucket(data, seq, value, keys, out)
+    elif hot_keys_only and keys:
+        data = _hot_bucketed(base, seq, keys, int(bucket_width))
+        if data is None:
+            return _single_bucket(base.withColumn(_BK, F.lit(0)), seq, value, [F.struct(*keys)], out)
     else:
         data = base.withColumn(_BK, F.floor(F.col(seq) / F.lit(int(bucket_width))))
     return _bucketed(df, data, seq, value, keys, out)
 
 
-def _single_bucket(data: DataFrame, seq: str, value: str, keys: list[str], out: str) -> DataFrame:
+def _hot_bucketed(base: DataFrame, seq: str, keys: list[str], width: int) -> DataFrame | None:
+    """``base`` with the bucket column: ``floor(seq / width)`` for hot keys,
+    0 for the rest; None when no key is hot."""
+    from pipewatch.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(base.sparkSession)
+    kstruct = F.struct(*keys)
+    counts = base.groupBy(kstruct.alias(_KEY)).agg(F.count(F.lit(1)).alias("__n"))
+    hot = counts.where(F.col("__n") > width).select(_KEY, F.lit(True).alias(_HOT)).checkpoint(eager=True)
+    n_hot = hot.count()  # reads the checkpointed rows only
+    if n_hot == 0:
+        return None
+    if n_hot > MAX_BROADCAST_HOT_KEYS:
+        return base.withColumn(_BK, F.floor(F.col(seq) / F.lit(width)))
+    tagged = base.withColumn(_KEY, kstruct).join(F.broadcast(hot), _KEY, "left").drop(_KEY)
+    bucket = F.when(F.col(_HOT), F.floor(F.col(seq) / F.lit(width))).otherwise(F.lit(0).cast("bigint"))
+    return tagged.withColumn(_BK, bucket).drop(_HOT)
+
+
+def _single_bucket(data: DataFrame, seq: str, value: str, keys: list, out: str) -> DataFrame:
     w = Window.partitionBy(*keys, _BK).orderBy(F.col(seq)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return data.withColumn(out, F.max(value).over(w)).drop(_BK)
 
@@ -175,11 +211,12 @@ def lateness(
     buckets: int | None = None,
     rows_per_bucket: int | None = None,
     bucket_width: int = DEFAULT_BUCKET_WIDTH,
+    hot_keys_only: bool = False,
 ) -> DataFrame:
     """``df`` plus ``max_ts`` (running max of ``ts``) and ``diff_ts`` =
     ``max_ts - ts``: how far each row arrives behind the latest time seen
     before it."""
-    ran = running_max(df, seq, ts, keys, "max_ts", buckets, rows_per_bucket, bucket_width)
+    ran = running_max(df, seq, ts, keys, "max_ts", buckets, rows_per_bucket, bucket_width, hot_keys_only)
     return ran.withColumn("diff_ts", F.col("max_ts") - F.col(ts))
 
 

@@ -50,3 +50,18 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
     return "/".join([root.rstrip("/"), *parts, uuid.uuid4().hex])
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The checkpoint folder named by ``spark.checkpoint.dir``, registered
+    with the context; a folder under the warehouse only when none is set."""
+    sc_dir = spark.sparkContext.getCheckpointDir()
+    if sc_dir:
+        return sc_dir
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
+        root = warehouse.rstrip("/") + "/_pipewatch_work"
+        spark.conf.set("spark.checkpoint.dir", root)
+    spark.sparkContext.setCheckpointDir(root)
+    return root

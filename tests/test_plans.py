@@ -68,6 +68,11 @@ def test_cdc_read_prunes_partitions(spark, tmp_dir):
 
 def test_per_key_disorder_has_no_single_partition_on_data(spark):
     ev = tp.extract_events(derived.orders_log(spark, SF)).withColumn("partition", F.col("offset") % 3)
-    plan = _plan(tp.disorder_bound(ev, key="key", topn=None, bucket_width=100))
-    assert "SinglePartition" not in plan
-    assert "hashpartitioning(__pw_key" in plan and "__pw_bk" in plan
+    # no key holds more than 100 rows: a plain per-key window
+    cold = _plan(tp.disorder_bound(ev, key="key", topn=None, bucket_width=100))
+    assert "SinglePartition" not in cold and "hashpartitioning" in cold
+    # one hot key (half the rows): it alone is split into buckets
+    hot_ev = ev.withColumn("key", F.when(F.col("offset") % 2 == 0, F.lit("hot")).otherwise(F.col("key")))
+    hot = _plan(tp.disorder_bound(hot_ev, key="key", topn=None, bucket_width=100))
+    assert "SinglePartition" not in hot
+    assert "hashpartitioning(__pw_key" in hot and "__pw_hot" in hot

@@ -51,6 +51,17 @@ def test_width_buckets_equal_plain(spark, width, keys):
     assert _rows(got, cols) == _rows(want, cols)
 
 
+@pytest.mark.parametrize("width", [1, 30, 150, 10_000])
+def test_hot_keys_only_equals_plain(spark, width):
+    # one hot key (most rows) and many small ones, null key included
+    rows = [(i, "hot" if i % 3 else (None if i % 7 == 0 else f"c{i % 50}"), (i * 7919) % 1000) for i in range(1500)]
+    df = spark.createDataFrame(rows, "seq bigint, key string, ts bigint")
+    got = running_max(df, "seq", "ts", ["key"], bucket_width=width, hot_keys_only=True)
+    want = _plain(df, "seq", "ts", ["key"])
+    cols = ["seq", "key", "max_ts"]
+    assert _rows(got, cols) == _rows(want, cols)
+
+
 def test_width_buckets_are_lazy(spark):
     df = _data(spark, n=50)
     jobs = spark.sparkContext.statusTracker().getJobIdsForGroup()
