@@ -31,37 +31,30 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
     return spark
 
 
-def work_dir(spark: SparkSession, *parts: str) -> str:
-    """A fresh folder under the shared folder named by ``spark.checkpoint.dir``.
-
-    The setting is read from the session.  Only when it is unset (local
-    runs, tests) is a folder under the warehouse directory chosen and
-    registered as the checkpoint folder, so that later ``checkpoint()``
-    calls and streaming checkpoints land in the same shared place.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        sc_dir = spark.sparkContext.getCheckpointDir()
-        if sc_dir:
-            root = sc_dir
-    if not root:
-        warehouse = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
-        root = warehouse.rstrip("/") + "/_pipewatch_work"
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    return "/".join([root.rstrip("/"), *parts, uuid.uuid4().hex])
+def _fallback_root(spark: SparkSession) -> str:
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
+    return warehouse.rstrip("/") + "/_pipewatch_work"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The checkpoint folder named by ``spark.checkpoint.dir``, registered
-    with the context; a folder under the warehouse only when none is set."""
-    sc_dir = spark.sparkContext.getCheckpointDir()
-    if sc_dir:
-        return sc_dir
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder for checkpoints and work files.
+
+    ``spark.checkpoint.dir`` (a static setting, read from the session) wins;
+    a folder already registered with the context comes next; only when
+    neither exists (local runs, tests) is a folder under the warehouse
+    registered with ``SparkContext.setCheckpointDir``."""
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        warehouse = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
-        root = warehouse.rstrip("/") + "/_pipewatch_work"
-        spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
+        root = _fallback_root(spark)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root
+
+
+def work_dir(spark: SparkSession, *parts: str) -> str:
+    """A fresh folder under the shared checkpoint folder (see
+    :func:`ensure_checkpoint_dir`); never a machine-local temporary folder
+    unless the session itself names one."""
+    root = ensure_checkpoint_dir(spark)
+    return "/".join([root.rstrip("/"), *parts, uuid.uuid4().hex])

@@ -25,11 +25,9 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    # Tests set their own shared folder only because none is configured.
-    if not s.conf.get("spark.checkpoint.dir", None):
-        root = tempfile.mkdtemp(prefix="pipewatch-ckpt-")
-        s.conf.set("spark.checkpoint.dir", root)
-        s.sparkContext.setCheckpointDir(root)
+    # Tests set their own shared folder only when none is configured.
+    if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pipewatch-ckpt-"))
     yield s
     s.stop()
 
