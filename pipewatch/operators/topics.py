@@ -163,15 +163,22 @@ def extract_events(log: DataFrame, **kw) -> DataFrame:
 
 
 # ------------------------------------------------------------------------- T4
-def land(log: DataFrame, path: str, start, end=None, mode: str = "overwrite", **extract) -> DataFrame:
+def land(log: DataFrame, target: str, start, end=None, mode: str = "overwrite", **extract) -> DataFrame:
     """Slice (T1), extract (T3) and write ``partition, offset, key, ts`` to
-    ``path`` (replacing what was there).  Returns a report read back from the
-    written copy: one row per partition with ``has_data``, ``start_offset``
-    and ``rows``.  Actions: the write (and the report, when collected)."""
+    ``target`` - a catalogue table name (``saveAsTable``) or a folder path
+    (Parquet) - replacing what was there.  Returns a report read back from
+    the written copy: one row per partition with ``has_data``,
+    ``start_offset`` and ``rows``.  Actions: the write (and the report, when
+    collected)."""
     sliced = slice_log(log, start, end)
     events = extract_events(sliced, **extract)
-    events.write.mode(mode).parquet(path)
-    landed = log.sparkSession.read.parquet(path)
+    spark = log.sparkSession
+    if _is_path(target):
+        events.write.mode(mode).parquet(target)
+        landed = spark.read.parquet(target)
+    else:
+        events.write.mode(mode).saveAsTable(target)
+        landed = spark.table(target)
     return landed.groupBy("partition").agg(
         (F.count(F.lit(1)) > 0).alias("has_data"),
         F.min("offset").alias("start_offset"),
@@ -179,6 +186,10 @@ def land(log: DataFrame, path: str, start, end=None, mode: str = "overwrite", **
     )
 
 
+def _is_path(target: str) -> bool:
+    return "/" in target or ":" in target
+
+
 # --------------------------------------------------------------------- T5, T6
 def disorder_bound(
     events: DataFrame,

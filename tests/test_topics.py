@@ -128,6 +128,17 @@ def test_land_and_count(spark, tmp_dir):
     assert tp.message_count(spark.read.parquet(tmp_dir)).first().messages == 3
 
 
+def test_land_into_table(spark, tmp_dir):
+    import uuid
+
+    db = "land_" + uuid.uuid4().hex[:8]
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{tmp_dir}'")
+    log = _log(spark, [(0, i, _t(i), f'{{"id": {i}, "event_time": "2024-01-01 0{i}:00:00"}}') for i in range(6)])
+    rep = tp.land(log, f"{db}.topic_x", _t(1), None).first()
+    assert (rep.start_offset, rep.rows) == (1, 5)
+    assert spark.table(f"{db}.topic_x").count() == 5
+
+
 def test_topic_names(spark):
     df = spark.createDataFrame([("__consumer_offsets",), ("--x",), ("orders.v1-raw",)], "name string")
     assert [r.name for r in tp.user_topics(df).collect()] == ["orders.v1-raw"]
