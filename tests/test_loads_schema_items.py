@@ -181,3 +181,20 @@ def test_columns_of_measures_text_length(spark):
     cdc = {r.column: r.cdc_type for r in sc.map_types_cdc(sc.columns_of(spark, {"t": df})).collect()}
     assert cdc["s"] == "varchar(4)"
     assert sc.columns_of(spark, {"t": df}, measure=False).where("column = 's'").first().char_len == 65535
+
+
+def test_catalog_heads_skips_system_and_rs(spark, tmp_dir):
+    import uuid
+
+    from pipewatch.sources.sinks import save_table
+
+    tag = uuid.uuid4().hex[:8]
+    keep, skip = f"heads_{tag}", f"rs_{tag}"
+    spark.sql(f"CREATE DATABASE {keep} LOCATION '{tmp_dir}/k'")
+    spark.sql(f"CREATE DATABASE {skip} LOCATION '{tmp_dir}/s'")
+    save_table(spark.range(10), f"{keep}.t")
+    save_table(spark.range(10), f"{skip}.t")
+    got = ld.catalog_heads(spark, n=2)
+    names = {r.table_name for r in got.collect()}
+    assert f"{keep}.t" in names and f"{skip}.t" not in names
+    assert got.where(F.col("table_name") == f"{keep}.t").count() == 2
