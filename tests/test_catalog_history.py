@@ -141,3 +141,13 @@ def test_slot_lag(spark):
     )
     got = {r.slot_name: (r.lag_bytes, r.lag_size) for r in hs.slot_lag(slots).collect()}
     assert got == {"s1": (0, "0 bytes"), "s2": (97500059720, "91 GB"), "s5": (10240, "10 kB")}
+
+
+def test_full_refresh_missing_task_fails(spark):
+    eps = spark.createDataFrame([("e1", "ep1", "mysql", "db")], "arn string, id string, engine string, database string")
+    tasks = spark.createDataFrame([("t1", "a1", "e1", "e1", "{}", "{}")],
+                                  "task_id string, arn string, source_arn string, target_arn string, settings string, mappings string")
+    stats = spark.createDataFrame([("a1", "x", "s"), ("a9", "y", "s")], "task_arn string, table string, schema string")
+    inv = cg.full_refresh(eps, tasks, stats)
+    with pytest.raises(Exception, match="task missing"):
+        inv["tables"].collect()
