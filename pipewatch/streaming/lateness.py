@@ -16,7 +16,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-OUTPUT_SCHEMA = "partition int, key string, diff_ts bigint, id bigint"
 STATE_SCHEMA = "max_ts bigint"
 
 
@@ -45,16 +44,11 @@ def _late_rows(seq: str, ts: str, keys: Sequence[str], idle_ms: int | None = Non
             state.setTimeoutDuration(idle_ms)
         late = (running - values) > 0
         if late.any():
-            idx = order[late]
-            part = frame["partition"].to_numpy()[idx] if "partition" in frame else np.zeros(len(idx), dtype="int32")
-            yield pd.DataFrame(
-                {
-                    "partition": part.astype("int32"),
-                    "key": frame["key"].to_numpy()[idx].astype(str),
-                    "diff_ts": (running[late] - values[late]).astype("int64"),
-                    "id": frame[seq].to_numpy()[idx].astype("int64"),
-                }
-            )
+            n = int(late.sum())
+            out = {k: [v] * n for k, v in zip(keys, key)}  # the group key, one value per late row
+            out["diff_ts"] = (running[late] - values[late]).astype("int64")
+            out["id"] = frame[seq].to_numpy()[order[late]].astype("int64")
+            yield pd.DataFrame(out)
 
     return fn
 
@@ -66,8 +60,9 @@ def late_rows_stream(
     keys: Sequence[str] = ("partition", "key"),
     idle_timeout_ms: int | None = None,
 ) -> DataFrame:
-    """Streaming late rows per key: ``partition, key, diff_ts, id`` for
-    every row behind the running max of its key (across batches).
+    """Streaming late rows per key: the key columns, ``diff_ts`` and ``id``
+    (= seq) for every row behind the running max of its key (across
+    batches).
 
     State is one bigint per key.  With ``idle_timeout_ms`` the state of a
     key that sees no rows for that long (processing time) is removed, which
@@ -77,9 +72,11 @@ def late_rows_stream(
     scheduling empty batches to fire pending timeouts, so an ``availableNow``
     replay would not end."""
     keys = list(keys)
+    fields = [events.schema[k] for k in keys]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", diff_ts bigint, id bigint"
     fn = _late_rows(seq, ts, keys, idle_timeout_ms)
     timeout = GroupStateTimeout.NoTimeout if idle_timeout_ms is None else GroupStateTimeout.ProcessingTimeTimeout
-    return events.groupBy(*keys).applyInPandasWithState(fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append", timeout)
+    return events.groupBy(*keys).applyInPandasWithState(fn, schema, STATE_SCHEMA, "append", timeout)
 
 
 def with_lateness_watermark(events: DataFrame, event_time: str, bound_seconds: int) -> DataFrame:
