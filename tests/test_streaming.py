@@ -1,6 +1,8 @@
 import os
 import time
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from pipewatch.operators import topics as tp
@@ -40,10 +42,18 @@ def test_landing_restart_no_loss_no_duplicates(spark):
     assert landed.exceptAll(want).count() == 0
 
 
-def test_stream_late_rows_equal_batch_per_key(spark):
+@pytest.mark.parametrize(
+    "splits",
+    [
+        [(0, 500), (500, 1000), (1000, 10_000)],
+        [(0, 37), (37, 1200), (1200, 1201), (1201, 10_000)],
+        [(0, 10_000)],
+    ],
+)
+def test_stream_late_rows_equal_batch_per_key(spark, splits):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     src = work_dir(spark, "s2src")
-    _write_parts(spark, orders, src, [(0, 500), (500, 1000), (1000, 10_000)], "o_orderkey")
+    _write_parts(spark, orders, src, splits, "o_orderkey")
     stream = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(src)
     late = late_rows_stream(tp.extract_events(derived.orders_as_log(stream)))
     out, ckpt = work_dir(spark, "s2out"), work_dir(spark, "s2ckpt")
@@ -52,7 +62,7 @@ def test_stream_late_rows_equal_batch_per_key(spark):
     ).start()
     q.awaitTermination()
     assert q.exception() is None
-    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3  # three micro-batches
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == len(splits)  # one micro-batch per file
     got = spark.read.schema(late.schema).parquet(out)
     want = tp.disorder_bound(tp.extract_events(derived.orders_log(spark, SF)), key="key", topn=None)
     assert got.count() == want.count() > 0
