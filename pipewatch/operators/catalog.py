@@ -271,16 +271,20 @@ def pick(df: DataFrame, choices: Mapping[str, object]) -> DataFrame:
 # ------------------------------------------------------------------------ I13
 def date_drill(df: DataFrame, ts: str, year: int | None = None, month: int | None = None) -> DataFrame:
     """Date hierarchy: counts per year; given a year, per month of it; given
-    a month too, per day.  Output ``period date, count``."""
+    a month too, per day.  Output ``period date, count``.  The chosen year
+    or month is a range on the stored column (so the scan can skip row
+    groups), not a function of it."""
     c = F.col(ts)
+    ttype = df.schema[ts].dataType
     out = df
     if year is None:
         level = "year"
     elif month is None:
-        out = out.where(F.year(c) == year)
+        out = out.where((c >= ts_literal(dt.datetime(year, 1, 1), ttype)) & (c < ts_literal(dt.datetime(year + 1, 1, 1), ttype)))
         level = "month"
     else:
-        out = out.where((F.year(c) == year) & (F.month(c) == month))
+        nxt = dt.datetime(year + (month == 12), month % 12 + 1, 1)
+        out = out.where((c >= ts_literal(dt.datetime(year, month, 1), ttype)) & (c < ts_literal(nxt, ttype)))
         level = "day"
     day = F.to_date(c)  # the wall-clock date; no session zone involved
     period = day if level == "day" else F.trunc(day, level)

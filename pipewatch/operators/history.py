@@ -34,13 +34,18 @@ def dashboard_queries(
     or after ``as_of - days``: ``query_id``, local ``start_time`` text,
     ``elapsed`` in whole minutes, and the dashboard code and query uuid read
     from the first 64 characters of the text (missing gives ``''``)."""
-    local = F.timestamp_add("HOUR", F.lit(offset_hours), utc_wall("start_time", hist.schema["start_time"].dataType))
+    stype = hist.schema["start_time"].dataType
+    local = F.timestamp_add("HOUR", F.lit(offset_hours), utc_wall("start_time", stype))
     since = as_of - dt.timedelta(days=days)
+    since_local = dt.datetime(since.year, since.month, since.day)
+    if stype.typeName() == "timestamp_ntz":
+        # local >= since  <=>  start_time >= since - offset: a plain range the scan can use
+        recent = F.col("start_time") >= ts_literal(since_local - dt.timedelta(hours=offset_hours), stype)
+    else:
+        recent = local >= ts_literal(since_local)
     head = F.substring("query_text", 1, DASHBOARD_TEXT_PREFIX)
     return hist.where(
-        F.col("user_id").isin(list(users))
-        & (local >= ts_literal(dt.datetime(since.year, since.month, since.day)))
-        & (F.instr("query_text", DASHBOARD_MARKER) > 0)
+        F.col("user_id").isin(list(users)) & recent & (F.instr("query_text", DASHBOARD_MARKER) > 0)
     ).select(
         "query_id",
         format_ntz(local, "yyyy-MM-dd HH:mm:ss").alias("start_time"),

@@ -76,3 +76,17 @@ def test_per_key_disorder_has_no_single_partition_on_data(spark):
     hot = _plan(tp.disorder_bound(hot_ev, key="key", topn=None, bucket_width=100))
     assert "SinglePartition" not in hot
     assert "hashpartitioning(__pw_key" in hot and "__pw_hot" in hot
+
+
+def test_date_drill_and_history_windows_reach_scan(spark):
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    plan = _plan(cg.date_drill(orders, "o_orderdate", 1997, 5))
+    assert any("o_orderdate" in ln and ">= 1997-05-01" in ln for ln in plan.splitlines() if "FileScan" in ln)
+    from pipewatch.operators import history as hs
+
+    hist = spark.read.parquet(f"{SF}/events.parquet").selectExpr(
+        "event_id AS query_id", "CAST(user_id AS INT) AS user_id", "ts AS start_time",
+        "CAST(value AS BIGINT) AS elapsed_us", "props AS query_text",
+    )
+    plan = _plan(hs.dashboard_queries(hist, dt.date(2024, 1, 20)))
+    assert any("GreaterThanOrEqual(ts,2024-01-1" in ln for ln in plan.splitlines() if "FileScan" in ln)
