@@ -129,7 +129,12 @@ def write_model(
     buckets: int = SERVING_BUCKETS,
 ) -> None:
     """Write :func:`apply_model` as a table hash-bucketed on ``bucket_key``
-    (required) and sorted by the sort key, replacing the table."""
+    (required) and sorted by the sort key, replacing the table.
+
+    ``buckets`` defaults to the serving table's 3; a large table wants a
+    count that gives bucket files of roughly 128 MB-1 GB, since a join or
+    aggregate on the bucket key then runs one task per bucket without a
+    shuffle."""
     if not bucket_key:
         raise ValueError("bucket key is required")
     rows = apply_model(df, model, sort_key, order, aggs)
