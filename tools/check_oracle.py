@@ -3,6 +3,10 @@ same parquet tables; compare row count, column names and an
 order-insensitive hash of the values.
 
     python tools/check_oracle.py [sf_dir] [name ...]
+
+Environment: PIPEWATCH_PLAIN=1 uses a default session instead of the tuned
+one; PIPEWATCH_TZ sets the session time zone; CHECK_DTYPES=1 also prints
+pandas dtype differences (e.g. datetime64 ns vs us).
 """
 
 from __future__ import annotations
@@ -102,6 +106,12 @@ def main(argv):
         if status == "FAIL":
             bad += 1
         print(f"{status} {name}: rows {len(s_rows)}/{len(o_rows)} cols {ok_cols} hash {ok_h} {el:.1f}s")
+        if os.environ.get("CHECK_DTYPES"):  # pandas dtypes on both sides (informational)
+            sp, dp = df.toPandas(), con.sql(oracle[name]).df()
+            diff = {c: (str(sp[c].dtype), str(dp[c].dtype)) for c in sp.columns if c in dp.columns
+                    and str(sp[c].dtype) != str(dp[c].dtype)}
+            if diff:
+                print(f"     dtypes differ: {diff}")
         if status == "FAIL" and os.environ.get("VERBOSE"):
             print("  spark cols", s_cols, "\n  duck cols", o_cols)
             print("  spark", sorted(map(repr, [tuple(norm(x) for x in r) for r in s_rows]))[:5])
