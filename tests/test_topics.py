@@ -164,3 +164,18 @@ def test_check_landed_static_and_joined_agree(spark):
     a = sorted(tuple(r) for r in tp.check_landed(log, landed).collect())
     b = sorted(tuple(r) for r in tp.check_landed(log, landed, static_bounds=False).collect())
     assert a == b == [(0, 6, 0, 0, 0, None), (1, 7, 1, 0, 0, 5)]
+
+
+def test_json_log_source_with_instant_timestamps(spark, tmp_dir):
+    # a log stored as JSON lines, read with an instant (TIMESTAMP) broker time as Kafka gives it
+    from pipewatch.sources import derived
+    from pipewatch.sources.tables import read_json_log
+
+    src = derived.events_log(spark, "/root/testdata/sf0.001")
+    src.withColumn("timestamp", F.col("timestamp").cast("string")).write.json(tmp_dir)
+    log = read_json_log(spark, tmp_dir)
+    assert log.schema["timestamp"].dataType.typeName() == "timestamp"
+    start, end = dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 3)
+    got = sorted(r.offset for r in tp.slice_log(log, start, end).collect())
+    want = sorted(r.offset for r in tp.slice_log(src, start, end).collect())
+    assert got == want and len(got) > 10
