@@ -151,3 +151,19 @@ def test_full_refresh_missing_task_fails(spark):
     inv = cg.full_refresh(eps, tasks, stats)
     with pytest.raises(Exception, match="task missing"):
         inv["tables"].collect()
+
+
+def test_size_pretty_branches(spark):
+    vals = [0, 10239, 10240, 1048575, 20 * 1024 * 1024, 10 * 1024**3, 5 * 1024**4, 30 * 1024**4, -20000, None]
+    df = spark.createDataFrame([(v,) for v in vals], "s bigint")
+    got = [r[0] for r in df.select(hs.size_pretty("s")).collect()]
+    assert got == ["0 bytes", "10239 bytes", "10 kB", "1024 kB", "20 MB", "10 GB", "5120 GB", "30 TB", "-20 kB", None]
+
+
+def test_run_sql(spark):
+    from pipewatch.operators.sql import run_sql
+
+    assert run_sql(spark, "   ") is None
+    t = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    got = run_sql(spark, "SELECT count(*) AS n FROM pw_sql_t WHERE k > 1", {"pw_sql_t": t}).first().n
+    assert got == 1
