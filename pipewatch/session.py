@@ -41,11 +41,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     ``spark.checkpoint.dir`` (a static setting, read from the session) wins;
     a folder already registered with the context comes next; only when
-    neither exists (local runs, tests) is a folder under the warehouse
-    registered with ``SparkContext.setCheckpointDir``."""
+    neither exists on a local master (tests) is a folder under the warehouse
+    registered with ``SparkContext.setCheckpointDir``.  A cluster without one
+    is refused: its executors would not see each other's files."""
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = _fallback_root(spark)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
