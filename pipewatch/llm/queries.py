@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pipewatch.llm import block_naming, mixing, packing, sharding, token_counts, url_filter
+from pipewatch.llm import ann_mih, block_naming, bottomk_dedup, mixing, packing, quality_eb, sharding, token_counts, url_filter, warc
 from pipewatch.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,20 @@ def _sql_hash52(text: str) -> str:
     return f"('0x' || substr(md5({text}), 1, 13))::BIGINT"
 
 
+@register("op1_multi_index_hashing")
+def op1_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors of every row whose vec_id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return ann_mih.search(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+@register("op2_bottomk_dedup")
+def op2_bottomk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates of all documents on 2-word shingles at 0.8."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return bottomk_dedup.near_duplicates(docs, n=2, percent=80)
+
+
 @register("op3_token_counts")
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the unigram vocabulary of the public
@@ -100,6 +114,30 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages", "page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+@register(
+    "op6_warc",
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+    g AS (SELECT page_id, h, strlen(h)::BIGINT AS n, max(page_id) OVER (PARTITION BY h) AS last FROM p)
+    SELECT page_id, n AS payload_bytes, sha1(h) AS payload_digest,
+           CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
+    FROM g
+    """,
+)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to WARC archives and read back."""
+    found = warc.archive_pages(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op7_quality")
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents: their text, their source and its languages."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
+    return quality_eb.scores(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 #: Weights of the sources in code point order, repeating (null last).
 SOURCE_WEIGHTS = (3, 1, 2)
 
