@@ -16,6 +16,8 @@ from pipewatch.llm.common import hash52, saved, unit, words
 
 #: Rows of the whole corpus in one range of Pareto keys, about.
 RANGE_ROWS = 2_000
+#: Documents that may fill what the cut leaves of a source's target.
+FILLS = 3
 #: Up to so many sources the per-source tables may be broadcast (counted first).
 BROADCAST_SOURCES = 100_000
 
@@ -71,8 +73,8 @@ def mix(docs: DataFrame, weights: DataFrame, share: float = 1.5, cap: int = 2, i
     certain, the fraction is the mean chance of one more.  ``inclusion`` (a
     column in (0, 1], default 1) multiplies a document's chance.  Documents
     are ranked by the odds of a uniform draw over the odds of their chance;
-    the smallest win while their words fit what the target leaves, and the
-    document next to the cut that fits the last gap best closes it.
+    the smallest win while their words fit what the target leaves, and up to
+    ``FILLS`` documents beyond the cut, the best fits, fill the last gap.
 
     Null text counts as empty; empty documents weigh nothing.  Null sources
     are a source.  Rows that repeat (same id and text) draw alike and share
@@ -128,19 +130,26 @@ def mix(docs: DataFrame, weights: DataFrame, share: float = 1.5, cap: int = 2, i
         (F.first("_mix_room") - F.coalesce(F.max(F.when(inside, F.col("_mix_sum"))), F.lit(0))).alias("_mix_gap"),
     )
     cuts = saved(cuts, "mixing_cuts")
-    # The document beyond the cut whose size comes nearest to the words still missing.
+    # Fill the words still missing: a few documents beyond the cut that fit best, the last one the nearest in size.
     beyond = (F.col("_mix_range") > F.col("_mix_edge")) | ((F.col("_mix_range") == F.col("_mix_edge")) & ~F.coalesce(place <= F.col("_mix_last"), F.lit(False)))
+    cuts = cuts.withColumn("_mix_fills", F.array().cast("array<struct<_mix_key:double,_mix_seed:bigint>>"))
     off = F.abs(F.col("_mix_gap") - F.col("_mix_size"))
-    fill = _with_source(keyed(slim), cuts, small).where(beyond & (off < F.col("_mix_gap")) & (F.col("_mix_whole") < cap))
-    fill = fill.groupBy("source").agg(F.min(F.struct(off.alias("_mix_off"), "_mix_key", "_mix_seed")).alias("_mix_fill"))
-    cuts = saved(_with_source(cuts, fill, False, how="left"), "mixing_fills")
+    for step in range(FILLS):
+        better = F.col("_mix_size") <= F.col("_mix_gap") if step < FILLS - 1 else off < F.col("_mix_gap")
+        free = beyond & (F.col("_mix_whole") < cap) & (F.col("_mix_size") > 0) & better & ~F.array_contains("_mix_fills", place)
+        fill = _with_source(keyed(slim), cuts, small).where(free)
+        fill = fill.groupBy("source").agg(F.min(F.struct(off.alias("_mix_off"), "_mix_key", "_mix_seed", F.col("_mix_size").alias("_mix_by"))).alias("_mix_fill"))
+        cuts = _with_source(cuts, fill, False, how="left")
+        taken = F.array(F.struct(F.col("_mix_fill._mix_key").alias("_mix_key"), F.col("_mix_fill._mix_seed").alias("_mix_seed")))
+        cuts = cuts.withColumn("_mix_fills", F.when(F.col("_mix_fill").isNull(), F.col("_mix_fills")).otherwise(F.concat("_mix_fills", taken)))
+        cuts = saved(cuts.withColumn("_mix_gap", F.col("_mix_gap") - F.coalesce(F.col("_mix_fill._mix_by"), F.lit(0))).drop("_mix_fill"), "mixing_fills")
 
     full = _with_source(keyed(slim if narrow else rows), cuts, small, how="left")
     won = (
         F.col("_mix_edge").isNull()
         | (F.col("_mix_range") < F.col("_mix_edge"))
         | ((F.col("_mix_range") == F.col("_mix_edge")) & F.coalesce(place <= F.col("_mix_last"), F.lit(False)))
-        | F.coalesce(place == F.struct(F.col("_mix_fill._mix_key"), F.col("_mix_fill._mix_seed")), F.lit(False))
+        | F.coalesce(F.array_contains("_mix_fills", place), F.lit(False))
     )
     copies = F.col("_mix_whole") + F.when((F.col("_mix_whole") < cap) & won, 1).otherwise(0)
     out = full.withColumn("copies", copies.cast("int"))
