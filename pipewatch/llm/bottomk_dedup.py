@@ -14,12 +14,16 @@ prefix and position bounds) instead.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pipewatch.llm.common import lower_ascii, saved, words
+from pipewatch.llm.common import saved
 from pipewatch.llm.components import components
+from pipewatch.llm.token_counts import Memory
 
 #: Hashes kept of each document.
 K = 32
@@ -28,28 +32,77 @@ K = 32
 SHARED = 12
 #: Members of a list that are compared across components directly.
 LONG_LIST = 256
-
-
-def shingle_set(text: Column, n: int) -> Column:
-    """Sorted distinct 64-bit hashes of the ``n``-word shingles of a text
-    (A-Z lower-cased).  With fewer words the whole sequence is the one
-    shingle; without words the set is empty."""
-    w = words(lower_ascii(text))
-
-    def over(ws: Column) -> Column:
-        count = F.size(ws)
-        if n == 1:
-            many = F.transform(ws, lambda x: F.xxhash64(x))
-        elif n == 2:
-            many = F.zip_with(F.slice(ws, 1, F.greatest(count - 1, F.lit(0))), F.slice(ws, 2, F.greatest(count - 1, F.lit(0))), lambda x, y: F.xxhash64(x, y))
-        else:
-            hashed = F.transform(ws, lambda x: F.xxhash64(x))
-            at = F.sequence(F.lit(1), F.greatest(count - (n - 1), F.lit(1)))
-            many = F.transform(at, lambda i: F.xxhash64(*[F.get(hashed, i - 1 + k) for k in range(n)]))
-        few = F.array(F.xxhash64(F.concat_ws(" ", ws)))
-        return F.when(count == 0, F.array().cast("array<bigint>")).when(count < n, few).otherwise(many)
-
-    return F.sort_array(F.array_distinct(over(w)))
+#: Words whose hashes a worker remembers, in each of two generations.
+REMEMBERED = 400_000
+#: Multipliers of a public 64-bit mixing function, and the step between words.
+MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
+STEP = np.uint64(0x9E3779B97F4A7C15)
+
+_words: list[Memory] = []
+
+
+def _word_hashes() -> Memory:
+    if not _words:
+        import xxhash
+
+        _words.append(Memory(REMEMBERED, xxhash.xxh64_intdigest))
+    return _words[0]
+
+
+def shingle_hashes(text: str | None, n: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the ``n``-word shingles of a text (A-Z
+    lower-cased).  With fewer words the whole sequence is the one shingle;
+    without words the set is empty."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # on bytes: A-Z and ASCII white space only
+    if not words:
+        return np.empty(0, np.int64)
+    w = np.fromiter(map(_word_hashes().__getitem__, words), np.uint64, len(words))
+    width = min(n, len(w))
+    h = np.full(len(w) - width + 1, width, np.uint64)
+    for k in range(width):
+        h = h * STEP + w[k : len(w) - width + 1 + k]
+    h ^= h >> np.uint64(30)
+    h *= np.uint64(MIX[0])
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(MIX[1])
+    h ^= h >> np.uint64(31)
+    return np.unique(h.view(np.int64))
+
+
+def _name(hashes: np.ndarray) -> tuple[int, int]:
+    """128 bits that stand for a set."""
+    import xxhash
+
+    return tuple(np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), "<i8").tolist())
+
+
+def _lists_of(sets: Iterable[np.ndarray]) -> pa.Array:
+    sets = list(sets)
+    ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *sets])))
+
+
+def _sketches(docs: DataFrame, n: int) -> DataFrame:
+    """doc_id, row (its number), th (hash of the text), n, k1, k2 (size and
+    name of the set) and sketch of every row."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.xxhash64("text").alias("th"), "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sizes, names, sketches = [], [], []
+            for t in b.column(3):
+                h = shingle_hashes(t.as_py(), n)
+                sizes.append(len(h))
+                names.append(_name(h))
+                sketches.append(h[:K].copy())
+            k1, k2 = zip(*names, strict=True) if names else ((), ())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), b.column(2), pa.array(sizes, pa.int32()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), _lists_of(sketches)],
+                ["doc_id", "row", "th", "n", "k1", "k2", "sketch"],
+            )
+
+    return rows.mapInArrow(run, f"doc_id {kind}, row bigint, th bigint, n int, k1 bigint, k2 bigint, sketch array<bigint>")
 
 
 def _same(x: str, y: str) -> Column:
@@ -71,11 +124,17 @@ def _by_sketch(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """``cid`` and full ``set`` of the classes ``wanted`` (cid, rep, n, k1, k2),
-    shingled again from their representatives' texts."""
-    texts = docs.join(wanted, _same("doc_id", "rep"))
-    full = texts.withColumn("set", shingle_set(F.col("text"), n))
-    return full.where((F.size("set") == F.col("n")) & (F.xxhash64("set") == F.col("k1")) & (F.hash("set") == F.col("k2"))).select("cid", "set").dropDuplicates(["cid"])
+    """``cid`` and full ``set`` of the classes ``wanted`` (cid, at, th),
+    shingled again from the texts of their first rows.  Ids that repeat with
+    the same text give a class more than once, which does no harm."""
+    here = F.col("doc_id").eqNullSafe(F.col("at")) & (F.xxhash64("text") == F.col("th"))
+    texts = docs.join(wanted.select("cid", "at", "th"), here).select("cid", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), _lists_of(shingle_hashes(t.as_py(), n) for t in b.column(1))], ["cid", "set"])
+
+    return texts.mapInArrow(run, "cid bigint, set array<bigint>")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -144,14 +203,12 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     if percent < 80:
         raise ValueError("the sketch bounds hold for similarities of 0.8 or more")
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    each = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), shingle_set(F.col("text"), n).alias("set"))
-    each = saved(each.select("doc_id", "row", F.size("set").alias("n"), F.xxhash64("set").alias("k1"), F.hash("set").alias("k2"), F.slice("set", 1, K).alias("sketch")), "neardup_docs")
+    each = saved(_sketches(docs, n), "neardup_docs")
 
     key = ["n", "k1", "k2"]
-    per = each.where("n > 0").groupBy(*key).agg(F.min("row").alias("cid"), F.min("doc_id").alias("rep"))
-    per = saved(per, "neardup_classes")
-    # A class's sketch is that of its first row.
-    classes = saved(per.join(each.select(F.col("row").alias("cid"), "sketch"), "cid"), "neardup_sketches")
+    per = saved(each.where("n > 0").groupBy(*key).agg(F.min("row").alias("cid"), F.min("doc_id").alias("rep")), "neardup_classes")
+    # A class's sketch and place are those of its first row.
+    classes = saved(per.join(each.select(F.col("row").alias("cid"), F.col("doc_id").alias("at"), "th", "sketch"), "cid"), "neardup_sketches")
 
     lists = _lists(classes)
     centers = lists.groupBy("v").agg(F.max(F.struct("typical", (-F.col("cid")).alias("c"))).alias("best"), F.count("*").alias("members"))
@@ -161,7 +218,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     size = classes.select(F.col("cid").alias("center"), F.col("n").alias("nb"))
     star = lists.where("cid != center").select("cid", "center", F.col("n").alias("na")).distinct().join(size, "center")
     star = saved(_by_sketch(star.where(_close(percent=percent)).select(*_ordered("cid", "center")).distinct(), classes), "neardup_star")
-    sets = saved(_sets(docs, _ends(star).join(per, "cid"), n), "neardup_sets")
+    sets = saved(_sets(docs, _ends(star).join(classes, "cid"), n), "neardup_sets")
     links = saved(_confirmed(star, sets, percent), "neardup_links")
     comp = saved(components(links), "neardup_components")
 
@@ -172,7 +229,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     apart = long_lists.groupBy("v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("v")
     far = saved(long_lists.join(saved(apart, "neardup_apart"), "v").select("cid", "n", "comp").distinct(), "neardup_far")
     if not far.isEmpty():
-        far_sets = saved(_sets(docs, far.select("cid").join(per, "cid"), n), "neardup_far_sets")
+        far_sets = saved(_sets(docs, far.select("cid").join(classes, "cid"), n), "neardup_far_sets")
         more = more.unionByName(_far_apart(far_sets, far, percent)).distinct()
     more = saved(more.join(star, ["a", "b"], "left_anti"), "neardup_more")
     if not more.isEmpty():
@@ -180,7 +237,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
         if not far.isEmpty():
             sets = sets.unionByName(far_sets.join(sets.select("cid"), "cid", "left_anti"))
             new = new.join(far.select("cid"), "cid", "left_anti")
-        sets = saved(sets.unionByName(_sets(docs, new.join(per, "cid"), n)), "neardup_all_sets")
+        sets = saved(sets.unionByName(_sets(docs, new.join(classes, "cid"), n)), "neardup_all_sets")
         links = links.unionByName(_confirmed(more, sets, percent))
         comp = saved(components(links), "neardup_components")
 
