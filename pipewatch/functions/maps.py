@@ -28,5 +28,7 @@ def sum_map_values(m: Column | str) -> Column:
 
 def unwrap(item: Column | str) -> Column:
     """Typed attributes ``{a: {S: v}}`` to ``{a: v}`` (the one value of the
-    inner type map)."""
-    return F.transform_values(_c(item), lambda _k, v: F.element_at(F.map_values(v), 1))
+    inner type map).  An attribute without a value (empty or null type map)
+    is dropped."""
+    held = F.map_filter(_c(item), lambda _k, v: F.coalesce(F.size(v) > 0, F.lit(False)))
+    return F.transform_values(held, lambda _k, v: F.try_element_at(F.map_values(v), F.lit(1)))

@@ -18,15 +18,22 @@ def _c(c: Column | str) -> Column:
 
 
 def ts_literal(value, dtype: DataType | str = "timestamp_ntz") -> Column:
-    """A timestamp literal of the column's own type, built from text so that
-    no Python or session time zone is involved."""
+    """A timestamp literal of the column's own type in which no Python or
+    session time zone is involved.  A value without a zone is UTC; as an
+    instant (TIMESTAMP) it is built from epoch microseconds (text: read in
+    zone UTC), as ``timestamp_ntz`` from its own text."""
     if isinstance(value, Column):
         return value
+    instant = (dtype if isinstance(dtype, str) else dtype.typeName()) == "timestamp"
+    if isinstance(value, dt.date) and not isinstance(value, dt.datetime):
+        value = dt.datetime(value.year, value.month, value.day)
     if isinstance(value, dt.datetime):
+        if value.tzinfo is not None:
+            value = value.astimezone(dt.timezone.utc).replace(tzinfo=None)
+        if instant:
+            return F.timestamp_micros(F.lit((value - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)).cast("bigint"))
         value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
-    elif isinstance(value, dt.date):
-        value = value.strftime("%Y-%m-%d 00:00:00")
-    return F.lit(str(value)).cast(dtype)
+    return F.lit(f"{value} UTC" if instant else str(value)).cast(dtype)
 
 
 def epoch_seconds(text: Column | str, fmt: str = "yyyy-MM-dd HH:mm:ss", tz: str = "UTC") -> Column:
@@ -56,6 +63,12 @@ def utc_wall(ts: Column | str, dtype: DataType | None = None) -> Column:
     return c
 
 
+def instant(wall: Column | str) -> Column:
+    """A ``timestamp_ntz`` read as UTC wall time, as an instant (TIMESTAMP) -
+    never in the session zone."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), _c(wall)))
+
+
 def _replacement(pattern: str) -> str:
     out, i = [], 0
     while i < len(pattern):

@@ -7,7 +7,7 @@ separate, explicit step (:func:`write_inventory`)."""
 from __future__ import annotations
 
 import datetime as dt
-import shlex
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +18,7 @@ from pipewatch.functions.times import format_ntz, parse_ntz, ts_literal, utc_wal
 # Engines and schemas the inventories keep, and snapshot rules.
 SOURCE_ENGINES = ("mysql", "mariadb", "aurora", "postgres", "aurora-postgresql")
 WAREHOUSE_SCHEMAS = ("ods", "stg", "dim", "dwd", "dws", "met", "ads")
+BASE_TABLE_TYPES = ("BASE TABLE", "TABLE")
 SNAPSHOT_ID_PATTERN = r"\d\d\d\d-\d\d-\d\d-\d\d-\d\d-\d\d-\d\d\d$"
 RESTORED_CLUSTER_PATTERN = r"snapshot-\d{8}t\d{6}$"
 SNAPSHOT_RETENTION_DAYS = 35
@@ -30,8 +31,9 @@ def full_refresh(endpoints: DataFrame, tasks: DataFrame, stats: DataFrame) -> di
 
     Each task is joined to its source *and* target endpoint by ARN; the JSON
     settings and mappings are parsed (variant).  A task whose endpoint is
-    missing, or a table whose task is missing, fails the job when it is run
-    (``raise_error`` inside the plan - no extra pass to check first).
+    missing, a table whose task is missing, or settings that are not JSON
+    fail the job when it is run (inside the plan - no extra pass to check
+    first).
     Returns ``{"endpoints", "tasks", "tables"}``."""
     src = endpoints.select(
         F.col("arn").alias("source_arn"),
@@ -48,9 +50,7 @@ def full_refresh(endpoints: DataFrame, tasks: DataFrame, stats: DataFrame) -> di
     missing = F.col("source_id").isNull() | F.col("target_id").isNull()
     error = F.raise_error(F.concat(F.lit("endpoint missing for task "), F.col("task_id")))
     guarded = joined.where(~missing | error.isNull())
-    guarded = guarded.withColumn("settings", F.try_parse_json("settings")).withColumn(
-        "mappings", F.try_parse_json("mappings")
-    )
+    guarded = guarded.withColumn("settings", F.parse_json("settings")).withColumn("mappings", F.parse_json("mappings"))
     t_ids = tasks.select(F.col("arn").alias("task_arn"), F.col("task_id").alias("task_name"))
     tables = stats.select("task_arn", F.col("table").alias("name"), "schema").join(t_ids, "task_arn", "left")
     tables = tables.where(
@@ -66,17 +66,35 @@ def write_inventory(frames: Mapping[str, DataFrame], root: str) -> None:
 
 
 # ------------------------------------------------------------------------- I2
+def _one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key (null is a value): of rows that share a key the one
+    whose other columns come first as JSON text."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    row = F.struct(*rest)
+    picked = df.groupBy(*keys).agg(F.min_by(row, F.to_json(row, {"ignoreNullFields": "false"})).alias("__r"))
+    return picked.select(*[F.col(c) if c in keys else F.col(f"__r.`{c}`").alias(c) for c in df.columns])
+
+
+def _match(keys: Sequence[str], prefix: str = "__k_") -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(prefix + k))
+    return cond
+
+
 def add_new(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Insert-only refresh: rows of ``incoming`` whose key is absent from
-    ``existing`` are added; existing rows are never changed."""
-    keys = list(keys)
-    new = incoming.dropDuplicates(keys).join(existing.select(*keys), keys, "left_anti")
-    return existing.unionByName(new, allowMissingColumns=True)
+    ``existing`` are added; existing rows are never changed.  A null in a key
+    is a value like any other, so a second refresh adds nothing."""
+    return existing.unionByName(added_rows(existing, incoming, keys), allowMissingColumns=True)
 
 
 def added_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     keys = list(keys)
-    return incoming.dropDuplicates(keys).join(existing.select(*keys), keys, "left_anti")
+    have = existing.select(*[F.col(k).alias(f"__k_{k}") for k in keys])
+    return _one_per_key(incoming, keys).join(have, _match(keys), "left_anti")
 
 
 # ------------------------------------------------------------------------- I3
@@ -87,30 +105,41 @@ def reconcile(
 
     ``incoming`` is the remote list for ``scope == scope_value``.  In the
     scope, new keys are added and vanished keys deleted; rows present on both
-    sides and rows outside the scope are left as they are.  Returns
-    ``(result, added, removed)``; applying it twice changes nothing."""
+    sides and rows outside the scope are left as they are.  A null in a key is
+    a value like any other.  Returns ``(result, added, removed)``; applying it
+    twice changes nothing.  One full outer join on the key marks every row."""
     keys = list(keys)
-    in_scope = F.col(scope) == F.lit(scope_value)
-    inc = incoming.where(in_scope).dropDuplicates(keys)
-    ex_in = existing.where(in_scope)
-    ex_out = existing.where(~in_scope | F.col(scope).isNull())
-    added = inc.join(existing.select(*keys), keys, "left_anti")
-    removed = ex_in.join(inc.select(*keys), keys, "left_anti")
-    kept = ex_in.join(inc.select(*keys), keys, "left_semi")
-    result = ex_out.unionByName(kept).unionByName(added, allowMissingColumns=True)
+    marked = _reconciled(existing, incoming, keys, scope, scope_value)
+    cols = list(dict.fromkeys([*existing.columns, *incoming.columns]))
+    side = lambda s, names: [F.col(f"{s}.`{c}`").alias(c) for c in names]
+    both = [
+        F.when(F.col("__e").isNotNull(), F.col(f"__e.`{c}`") if c in existing.columns else F.lit(None))
+        .otherwise(F.col(f"__i.`{c}`") if c in incoming.columns else F.lit(None))
+        .alias(c)
+        for c in cols
+    ]
+    result = marked.where("__state <> 'removed'").select(*both)
+    added = marked.where("__state = 'added'").select(*side("__i", incoming.columns))
+    removed = marked.where("__state = 'removed'").select(*side("__e", existing.columns))
     return result, added, removed
 
 
+def _reconciled(existing: DataFrame, incoming: DataFrame, keys: list[str], scope: str, scope_value) -> DataFrame:
+    """``__e`` and ``__i`` (existing and incoming row, null if absent) and
+    ``__state``: kept, added or removed."""
+    inc = _one_per_key(incoming.where(F.col(scope) == F.lit(scope_value)), keys)
+    left = existing.select(*keys, F.struct(*[F.col(c) for c in existing.columns]).alias("__e"))
+    right = inc.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.struct(*[F.col(c) for c in inc.columns]).alias("__i"))
+    inside = F.coalesce(F.col(f"__e.`{scope}`") == F.lit(scope_value), F.lit(False))
+    state = F.when(F.col("__e").isNull(), "added").when(inside & F.col("__i").isNull(), "removed").otherwise("kept")
+    return left.join(right, _match(keys), "full").select("__e", "__i", state.alias("__state"))
+
+
 def reconcile_counts(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], scope: str, scope_value) -> DataFrame:
     """One row: ``added, removed`` of :func:`reconcile`."""
-    _, added, removed = reconcile(existing, incoming, keys, scope, scope_value)
-    marks = added.select(F.lit(1).alias("a"), F.lit(0).alias("r")).unionByName(
-        removed.select(F.lit(0).alias("a"), F.lit(1).alias("r"))
-    )
-    return marks.agg(
-        F.coalesce(F.sum("a"), F.lit(0)).cast("bigint").alias("added"),
-        F.coalesce(F.sum("r"), F.lit(0)).cast("bigint").alias("removed"),
-    )
+    marked = _reconciled(existing, incoming, list(keys), scope, scope_value)
+    state = F.col("__state")
+    return marked.agg(F.count_if(state == "added").alias("added"), F.count_if(state == "removed").alias("removed"))
 
 
 # ------------------------------------------------------------------------- I4
@@ -135,13 +164,14 @@ def warehouse_tables(cat: DataFrame, schemas: Sequence[str] = WAREHOUSE_SCHEMAS)
     )
 
 
-def source_tables(cat: DataFrame, kind: str, schema: str | None = None, base_type: str = "TABLE") -> DataFrame:
+def source_tables(cat: DataFrame, kind: str, schema: str | None = None, base_types: Sequence[str] = BASE_TABLE_TYPES) -> DataFrame:
     """Table names of a source database: PostgreSQL drops ``pg_`` names
-    (every schema); MySQL keeps base tables of ``schema``.  Distinct."""
+    (every schema); MySQL keeps base tables of ``schema`` (its catalogue says
+    ``BASE TABLE``; ``TABLE`` is taken too).  Distinct."""
     if kind == "postgresql":
         out = cat.where(~F.col("table").startswith("pg_"))
     elif kind == "mysql":
-        out = cat.where((F.col("schema") == F.lit(schema)) & (F.col("type") == base_type))
+        out = cat.where((F.col("schema") == F.lit(schema)) & F.col("type").isin(list(base_types)))
     else:
         raise ValueError(f"unknown source kind {kind!r}")
     return out.select(F.col("table").alias("name")).distinct()
@@ -205,19 +235,21 @@ def restored_clusters(df: DataFrame, ident: str = "identifier") -> DataFrame:
 
 
 # ------------------------------------------------------------------------ I11
+_TERM = re.compile(r"""(-?)(?:"([^"]*)"(?!\S)|'([^']*)'(?!\S)|(\S*))""")
+
+
 def parse_search(text: str) -> tuple[list[str], list[str]]:
-    """(plain terms, excluded terms): whitespace-separated, quoted phrases
-    are one term, a leading ``-`` marks an exclusion."""
-    try:
-        bits = shlex.split(text or "")
-    except ValueError:
-        bits = (text or "").split()
+    """(plain terms, excluded terms): separated by white space; a term in
+    matched quotes may hold white space; a leading ``-`` marks an exclusion.
+    Backslashes stay (exclusions are regexes) and an unmatched quote is a
+    character like any other."""
     plain, minus = [], []
-    for b in bits:
-        if b.startswith("-") and len(b) > 1:
-            minus.append(b[1:])
-        elif b:
-            plain.append(b)
+    for sign, double, single, bare in _TERM.findall(text or ""):
+        term = double or single or bare
+        if sign and term:
+            minus.append(term)
+        elif term or sign:
+            plain.append(term or sign)
     return plain, minus
 
 
@@ -235,7 +267,7 @@ def search(df: DataFrame, fields: Sequence[str], text: str) -> DataFrame:
         cond = cond & any_field
     for term in minus:
         for f in fields:
-            cond = cond & ~F.coalesce(F.col(f).rlike("(?i)" + term), F.lit(False))
+            cond = cond & ~F.coalesce(F.col(f).rlike("(?iu)" + term), F.lit(False))
     return df.where(cond)
 
 
@@ -261,10 +293,11 @@ def facets(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def pick(df: DataFrame, choices: Mapping[str, object]) -> DataFrame:
-    """Filter by chosen facet values (equality on each listed column)."""
+    """Filter by chosen facet values (equality on each listed column; the
+    value None picks nulls, which :func:`facets` counts)."""
     cond = F.lit(True)
     for c, v in choices.items():
-        cond = cond & (F.col(c) == F.lit(v))
+        cond = cond & F.col(c).eqNullSafe(F.lit(v))
     return df.where(cond)
 
 
@@ -286,7 +319,7 @@ def date_drill(df: DataFrame, ts: str, year: int | None = None, month: int | Non
         nxt = dt.datetime(year + (month == 12), month % 12 + 1, 1)
         out = out.where((c >= ts_literal(dt.datetime(year, month, 1), ttype)) & (c < ts_literal(nxt, ttype)))
         level = "day"
-    day = F.to_date(c)  # the wall-clock date; no session zone involved
+    day = F.to_date(utc_wall(c, ttype))  # the UTC date; no session zone involved
     period = day if level == "day" else F.trunc(day, level)
     return out.groupBy(period.alias("period")).agg(F.count(F.lit(1)).alias("count"))
 

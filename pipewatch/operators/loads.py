@@ -5,7 +5,7 @@ out of a snapshot, table heads and mapping-driven replication."""
 from __future__ import annotations
 
 import datetime as dt
-import posixpath
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,12 +18,10 @@ RESTORE_SCHEMA = "temp"
 RESTORE_STAMP = "%Y%m%d%H%M"
 LOCAL_OFFSET_HOURS = 8
 HEAD_ROWS = 3
-SKIP_DATABASES = ("information_schema", "test")
+SKIP_DATABASES = ("information_schema", "test", "doris_audit_db__")
 SKIP_DATABASE_PREFIX = "rs_"
 MODELS = ("detail", "unique", "aggregate")
 MAPPING_MODES = ("schema", "data")
-# Broadcast the file-number table of a load only up to this many files.
-MAX_BROADCAST_FILES = 100_000
 
 
 # ------------------------------------------------------------------------- L1
@@ -52,8 +50,25 @@ def backfill(src: DataFrame, tgt: DataFrame, lo: str, hi: str, key: str = "id",
 
 
 def append(df: DataFrame, path: str) -> None:
-    """Append rows to a Parquet table folder."""
-    df.write.mode("append").parquet(path)
+    """Append rows to a Parquet table folder in the table's own columns and
+    types: columns that ``df`` lacks are null, columns that the table lacks
+    are an error.  Reading the folder back gives all its columns, whichever
+    file Spark takes the schema from.  A folder that does not exist yet is
+    created with the columns of ``df``."""
+    from pyspark.errors import AnalysisException
+
+    spark = df.sparkSession
+    try:
+        target = spark.read.parquet(path).schema
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        target = df.schema
+    unknown = [c for c in df.columns if c not in target.names]
+    if unknown:
+        raise ValueError(f"the table has no column {unknown}")
+    cols = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in target.fields]
+    df.select(*cols).write.mode("append").parquet(path)
 
 
 # ------------------------------------------------------------------- L2, L3
@@ -63,17 +78,16 @@ def unload(df: DataFrame, path: str) -> None:
 
 
 def load(spark: SparkSession, path: str, cols: Sequence[str], label: str, attempt: int = 1) -> DataFrame:
-    """Read the Parquet files directly under ``path`` (the exact folder, not
-    a name prefix) with a fixed column list; every row carries the label of
-    its file, ``<label>__<attempt>__<n>``, ``n`` counting files from 1 in
-    file-name order.  The file list comes from the listing (driver-side
-    metadata, one entry per file) and is joined on the file name."""
-    df = spark.read.parquet(path)
-    files = sorted(posixpath.basename(f) for f in df.inputFiles())
-    numbers = spark.createDataFrame([(f, i) for i, f in enumerate(files, start=1)], "__file string, __n int")
-    if len(files) <= MAX_BROADCAST_FILES:
-        numbers = F.broadcast(numbers)
-    staged = df.select(*cols, F.col("_metadata.file_name").alias("__file"))
+    """Read the Parquet files under ``path`` (the exact folder, not a name
+    prefix; partition folders included) with a fixed column list; every row
+    carries the label of its file, ``<label>__<attempt>__<n>``, ``n`` counting
+    the files that hold rows from 1 in the order of their full paths.
+
+    Files are told apart by their whole path, so equal names in different
+    partition folders stay apart.  Paths and numbers come from the scan
+    itself (a distinct over file metadata; one row per file is numbered)."""
+    staged = spark.read.parquet(path).select(*cols, F.col("_metadata.file_path").alias("__file"))
+    numbers = staged.select("__file").distinct().withColumn("__n", F.row_number().over(Window.orderBy("__file")))
     tag = F.concat(F.lit(f"{label}__{attempt}__"), F.col("__n").cast("string"))
     return staged.join(numbers, "__file").select(*cols, tag.alias("label"))
 
@@ -127,9 +141,17 @@ def write_model(
     order: Sequence[str] | None = None,
     aggs: Sequence[Column] | None = None,
     buckets: int = SERVING_BUCKETS,
+    merge: Sequence[Column] | None = None,
 ) -> None:
-    """Write :func:`apply_model` as a table hash-bucketed on ``bucket_key``
-    (required) and sorted by the sort key, replacing the table.
+    """Load rows into a serving table of the given model, hash-bucketed on
+    ``bucket_key`` (required) and sorted by the sort key.
+
+    A table that does not exist is created.  An existing one is loaded on:
+    ``detail`` appends; ``unique`` keeps the last row of each key over the
+    stored rows and the load; ``aggregate`` merges the stored rows with the
+    aggregated load by ``merge`` (aggregates over the table's own columns,
+    such as ``sum(total) AS total``; required then).  Merged rows are written
+    aside and swapped in, so a failed load leaves the table as it was.
 
     ``buckets`` defaults to the serving table's 3; a large table wants a
     count that gives bucket files of roughly 128 MB-1 GB, since a join or
@@ -137,13 +159,26 @@ def write_model(
     shuffle."""
     if not bucket_key:
         raise ValueError("bucket key is required")
+    spark = df.sparkSession
     rows = apply_model(df, model, sort_key, order, aggs)
-    (
-        rows.write.mode("overwrite")
-        .bucketBy(buckets, *list(bucket_key))
-        .sortBy(*list(sort_key))
-        .saveAsTable(table)
-    )
+
+    def write(frame: DataFrame, name: str, mode: str) -> None:
+        frame.write.mode(mode).bucketBy(buckets, *list(bucket_key)).sortBy(*list(sort_key)).saveAsTable(name)
+
+    if not spark.catalog.tableExists(table):
+        write(rows, table, "error")
+        return
+    stored = spark.table(table)
+    if model == "detail":
+        write(rows.select(*stored.columns), table, "append")
+        return
+    if model == "aggregate" and not merge:
+        raise ValueError("loading into an existing aggregate table needs merge functions")
+    merged = apply_model(stored.unionByName(rows), model, sort_key, order, merge)
+    aside = f"{table}__{uuid.uuid4().hex[:8]}"
+    write(merged.select(*stored.columns), aside, "error")
+    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
 
 
 def default_keys(df: DataFrame) -> tuple[list[str], list[str]]:
@@ -189,13 +224,14 @@ def restore_tables(
 
 # ------------------------------------------------------------------------- L7
 def heads(frames: Mapping[str, DataFrame], n: int = HEAD_ROWS, order: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
-    """First ``n`` rows of each table (by ``order`` when given) as
-    ``table_name, rn, row_json`` - a union of per-table top-n."""
+    """First ``n`` rows of each table as ``table_name, rn, row_json``: a union
+    of per-table top-n in the ``order`` given, else any ``n`` rows (a limit,
+    which reads no more than it needs)."""
     parts = []
     for name, df in frames.items():
-        cols = list((order or {}).get(name, df.columns[:1]))
-        w = Window.orderBy(*cols)
-        top = df.orderBy(*cols).limit(n)
+        cols = list((order or {}).get(name, ()))
+        w = Window.orderBy(*(cols or [F.lit(1)]))
+        top = df.orderBy(*cols).limit(n) if cols else df.limit(n)
         parts.append(
             top.select(
                 F.lit(name).alias("table_name"),

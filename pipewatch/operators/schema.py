@@ -7,6 +7,7 @@ char_len, precision, scale`` with warehouse (PostgreSQL-style) type names.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,7 +26,12 @@ PROFILE_SCHEMA = (
 
 
 # ------------------------------------------------------------------------- C4
-def _warehouse_type(dt: T.DataType) -> tuple[str, int | None, int | None, int | None]:
+#: Where Spark keeps the declared type of a char or varchar column of a table.
+_DECLARED_KEY = "__CHAR_VARCHAR_TYPE_STRING"
+_DECLARED = re.compile(r"(varchar|char)\((\d+)\)")
+
+
+def _warehouse_type(dt: T.DataType, metadata: dict | None = None) -> tuple[str, int | None, int | None, int | None]:
     if isinstance(dt, T.LongType):
         return "bigint", None, 64, 0
     if isinstance(dt, T.IntegerType):
@@ -43,6 +49,9 @@ def _warehouse_type(dt: T.DataType) -> tuple[str, int | None, int | None, int |
     if isinstance(dt, T.CharType):
         return "character", dt.length, None, None
     if isinstance(dt, T.StringType):
+        declared = _DECLARED.fullmatch((metadata or {}).get(_DECLARED_KEY, ""))
+        if declared:
+            return ("character varying" if declared[1] == "varchar" else "character"), int(declared[2]), None, None
         return "character varying", DEFAULT_VARCHAR_LENGTH, None, None
     if isinstance(dt, T.BooleanType):
         return "boolean", None, None, None
@@ -59,26 +68,25 @@ def columns_of(
     spark: SparkSession,
     frames: dict[str, DataFrame | T.StructType],
     schema: str = "public",
-    measure: bool = True,
+    measure: bool = False,
 ) -> DataFrame:
     """Column profile of DataFrames or schemas (name -> frame/schema).
 
-    Types come from the schemas.  A string column has no declared length in
-    Spark, so its ``char_len`` is the longest value actually stored (one
-    aggregate pass per table over its string columns, kept lazy: the
-    per-table results are unpivoted with ``stack`` and joined to the schema
-    rows); declared ``varchar(n)`` / ``char(n)`` lengths are kept.  With
-    ``measure=False``, or for a bare schema, text gets the warehouse maximum
-    (65535)."""
+    Types and declared ``varchar(n)`` / ``char(n)`` lengths come from the
+    schemas alone (Spark keeps them in the column metadata of tables); text
+    without a declared length gets the warehouse maximum (65535).  No data is
+    read.  With ``measure`` the ``char_len`` of undeclared text is the longest
+    value stored instead: one aggregate pass per table over those columns,
+    unpivoted with ``stack`` and joined to the schema rows."""
     rows = []
     measured = []
     for table, df in frames.items():
         struct = df if isinstance(df, T.StructType) else df.schema
         strings = []
         for i, f in enumerate(struct.fields, start=1):
-            kind = _warehouse_type(f.dataType)
+            kind = _warehouse_type(f.dataType, f.metadata)
             rows.append((schema, table, f.name, i, *kind))
-            if type(f.dataType) is T.StringType:
+            if type(f.dataType) is T.StringType and _DECLARED_KEY not in (f.metadata or {}):
                 strings.append(f.name)
         if measure and strings and isinstance(df, DataFrame):
             lens = df.agg(*[F.max(F.length(F.col(c))).alias(f"__l{j}") for j, c in enumerate(strings)])
@@ -203,22 +211,48 @@ def spark_type_of(cdc_type: str) -> str:
     raise ValueError(f"no Spark type for {cdc_type!r}")
 
 
-def conform_cdc(df: DataFrame, column_types: Sequence[tuple[str, str]], event_time: Column | str = CDC_PARTITION) -> DataFrame:
-    """Cast ``df`` to the CDC column list ``[(column, cdc_type), ...]`` (the
-    small output of :func:`map_types_cdc` for one table, collected by the
-    caller), filling CDC columns the source lacks with nulls, each column
-    once; ``event_time`` (string ``yyyy/MM/dd/HH``) is the partition."""
-    cols = []
-    seen = set()
+def text_limit(cdc_type: str) -> int | None:
+    """Characters a text type may hold; None for other types."""
+    m = re.fullmatch(r"(?:varchar|char)\((\d+)\)", cdc_type.strip().lower())
+    return int(m[1]) if m else None
+
+
+def split_cdc(df: DataFrame, column_types: Sequence[tuple[str, str]], event_time: Column | str = CDC_PARTITION) -> tuple[DataFrame, DataFrame]:
+    """(conformed, rejects): ``df`` cast to the CDC column list ``[(column,
+    cdc_type), ...]`` (the small output of :func:`map_types_cdc` for one table,
+    collected by the caller), CDC columns the source lacks filled with nulls,
+    each column once; ``event_time`` (string ``yyyy/MM/dd/HH``) is the
+    partition.
+
+    A row with a value that does not fit its type, or text longer than its
+    length, is no conformed row: it goes to rejects, whole and unchanged, with
+    a ``reason`` that names the columns."""
+    cols, bad, seen = [], [], {CDC_PARTITION}
     for name, ctype in column_types:
-        if name in seen or name == CDC_PARTITION:
+        if name in seen:
             continue
         seen.add(name)
         target = spark_type_of(ctype)
-        src = F.col(name) if name in df.columns else F.lit(None)
-        cols.append(src.try_cast(target).alias(name) if name in df.columns else src.cast(target).alias(name))
+        if name not in df.columns:
+            cols.append(F.lit(None).cast(target).alias(name))
+            continue
+        src = F.col(f"`{name}`")
+        cols.append(src.try_cast(target).alias(name))
+        limit = text_limit(ctype)
+        wrong = src.isNotNull() & src.try_cast(target).isNull()
+        if limit is not None:
+            wrong = wrong | (F.length(src.cast("string")) > limit)
+        bad.append(F.when(F.coalesce(wrong, F.lit(False)), F.lit(f"{name} is no {ctype}")))
     et = F.col(event_time) if isinstance(event_time, str) else event_time
-    return df.select(*cols, et.cast("string").alias(CDC_PARTITION))
+    reason = F.concat_ws("; ", *bad) if bad else F.lit("")
+    marked = df.withColumn("__reason", reason)
+    good = marked.where(F.col("__reason") == "").select(*cols, et.cast("string").alias(CDC_PARTITION))
+    return good, marked.where(F.col("__reason") != "").select(*[F.col(f"`{c}`") for c in df.columns], F.col("__reason").alias("reason"))
+
+
+def conform_cdc(df: DataFrame, column_types: Sequence[tuple[str, str]], event_time: Column | str = CDC_PARTITION) -> DataFrame:
+    """The conformed half of :func:`split_cdc`."""
+    return split_cdc(df, column_types, event_time)[0]
 
 
 def write_cdc(df: DataFrame, path: str, mode: str = "append") -> None:

@@ -103,18 +103,22 @@ def tasks_with_table(
     """Tasks with at least one table whose name contains ``text``
     (case-sensitive), each task once (``left_semi``).  With ``known`` (the
     stored task list, column ``task_id``) only new tasks are returned; the
-    stored list is first purged of ids that do not contain ``purge_suffix``.
+    stored list is first purged of ids that do not contain ``purge_suffix``
+    (:func:`purged_known` gives the purged list, to store it).
     """
     hits = stats.where(F.col("table").contains(text)).select("task_arn")
     found = tasks.join(hits, tasks["arn"] == hits["task_arn"], "left_semi").withColumn("table_name", F.lit(text))
     if known is not None:
-        kept = known
-        if purge_suffix:
-            kept = kept.where(F.col("task_id").contains(purge_suffix))
-        found = found.join(kept.select("task_id"), "task_id", "left_anti")
+        found = found.join(purged_known(known, purge_suffix).select("task_id"), "task_id", "left_anti")
     return found
 
 
+def purged_known(known: DataFrame, purge_suffix: str | None = None) -> DataFrame:
+    """The stored task list after R5's purge: only ids that contain
+    ``purge_suffix`` stay (all of them without one; a null id goes)."""
+    return known.where(F.col("task_id").contains(purge_suffix)) if purge_suffix else known
+
+
 def new_logical_tables(stats: DataFrame, known: DataFrame, task_arn: str | None = None) -> DataFrame:
     """Distinct ``(task_arn, name, schema)`` with ``name`` = short fold
     (R2) of the table, leaving out those already known.  "Known" compares

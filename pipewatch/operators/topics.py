@@ -62,7 +62,7 @@ def slice_log(
     literal ``partition = p AND offset BETWEEN lo AND hi`` filter that the
     Parquet scan uses to skip row groups, so a recent slice of a long topic
     reads only its own row groups; otherwise (or beyond
-    ``MAX_STATIC_PARTITIONS``) it is broadcast-joined to the log.
+    ``MAX_STATIC_PARTITIONS``) it is joined to the log.
     """
     ttype = log.schema[ts].dataType
     t = F.col(ts)
@@ -83,9 +83,10 @@ def slice_log(
         narrowed = _offset_ranges(log, bounds, partition, offset)
         if narrowed is not None:
             return narrowed
-    joined = log.join(F.broadcast(bounds), on=partition, how="inner")
+    bounds = bounds.withColumnRenamed(partition, "__p")
+    joined = log.join(bounds, F.col(partition).eqNullSafe(F.col("__p")))
     keep = (F.col(offset) >= F.col("__lo")) & (F.col("__hi").isNull() | (F.col(offset) <= F.col("__hi")))
-    return joined.where(keep).drop("__lo", "__hi")
+    return joined.where(keep).drop("__lo", "__hi", "__p")
 
 
 def _offset_ranges(log: DataFrame, ranges: DataFrame, partition: str, offset: str) -> DataFrame | None:
@@ -94,12 +95,12 @@ def _offset_ranges(log: DataFrame, ranges: DataFrame, partition: str, offset: st
     literal filter the Parquet scan can use to skip row groups.  Collects the
     ranges (bounded by the partition count); returns None beyond
     ``MAX_STATIC_PARTITIONS`` so the caller can join instead."""
-    rows = ranges.select(partition, "__lo", "__hi").collect()
+    rows = ranges.select(partition, "__lo", "__hi").limit(MAX_STATIC_PARTITIONS + 1).collect()
     if len(rows) > MAX_STATIC_PARTITIONS:
         return None
     cond = F.lit(False)
     for r in rows:
-        term = (F.col(partition) == F.lit(r[partition])) & (F.col(offset) >= F.lit(r["__lo"]))
+        term = F.col(partition).eqNullSafe(F.lit(r[partition])) & (F.col(offset) >= F.lit(r["__lo"]))
         if r["__hi"] is not None:
             term = term & (F.col(offset) <= F.lit(r["__hi"]))
         cond = cond | term
@@ -163,34 +164,50 @@ def extract_events(log: DataFrame, **kw) -> DataFrame:
 
 
 # ------------------------------------------------------------------------- T4
-def land(log: DataFrame, target: str, start, end=None, mode: str = "overwrite", **extract) -> DataFrame:
+def land(log: DataFrame, target: str, start, end=None, mode: str = "overwrite", rejects: str | None = None, **extract) -> DataFrame:
     """Slice (T1), extract (T3) and write ``partition, offset, key, ts`` to
     ``target`` - a catalogue table name (``saveAsTable``) or a folder path
-    (Parquet) - replacing what was there.  Returns a report read back from
-    the written copy: one row per partition with ``has_data``,
-    ``start_offset`` and ``rows``.  Actions: the write (and the report, when
-    collected)."""
+    (Parquet) - replacing what was there.  Rows that could not be extracted
+    are written next to it, to ``rejects`` (default ``<target>_rejects``).
+
+    Returns a report read back from both copies: one row per partition of
+    the log with ``has_data`` (the slice holds messages), ``start_offset``
+    (first offset of the slice, accepted or not; null without data),
+    ``rows`` landed and ``rejected``.  Actions: the two writes (and the
+    report, when collected)."""
     sliced = slice_log(log, start, end)
-    events = extract_events(sliced, **extract)
-    spark = log.sparkSession
-    if _is_path(target):
-        events.write.mode(mode).parquet(target)
-        landed = spark.read.parquet(target)
-    else:
-        events.write.mode(mode).saveAsTable(target)
-        landed = spark.table(target)
-    return landed.groupBy("partition").agg(
-        (F.count(F.lit(1)) > 0).alias("has_data"),
+    events, bad = split_events(sliced, **extract)
+    landed = _written(events, target, mode).select("partition", "offset", F.lit(1).alias("good"))
+    left = _written(bad, rejects or f"{target}_rejects", mode).select("partition", "offset", F.lit(0).alias("good"))
+    known = log.select("partition").distinct().select("partition", F.lit(None).cast("bigint").alias("offset"), F.lit(None).cast("int").alias("good"))
+    return landed.unionByName(left).unionByName(known).groupBy("partition").agg(
+        (F.count("good") > 0).alias("has_data"),
         F.min("offset").alias("start_offset"),
-        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("good") == 1).alias("rows"),
+        F.count_if(F.col("good") == 0).alias("rejected"),
     )
 
 
+def _written(df: DataFrame, target: str, mode: str) -> DataFrame:
+    if _is_path(target):
+        df.write.mode(mode).parquet(target)
+        return df.sparkSession.read.schema(df.schema).parquet(target)
+    df.write.mode(mode).saveAsTable(target)
+    return df.sparkSession.table(target)
+
+
 def _is_path(target: str) -> bool:
     return "/" in target or ":" in target
 
 
 # --------------------------------------------------------------------- T5, T6
+def _present(events: DataFrame, per: Sequence[str]) -> list[str]:
+    missing = [c for c in per if c not in events.columns]
+    if missing:
+        raise ValueError(f"no column {missing} in the events; pass per=() if the sequence is global")
+    return list(per)
+
+
 def disorder_bound(
     events: DataFrame,
     seq: str = "offset",
@@ -210,10 +227,11 @@ def disorder_bound(
     kept; with ``topn`` the largest ``topn`` diffs are returned (ties broken
     on ``seq``, a ``TakeOrderedAndProject``), else all late rows.  Output:
     ``per``, key columns, ``diff_ts``, ``id`` (= seq).  Empty input gives an
-    empty result.
+    empty result.  A ``per`` column that ``events`` lacks is an error: offsets
+    of several partitions have no common order.
     """
     keys = [key] if isinstance(key, str) else list(key or [])
-    per = [c for c in per if c in events.columns]
+    per = _present(events, per)
     group = [*per, *keys]
     # per key: split only keys with more than bucket_width rows (many small
     # keys would otherwise each get a bucket per offset range they touch)
@@ -242,7 +260,7 @@ def late_beyond(
     late_rows, max_diff`` - a single grouped aggregate over the lateness
     column against a tiny literal table of delays."""
     keys = [key] if isinstance(key, str) else list(key or [])
-    per = [c for c in per if c in events.columns]
+    per = _present(events, per)
     lat = lateness(events, seq, ts, [*per, *keys], buckets, bucket_width=bucket_width, hot_keys_only=bool(keys))
     # One pass: a conditional count per candidate delay (a short literal
     # list), then ``stack`` turns the counts into rows - no join needed.
@@ -287,23 +305,24 @@ def last_message(
 ) -> DataFrame:
     """The last message of each partition (highest offset): ``partition,
     offset, timestamp, value`` and, with ``pretty``, the value re-indented.
-    An empty log gives no rows.
+    An empty log gives no rows.  Rows without an offset have no place and are
+    left out; of rows that share the last offset the largest (by the columns
+    in order) is the last.
 
     The highest offset per partition is found from the two narrow columns
     only; the rows themselves are then read through a literal offset filter
     (row groups skipped by their offset statistics), so the wide ``value``
     column of the whole log is never read.  Beyond
-    ``MAX_STATIC_PARTITIONS`` partitions a ``max_by`` aggregate (partial,
-    combined map-side) is used instead."""
-    last = None
+    ``MAX_STATIC_PARTITIONS`` partitions the whole log is aggregated.  Either
+    way the same aggregate (partial, combined map-side) picks the row."""
+    names = log.columns
+    log = log.where(F.col(offset).isNotNull())
     if static_bounds:
         top = log.groupBy(partition).agg(F.max(offset).alias("__lo")).withColumn("__hi", F.col("__lo"))
-        last = _offset_ranges(log, top, partition, offset)
-    if last is None:
-        cols = [c for c in log.columns if c != partition]
-        last = log.groupBy(partition).agg(F.max_by(F.struct(*cols), F.col(offset)).alias("__m")).select(
-            partition, "__m.*"
-        )
+        narrowed = _offset_ranges(log, top, partition, offset)
+        log = log if narrowed is None else narrowed
+    rest = [offset, *[c for c in names if c not in (partition, offset)]]
+    last = log.groupBy(partition).agg(F.max(F.struct(*rest)).alias("__m")).select(partition, "__m.*").select(*names)
     if pretty:
         last = last.withColumn("pretty", _pretty_json(F.col(value)))
     return last

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from pipewatch.functions.times import instant
 from pipewatch.operators import catalog as cg
 from pipewatch.plans import fixtures_sql as fx
 from pipewatch.plans.registry import register
@@ -118,12 +119,37 @@ def i7_source_tables_postgresql(spark, sf_dir):
     return cg.source_tables(derived.table_catalogue(spark, sf_dir), "postgresql")
 
 
+def _mysql_catalogue(spark, sf_dir):
+    """The catalogue as MySQL words it."""
+    base = F.when(F.col("type") == "TABLE", F.lit("BASE TABLE")).otherwise(F.col("type"))
+    return derived.table_catalogue(spark, sf_dir).withColumn("type", base)
+
+
 @register(
     "i7_source_tables_mysql",
     f"""SELECT DISTINCT "table" AS name FROM ({fx.CATALOGUE}) WHERE schema = 'ods' AND type = 'TABLE'""",
 )
 def i7_source_tables_mysql(spark, sf_dir):
-    return cg.source_tables(derived.table_catalogue(spark, sf_dir), "mysql", schema="ods")
+    return cg.source_tables(_mysql_catalogue(spark, sf_dir), "mysql", schema="ods")
+
+
+@register(
+    "i7_i2_inventory_then_add",
+    f"""WITH c AS (SELECT DISTINCT "table" AS name FROM ({fx.CATALOGUE}) WHERE schema = 'ods' AND type = 'TABLE'),
+        known AS (SELECT CASE WHEN hash_no % 2 = 0 THEN name END AS name, hash_no
+                  FROM (SELECT name, CAST(regexp_extract(name, '(\\d+)$', 1) AS BIGINT) AS hash_no FROM c) WHERE hash_no % 3 = 0)
+        SELECT name, 'stored' AS origin FROM known
+        UNION ALL SELECT name, 'new' FROM c WHERE name NOT IN (SELECT name FROM known WHERE name IS NOT NULL)
+        UNION ALL SELECT NULL, 'new' WHERE NOT EXISTS (SELECT 1 FROM known WHERE name IS NULL)""",
+)
+def i7_i2_inventory_then_add(spark, sf_dir):
+    """The inventory of I7 (and a null name) added to a stored list that holds
+    nulls, twice: the second time adds nothing."""
+    names = cg.source_tables(_mysql_catalogue(spark, sf_dir), "mysql", schema="ods")
+    number = F.regexp_extract("name", r"(\d+)$", 1).cast("bigint")
+    known = names.where(number % 3 == 0).select(F.when(number % 2 == 0, F.col("name")).alias("name"), F.lit("stored").alias("origin"))
+    incoming = names.unionByName(spark.range(1).select(F.lit(None).cast("string").alias("name"))).withColumn("origin", F.lit("new"))
+    return cg.add_new(cg.add_new(known, incoming, ["name"]), incoming, ["name"])
 
 
 def _snap_sql(start: str, end: str) -> str:
@@ -144,6 +170,23 @@ def i8_snapshots(spark, sf_dir):
     return cg.snapshots(derived.snapshots(spark, sf_dir), dt.datetime(2001, 8, 1), "1998/01/01", "1998/03/31")
 
 
+def _instant_snapshots(spark, sf_dir):
+    return derived.snapshots(spark, sf_dir).withColumn("create_time", instant("create_time"))
+
+
+@register("i8_snapshots_instant", f"""SELECT cluster, identifier, create_time_str, display_name FROM ({_snap_sql("1997-12-31 16:00:00", "1998-03-31 16:00:00")})""")
+def i8_snapshots_instant(spark, sf_dir):
+    return cg.snapshots(_instant_snapshots(spark, sf_dir), dt.datetime(2001, 8, 1), "1998/01/01", "1998/03/31").drop("create_time")
+
+
+@register(
+    "i9_apply_retention_instant",
+    f"""SELECT cluster, identifier FROM ({fx.SNAPSHOTS}) WHERE create_time > TIMESTAMP '1998-04-27 00:00:00'""",
+)
+def i9_apply_retention_instant(spark, sf_dir):
+    return cg.apply_retention(_instant_snapshots(spark, sf_dir), "create_time", dt.datetime(1998, 6, 1)).select("cluster", "identifier")
+
+
 @register("i8_snapshots_last_35_days", _snap_sql("1998-04-27 00:00:00", "1998-06-01 00:00:00"))
 def i8_snapshots_last_35_days(spark, sf_dir):
     return cg.snapshots(derived.snapshots(spark, sf_dir), dt.datetime(1998, 6, 1))
@@ -158,6 +201,22 @@ def i9_apply_retention(spark, sf_dir):
     return cg.apply_retention(derived.snapshots(spark, sf_dir), "create_time", dt.datetime(1998, 6, 1))
 
 
+@register(
+    "i8_i2_i9_snapshot_inventory",
+    f"""SELECT identifier, create_time FROM (SELECT DISTINCT identifier, create_time
+            FROM ({_snap_sql("1998-04-27 00:00:00", "1998-06-01 00:00:00")})) WHERE create_time > TIMESTAMP '1998-05-02 00:00:00'
+        UNION ALL SELECT DISTINCT identifier, create_time FROM ({fx.SNAPSHOTS}) s
+        WHERE create_time > TIMESTAMP '1998-06-01 00:00:00' AND create_time < TIMESTAMP '1998-06-20 00:00:00'""",
+)
+def i8_i2_i9_snapshot_inventory(spark, sf_dir):
+    """Snapshots listed (I8), added to a stored list (I2), then old ones dropped."""
+    every = derived.snapshots(spark, sf_dir)
+    between = (F.col("create_time") > F.lit("1998-06-01").cast("timestamp_ntz")) & (F.col("create_time") < F.lit("1998-06-20").cast("timestamp_ntz"))
+    stored = every.where(between).select("identifier", "create_time").distinct()
+    listed = cg.snapshots(every, dt.datetime(1998, 6, 1)).select("identifier", "create_time")
+    return cg.apply_retention(cg.add_new(stored, listed, ["identifier", "create_time"]), "create_time", dt.datetime(1998, 6, 6))
+
+
 @register(
     "i10_restored_clusters",
     f"""SELECT identifier FROM ({fx.CLUSTERS}) WHERE regexp_matches(identifier, 'snapshot-\\d{{8}}t\\d{{6}}$')""",
@@ -168,6 +227,7 @@ def i10_restored_clusters(spark, sf_dir):
 
 _SEARCH_FIELDS = ("p_name", "p_type", "p_brand")
 _SEARCH_TEXT = 'small bolt -standard -"brand#1[0-9]"'
+_SEARCH_REGEX_TEXT = r"bolt -brand#\d[13579]$"
 
 
 def _search_sql() -> str:
@@ -187,6 +247,17 @@ def i11_search(spark, sf_dir):
     return cg.search(part, _SEARCH_FIELDS, _SEARCH_TEXT)
 
 
+@register(
+    "i11_search_regex",
+    """SELECT p_partkey, p_name, p_type, p_brand FROM part
+       WHERE (contains(lower(p_name), 'bolt') OR contains(lower(p_type), 'bolt') OR contains(lower(p_brand), 'bolt'))
+         AND NOT regexp_matches(p_brand, '(?i)brand#[0-9][13579]$')""",
+)
+def i11_search_regex(spark, sf_dir):
+    part = read_table(spark, sf_dir, "part").select("p_partkey", *_SEARCH_FIELDS)
+    return cg.search(part, _SEARCH_FIELDS, _SEARCH_REGEX_TEXT)
+
+
 @register(
     "i12_facets",
     """SELECT 'c_mktsegment' AS "column", c_mktsegment AS value, count(*) AS "count" FROM customer GROUP BY 2
@@ -237,11 +308,26 @@ def i13_date_drill_days(spark, sf_dir):
     return _as_ts(cg.date_drill(read_table(spark, sf_dir, "orders"), "o_orderdate", year=1997, month=5))
 
 
+@register(
+    "i13_date_drill_instant",
+    """SELECT date_trunc('day', o_orderdate) AS period, count(*) AS "count" FROM orders
+       WHERE year(o_orderdate) = 1997 AND month(o_orderdate) = 5 GROUP BY 1""",
+)
+def i13_date_drill_instant(spark, sf_dir):
+    orders = read_table(spark, sf_dir, "orders").withColumn("o_orderdate", instant("o_orderdate"))
+    return _as_ts(cg.date_drill(orders, "o_orderdate", year=1997, month=5))
+
+
 @register("i14_scoped", f"""SELECT * FROM ({fx.CATALOGUE}) WHERE schema = 'ods'""")
 def i14_scoped(spark, sf_dir):
     return cg.scoped(derived.table_catalogue(spark, sf_dir), "schema", "ods")
 
 
-@register("i14_scoped_none", f"""SELECT * FROM ({fx.CATALOGUE}) WHERE false""")
+@register(
+    "i14_scoped_none",
+    f"""SELECT 'none chosen' AS choice, 0 AS "rows" UNION ALL SELECT 'ods', count(*) FROM ({fx.CATALOGUE}) WHERE schema = 'ods'""",
+)
 def i14_scoped_none(spark, sf_dir):
-    return cg.scoped(derived.table_catalogue(spark, sf_dir), "schema", None)
+    cat = derived.table_catalogue(spark, sf_dir)
+    size = lambda name, conn: cg.scoped(cat, "schema", conn).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("choice"), "rows")
+    return size("none chosen", None).unionByName(size("ods", "ods"))

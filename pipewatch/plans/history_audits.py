@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pipewatch.functions.times import instant
 from pipewatch.operators import history as hs
 from pipewatch.plans import fixtures_sql as fx
 from pipewatch.plans.registry import register
@@ -32,6 +33,12 @@ def h1_dashboard_queries(spark, sf_dir):
     return _h1(spark, sf_dir)
 
 
+@register("h1_dashboard_queries_instant", _H1_SQL)
+def h1_dashboard_queries_instant(spark, sf_dir):
+    hist = derived.query_history(spark, sf_dir).withColumn("start_time", instant("start_time"))
+    return hs.dashboard_queries(hist, AS_OF)
+
+
 @register("h2_slowest", f"SELECT * FROM ({_H1_SQL}) WHERE dashboard_code = 'view7' ORDER BY elapsed DESC")
 def h2_slowest(spark, sf_dir):
     return hs.slowest(_h1(spark, sf_dir), "view7")

@@ -35,6 +35,24 @@ def l1_backfill(spark, sf_dir):
     return ld.backfill(src, _backfill_target(spark, sf_dir), BACKFILL_LO, BACKFILL_HI, key="o_orderkey")
 
 
+@register(
+    "l1_append_reads_back",
+    f"""WITH t AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderkey % 10 AS only_target
+                   FROM orders WHERE o_orderkey % 4 <> 0)
+        SELECT * FROM t
+        UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, NULL FROM ({fx.CDC_SOURCE})
+        WHERE length(event_time) >= 13 AND event_time BETWEEN '{BACKFILL_LO}' AND '{BACKFILL_HI}' AND o_orderkey % 4 = 0""",
+)
+def l1_append_reads_back(spark, sf_dir):
+    """Backfill twice into a table with a column of its own and read it back."""
+    path = work_dir(spark, "backfill")
+    _backfill_target(spark, sf_dir).withColumn("only_target", F.col("o_orderkey") % 10).write.parquet(path)
+    src = derived.cdc_source(spark, sf_dir)
+    for _ in range(2):
+        ld.append(ld.backfill(src, spark.read.parquet(path), BACKFILL_LO, BACKFILL_HI, key="o_orderkey"), path)
+    return spark.read.parquet(path)
+
+
 @register(
     "l2_l3_unload_load",
     """SELECT o_orderkey, o_custkey, o_totalprice, 'orders__2' AS label_prefix FROM orders""",
@@ -49,13 +67,17 @@ def l2_l3_unload_load(spark, sf_dir):
     )
 
 
-@register("l3_load_file_labels")
+@register(
+    "l3_load_file_labels",
+    """SELECT 'lineitem__1__' || dense_rank() OVER (ORDER BY l_returnflag) AS label, l_orderkey, l_linenumber
+       FROM lineitem""",
+)
 def l3_load_file_labels(spark, sf_dir):
-    """Rows per file label (file count depends on the writer's partitions)."""
+    """A folder with one file, of the same name, in each partition folder."""
     path = work_dir(spark, "unload", "lineitem")
-    ld.unload(read_table(spark, sf_dir, "lineitem"), path)
-    loaded = ld.load(spark, path, ["l_orderkey", "l_linenumber"], "lineitem")
-    return loaded.groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
+    items = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    items.repartition(1, "l_returnflag").write.partitionBy("l_returnflag").parquet(path)
+    return ld.load(spark, path, ["l_orderkey", "l_linenumber"], "lineitem").select("label", "l_orderkey", "l_linenumber")
 
 
 @register(
@@ -112,6 +134,53 @@ def l5_write_bucketed_unique(spark, sf_dir):
     return spark.table(table)
 
 
+def _loads(spark, sf_dir, model, columns, **rules):
+    """Two loads of one model: orders before and since 1995, into one table."""
+    o = read_table(spark, sf_dir, "orders").select(*columns)
+    since = F.col("o_orderdate") >= F.lit("1995-01-01").cast("timestamp_ntz")
+    db = f"serving_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{work_dir(spark, 'serving')}'")
+    for part in (o.where(~since), o.where(since)):
+        ld.write_model(part, f"{db}.orders", model, ["o_custkey"], ["o_custkey"], **rules)
+    return spark.table(f"{db}.orders")
+
+
+@register("l5_load_detail_twice", "SELECT o_custkey, o_orderkey, o_orderdate FROM orders")
+def l5_load_detail_twice(spark, sf_dir):
+    return _loads(spark, sf_dir, "detail", ["o_custkey", "o_orderkey", "o_orderdate"])
+
+
+@register("l5_load_unique_twice", _UNIQUE_SQL)
+def l5_load_unique_twice(spark, sf_dir):
+    cols = ["o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
+    return _loads(spark, sf_dir, "unique", cols, order=["o_orderdate", "o_orderkey"])
+
+
+@register(
+    "l5_load_aggregate_twice",
+    "SELECT o_custkey, count(*) AS orders, max(o_orderdate) AS last_order FROM orders GROUP BY o_custkey",
+)
+def l5_load_aggregate_twice(spark, sf_dir):
+    return _loads(
+        spark, sf_dir, "aggregate", ["o_custkey", "o_orderdate"],
+        aggs=[F.count(F.lit(1)).alias("orders"), F.max("o_orderdate").alias("last_order")],
+        merge=[F.sum("orders").alias("orders"), F.max("last_order").alias("last_order")],
+    )
+
+
+@register(
+    "l6_restore_rows",
+    "SELECT o_orderkey, o_custkey, o_totalprice, 'restored' AS first_run, 'skipped' AS second_run FROM orders",
+)
+def l6_restore_rows(spark, sf_dir):
+    """The rows of a restored copy, and what a second restore says of it."""
+    snap, schema, when = work_dir(spark, "snapshot"), f"temp_{uuid.uuid4().hex[:12]}", dt.datetime(1998, 1, 2, 2, 30)
+    read_table(spark, sf_dir, "orders").write.parquet(f"{snap}/dw/ods/orders")
+    runs = [ld.restore_tables(spark, snap, ["dw.ods.orders"], when, schema, work_dir(spark, "restore")).first()["status"] for _ in range(2)]
+    rows = spark.table(f"{schema}.{ld.restore_name('dw.ods.orders', when)}")
+    return rows.select("o_orderkey", "o_custkey", "o_totalprice", F.lit(runs[0]).alias("first_run"), F.lit(runs[1]).alias("second_run"))
+
+
 @register(
     "l6_restore_tables",
     """SELECT 'dw.ods.orders' AS "table", 'orders_199801021030' AS target_table, 'restored' AS status,
@@ -186,3 +255,19 @@ def l8_apply_mapping(spark, sf_dir):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+@register(
+    "l8_mapping_rows",
+    """SELECT 'ods.a_supplier' AS target_table, CASE WHEN s_suppkey % 7 <> 0 THEN s_suppkey END AS id, s_name FROM supplier
+       UNION ALL SELECT 'stg.b_supplier', NULL, s_name FROM supplier WHERE s_suppkey % 7 = 0""",
+)
+def l8_mapping_rows(spark, sf_dir):
+    """Row contents of a table some of whose ids are null, in both modes."""
+    key = F.col("s_suppkey")
+    frames = {"supplier": read_table(spark, sf_dir, "supplier").select(F.when(key % 7 != 0, key).alias("id"), "s_name")}
+    mapped = ld.apply_mapping(frames, ["supplier"], "a_", "ods", "data") | ld.apply_mapping(frames, ["supplier"], "b_", "stg", "schema")
+    root = work_dir(spark, "mapping")
+    ld.write_mapping(mapped, root)
+    parts = [spark.read.parquet(f"{root}/{n.replace('.', '/', 1)}").select(F.lit(n).alias("target_table"), "id", "s_name") for n in mapped]
+    return parts[0].unionByName(parts[1])

@@ -45,7 +45,8 @@ _BK = "__pw_bk"
 _CARRY = "__pw_carry"
 _LOCAL = "__pw_local"
 _HOT = "__pw_hot"
-MAX_BROADCAST_HOT_KEYS = 1_000_000  # checked bound for broadcasting the hot-key list
+MAX_BROADCAST_HOT_KEYS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20  # checked bound for broadcasting the hot-key list
 _KEY = "__pw_key"
 
 
@@ -164,10 +165,11 @@ def _hot_bucketed(base: DataFrame, seq: str, keys: list[str], width: int) -> Dat
     kstruct = F.struct(*keys)
     counts = base.groupBy(kstruct.alias(_KEY)).agg(F.count(F.lit(1)).alias("__n"))
     hot = counts.where(F.col("__n") > width).select(_KEY, F.lit(True).alias(_HOT)).checkpoint(eager=True)
-    n_hot = hot.count()  # reads the checkpointed rows only
+    # reads the checkpointed rows only
+    n_hot, size = hot.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length(F.to_json(_KEY))), F.lit(0))).first()
     if n_hot == 0:
         return None
-    if n_hot > MAX_BROADCAST_HOT_KEYS:
+    if n_hot > MAX_BROADCAST_HOT_KEYS or size > MAX_BROADCAST_BYTES:
         return base.withColumn(_BK, F.floor(F.col(seq) / F.lit(width)))
     tagged = base.withColumn(_KEY, kstruct).join(F.broadcast(hot), _KEY, "left").drop(_KEY)
     bucket = F.when(F.col(_HOT), F.floor(F.col(seq) / F.lit(width))).otherwise(F.lit(0).cast("bigint"))

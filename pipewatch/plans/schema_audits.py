@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from pipewatch.operators import schema as sc
@@ -16,10 +18,10 @@ PROFILED = ("region", "nation", "customer", "supplier", "part", "orders", "linei
 SERVING_SORT_KEY = "c_name, o_orderstatus"
 
 
-def _profile(spark, sf_dir):
+def _profile(spark, sf_dir, measure=False):
     frames = {n: read_table(spark, sf_dir, n) for n in PROFILED}
     frames["orders_cdc"] = derived.cdc_source(spark, sf_dir)
-    return sc.columns_of(spark, frames)
+    return sc.columns_of(spark, frames, measure=measure)
 
 
 _IN = ", ".join(f"'{n}'" for n in PROFILED)
@@ -51,9 +53,12 @@ _TYPES_SQL = f"""
            CAST(CASE WHEN data_type IN ('BIGINT', 'INTEGER') THEN 0 END AS INTEGER) AS scale
     FROM information_schema.columns WHERE table_name IN ({_IN})
 """
-_PROFILE_ALL_SQL = f"""
+
+
+def _profile_sql(length: str, join: str = "") -> str:
+    return f"""
     SELECT 'public' AS schema, ty."table", ty."column", ty.position, ty.data_type,
-           CAST(CASE WHEN ty.data_type = 'character varying' THEN greatest(coalesce(l.len, 1), 1) END AS INTEGER) AS char_len,
+           CAST(CASE WHEN ty.data_type = 'character varying' THEN {length} END AS INTEGER) AS char_len,
            ty.precision, ty.scale
     FROM (
         SELECT * FROM ({_TYPES_SQL})
@@ -64,8 +69,13 @@ _PROFILE_ALL_SQL = f"""
             UNION ALL SELECT 'commit_timestamp', 8, 'character varying', NULL, NULL
             UNION ALL SELECT 'cdc_transact_id', 9, 'character varying', NULL, NULL
             UNION ALL SELECT 'event_time', 10, 'character varying', NULL, NULL)
-    ) ty LEFT JOIN ({_LENGTHS_SQL}) l ON l.t = ty."table" AND l.c = ty."column"
-"""
+    ) ty {join}
+    """
+
+
+# Text without a declared length has the warehouse's maximum.
+_PROFILE_ALL_SQL = _profile_sql("65535")
+_MEASURED_SQL = _profile_sql("greatest(coalesce(l.len, 1), 1)", f'LEFT JOIN ({_LENGTHS_SQL}) l ON l.t = ty."table" AND l.c = ty."column"')
 
 
 @register("c4_columns_of", _PROFILE_ALL_SQL)
@@ -73,6 +83,27 @@ def c4_columns_of(spark, sf_dir):
     return _profile(spark, sf_dir)
 
 
+@register("c4_columns_measured", _MEASURED_SQL)
+def c4_columns_measured(spark, sf_dir):
+    return _profile(spark, sf_dir, measure=True)
+
+
+@register(
+    "c4_columns_declared",
+    """SELECT * FROM (VALUES ('public', 't', 'c_custkey', 1, 'bigint', NULL, 64, 0), ('public', 't', 'c_name', 2, 'character varying', 40, NULL, NULL),
+                             ('public', 't', 'c_mktsegment', 3, 'character', 12, NULL, NULL), ('public', 't', 'note', 4, 'character varying', 65535, NULL, NULL))
+       v(schema, "table", "column", position, data_type, char_len, precision, scale)""",
+)
+def c4_columns_declared(spark, sf_dir):
+    """Lengths declared in the catalogue, of a table filled from customer."""
+    db = f"declared_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{work_dir(spark, 'declared')}'")
+    spark.sql(f"CREATE TABLE {db}.t (c_custkey BIGINT, c_name VARCHAR(40), c_mktsegment CHAR(12), note STRING) USING parquet")
+    rows = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", F.lit(None).cast("string").alias("note"))
+    rows.write.insertInto(f"{db}.t")
+    return sc.columns_of(spark, {"t": spark.table(f"{db}.t")})
+
+
 _CDC_SQL = f"""
     WITH p AS ({_PROFILE_ALL_SQL}),
     m AS (SELECT schema, "table", "column", position,
@@ -118,7 +149,7 @@ def c3_map_types_serving(spark, sf_dir):
     "c2_conform_cdc",
     f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
                op, commit_timestamp, cdc_transact_id, event_time
-        FROM ({fx.CDC_SOURCE}) WHERE length(event_time) >= 13 AND event_time BETWEEN '1996/01/01/00' AND '1996/12/31/23'""",
+        FROM ({fx.CDC_SOURCE})""",
 )
 def c2_conform_cdc(spark, sf_dir):
     src = derived.cdc_source(spark, sf_dir)
@@ -127,6 +158,38 @@ def c2_conform_cdc(spark, sf_dir):
     conformed = sc.conform_cdc(src, [(r["column"], r["cdc_type"]) for r in mapping])
     path = work_dir(spark, "cdc", "orders")
     sc.write_cdc(conformed, path, mode="overwrite")
-    back = sc.read_cdc(spark, path, conformed.schema)
-    et = F.col("event_time")
-    return back.where((F.length(et) >= 13) & et.between("1996/01/01/00", "1996/12/31/23"))
+    return sc.read_cdc(spark, path, conformed.schema)
+
+
+# A target that some rows of orders do not fit.
+_TIGHT = [("o_orderkey", "bigint"), ("o_orderpriority", "varchar(8)"), ("note", "integer"), ("op", "char(1)")]
+
+
+def _tight_source(spark, sf_dir):
+    """Change rows with a text that is not always a number and an operation
+    that is not always one letter."""
+    k = F.col("o_orderkey")
+    note = F.when(k % 5 == 0, F.lit("n/a")).when(k % 7 == 0, F.lit(None)).otherwise(k.cast("string"))
+    return derived.cdc_source(spark, sf_dir).withColumn("note", note).withColumn("op", F.when(k % 11 == 0, F.lit("INSERT")).otherwise(F.col("op")))
+
+
+_TIGHT_SQL = f"""
+    SELECT *, CASE WHEN length(o_orderpriority) > 8 THEN 'o_orderpriority is no varchar(8); ' ELSE '' END
+              || CASE WHEN o_orderkey % 5 = 0 THEN 'note is no integer; ' ELSE '' END
+              || CASE WHEN o_orderkey % 11 = 0 THEN 'op is no char(1); ' ELSE '' END AS why
+    FROM ({fx.CDC_SOURCE})
+"""
+
+
+@register(
+    "c2_conform_tight",
+    f"""SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey END::INTEGER AS note, op, event_time
+        FROM ({_TIGHT_SQL}) WHERE why = ''""",
+)
+def c2_conform_tight(spark, sf_dir):
+    return sc.conform_cdc(_tight_source(spark, sf_dir), _TIGHT)
+
+
+@register("c2_rejects", f"""SELECT o_orderkey, left(why, length(why) - 2) AS reason FROM ({_TIGHT_SQL}) WHERE why <> ''""")
+def c2_rejects(spark, sf_dir):
+    return sc.split_cdc(_tight_source(spark, sf_dir), _TIGHT)[1].select("o_orderkey", "reason")

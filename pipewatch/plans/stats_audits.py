@@ -109,6 +109,15 @@ def r5_tasks_with_table(spark, sf_dir):
     return found.select("task_id", "arn", "table_name")
 
 
+@register(
+    "r5_purged_known",
+    f"""SELECT task_id FROM ({fx.TASKS}) WHERE status = 'running' AND contains(task_id, '-1')""",
+)
+def r5_purged_known(spark, sf_dir):
+    known = derived.tasks(spark, sf_dir).where(F.col("status") == "running")
+    return st.purged_known(known, "-1").select("task_id")
+
+
 @register(
     "r6_new_logical_tables",
     f"""WITH st AS ({fx.TABLE_STATS}),

@@ -23,6 +23,18 @@ from pipewatch.streaming.lateness import (
 from pipewatch.streaming.sources import table_stream
 
 
+REPLAY_PARTS = 4
+
+
+def _write_part(log, folder: str, i: int) -> None:
+    """Append the i-th quarter of the log, by offset, to a folder that a
+    stream reads: a later write is a later batch."""
+    hi = log.agg(F.max("offset")).first()[0] or 0
+    step = hi // REPLAY_PARTS + 1
+    part = log.where((F.col("offset") >= i * step) & (F.col("offset") < (i + 1) * step))
+    part.write.mode("append").parquet(folder)
+
+
 @register("s1_landing_stream", f"""SELECT "partition", "offset", "key", ts FROM ({fx.EVENTS_EXTRACTED})""")
 def s1_landing_stream(spark, sf_dir):
     log = derived.events_as_log(table_stream(spark, sf_dir, "events"))
@@ -31,6 +43,23 @@ def s1_landing_stream(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@register(
+    "s1_landing_resumed",
+    f"""SELECT "partition", "offset", 'landed' AS outcome FROM ({fx.EVENTS_EXTRACTED})
+        UNION ALL SELECT 0, event_id, 'event time missing or unparsable' FROM events WHERE event_id % 97 = 0""",
+)
+def s1_landing_resumed(spark, sf_dir):
+    """Stopped and started again on its checkpoint as each quarter arrives;
+    accepted and rejected messages, each once."""
+    log = derived.events_log(spark, sf_dir)
+    src, path, ckpt, bad = (work_dir(spark, "resumed", n) for n in ("src", "data", "checkpoint", "rejects"))
+    for i in range(REPLAY_PARTS):
+        _write_part(log, src, i)
+        land_available(spark.readStream.schema(log.schema).parquet(src), path, ckpt, rejects_path=bad)
+    good = spark.read.parquet(path).select("partition", "offset", F.lit("landed").alias("outcome"))
+    return good.unionByName(spark.read.parquet(bad).select("partition", "offset", F.col("reason").alias("outcome")))
+
+
 @register("s2_late_rows_stream", _disorder_sql(fx.ORDERS_EXTRACTED, "key", topn=None))
 def s2_late_rows_stream(spark, sf_dir):
     events = extract_events(derived.orders_as_log(table_stream(spark, sf_dir, "orders")))
@@ -45,6 +74,21 @@ def s2_late_rows_stream(spark, sf_dir):
     return spark.read.schema(late.schema).parquet(path)
 
 
+@register("s2_late_rows_resumed", _disorder_sql(fx.ORDERS_EXTRACTED, "key", topn=None))
+def s2_late_rows_resumed(spark, sf_dir):
+    """State carried over batches and restarts: a run for each quarter."""
+    log = derived.orders_log(spark, sf_dir)
+    src, path, ckpt = (work_dir(spark, "late_resumed", n) for n in ("src", "data", "checkpoint"))
+    for i in range(REPLAY_PARTS):
+        _write_part(log, src, i)
+        late = late_rows_stream(extract_events(spark.readStream.schema(log.schema).parquet(src)))
+        q = late.writeStream.format("parquet").option("path", path).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+    return spark.read.schema(late.schema).parquet(path)
+
+
 @register(
     "s4_load_lag",
     f"""SELECT db, name, state,
@@ -84,21 +128,47 @@ def _broker_view(events):
         FROM ({fx.EVENTS_LOG}) GROUP BY 1""",
 )
 def s3_watermark_at_bound_stream(spark, sf_dir):
-    # 1. the bound (T5 over the whole log, in arrival order)
+    # the bound (T5 over the whole log, in arrival order)
     bound = disorder_bound(_broker_events(spark, sf_dir), topn=1).first()
-    delay = int(bound["diff_ts"]) if bound else 0
-    # 2. replay the log as four files in offset order (one micro-batch each)
+    return _watermarked(spark, sf_dir, int(bound["diff_ts"]) if bound else 0, "1 hour")
+
+
+def _watermarked(spark, sf_dir, delay: int, window: str):
+    """Windowed counts of the log replayed in offset order, a run for each
+    quarter on one checkpoint: the watermark of a quarter is set by those
+    before it."""
     log = derived.events_log(spark, sf_dir)
-    src = work_dir(spark, "wm", "src")
-    hi = log.agg(F.max("offset")).first()[0] or 0
-    step = hi // 4 + 1
-    for i in range(4):  # four range writes: control loop over offset ranges, not over rows
-        log.where((F.col("offset") >= i * step) & (F.col("offset") < (i + 1) * step)).coalesce(1).write.mode(
-            "append"
-        ).parquet(src)
-    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    events = _broker_view(stream).withColumn("event_ts", F.timestamp_seconds("ts"))
-    counts = windowed_counts_with_watermark(events, "event_ts", delay)
-    out, ckpt = work_dir(spark, "wm", "out"), work_dir(spark, "wm", "ckpt")
-    run_update_to_parquet(counts.select(F.unix_seconds(F.col("w.start")).alias("window_start"), "rows"), out, ckpt)
+    src, out, ckpt = (work_dir(spark, "wm", n) for n in ("src", "out", "ckpt"))
+    for i in range(REPLAY_PARTS):
+        _write_part(log, src, i)
+        events = _broker_view(spark.readStream.schema(log.schema).parquet(src)).withColumn("event_ts", F.timestamp_seconds("ts"))
+        counts = windowed_counts_with_watermark(events, "event_ts", delay, window)
+        run_update_to_parquet(counts.select(F.unix_seconds(F.col("w.start")).alias("window_start"), "rows"), out, ckpt)
     return latest_updates(spark.read.parquet(out), ["window_start"], "rows")
+
+
+# Windows of one second: a row is late by itself, not with its whole hour.
+@register(
+    "s3_watermark_at_bound_seconds",
+    f"""SELECT CAST(epoch(date_trunc('second', "timestamp")) AS BIGINT) AS window_start, count(*) AS "rows"
+        FROM ({fx.EVENTS_LOG}) GROUP BY 1""",
+)
+def s3_watermark_at_bound_seconds(spark, sf_dir):
+    bound = disorder_bound(_broker_events(spark, sf_dir), topn=1).first()
+    return _watermarked(spark, sf_dir, int(bound["diff_ts"]) if bound else 0, "1 second")
+
+
+# Far below the bound, the rows of a quarter that lie before the last quarters' watermark are dropped.
+_BELOW = 60
+
+
+@register(
+    "s3_watermark_below_bound",
+    f"""WITH l AS (SELECT "offset", CAST(epoch(date_trunc('second', "timestamp")) AS BIGINT) AS s,
+                          "offset" // ((SELECT max("offset") FROM ({fx.EVENTS_LOG})) // 4 + 1) AS part FROM ({fx.EVENTS_LOG})),
+        w AS (SELECT p.part, (SELECT max(s) FROM l WHERE l.part < p.part) - {_BELOW} AS mark FROM (SELECT DISTINCT part FROM l) p)
+        SELECT s AS window_start, count(*) AS "rows" FROM l JOIN w USING (part)
+        WHERE mark IS NULL OR s + 1 > mark GROUP BY 1""",
+)
+def s3_watermark_below_bound(spark, sf_dir):
+    return _watermarked(spark, sf_dir, _BELOW, "1 second")

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from pipewatch.functions.names import table_name_of
-from pipewatch.functions.times import format_ntz
+from pipewatch.functions.times import format_ntz, instant
 from pipewatch.operators import topics
 from pipewatch.plans import fixtures_sql as fx
 from pipewatch.plans.registry import register
@@ -53,6 +53,27 @@ def t2_slice_last_day(spark, sf_dir):
     return topics.slice_last_day(log, LAST_DAY_NOW).select("partition", "offset", "timestamp")
 
 
+def _instants(log):
+    """The log with its broker time as an instant, as a Kafka source gives it."""
+    return log.withColumn("timestamp", instant("timestamp"))
+
+
+def _offsets(sql: str) -> str:
+    return f'SELECT "partition", "offset" FROM ({sql})'
+
+
+@register("t1_slice_log_instant", _offsets(_slice_sql("2024-01-10 00:00:00", "2024-01-12 00:00:00")))
+def t1_slice_log_instant(spark, sf_dir):
+    log = _instants(derived.events_log(spark, sf_dir))
+    return topics.slice_log(log, SLICE_START, SLICE_END).select("partition", "offset")
+
+
+@register("t2_slice_last_day_instant", _offsets(_slice_sql("2024-01-14 12:34:56", "2024-01-15 12:34:56")))
+def t2_slice_last_day_instant(spark, sf_dir):
+    log = _instants(derived.events_log(spark, sf_dir))
+    return topics.slice_last_day(log, LAST_DAY_NOW).select("partition", "offset")
+
+
 @register(
     "t3_extract_events",
     f"""WITH e AS ({fx.EVENTS_EXTRACTED}) SELECT "partition", "offset", "key", ts FROM e""",
@@ -74,14 +95,36 @@ def t3_rejects(spark, sf_dir):
 @register(
     "t4_land",
     f"""WITH s AS ({_slice_sql("2024-01-10 00:00:00", "2024-01-12 00:00:00")})
-        SELECT "partition", count(*) > 0 AS has_data, min("offset") AS start_offset, count(*) AS "rows"
-        FROM s WHERE "offset" % 97 <> 0 GROUP BY "partition" """,
+        SELECT "partition", count(*) > 0 AS has_data, min("offset") AS start_offset,
+               count(*) FILTER (WHERE "offset" % 97 <> 0) AS "rows", count(*) FILTER (WHERE "offset" % 97 = 0) AS rejected
+        FROM s GROUP BY "partition" """,
 )
 def t4_land(spark, sf_dir):
     log = derived.events_log(spark, sf_dir)
     return topics.land(log, work_dir(spark, "landed"), SLICE_START, SLICE_END)
 
 
+@register(
+    "t4_land_rejects",
+    f"""WITH s AS ({_slice_sql("2024-01-10 00:00:00", "2024-01-12 00:00:00")})
+        SELECT "partition", "offset", 'event time missing or unparsable' AS reason FROM s WHERE "offset" % 97 = 0""",
+)
+def t4_land_rejects(spark, sf_dir):
+    path = work_dir(spark, "landed")
+    topics.land(derived.events_log(spark, sf_dir), path, SLICE_START, SLICE_END)
+    return spark.read.parquet(f"{path}_rejects").select("partition", "offset", "reason")
+
+
+@register(
+    "t4_land_empty_slice",
+    f"""SELECT "partition", false AS has_data, CAST(NULL AS BIGINT) AS start_offset, 0 AS "rows", 0 AS rejected
+        FROM ({fx.EVENTS_LOG}) GROUP BY "partition" """,
+)
+def t4_land_empty_slice(spark, sf_dir):
+    log = derived.events_log(spark, sf_dir)
+    return topics.land(log, work_dir(spark, "landed"), dt.datetime(2100, 1, 1), dt.datetime(2100, 1, 2))
+
+
 def _disorder_sql(src: str, key: str | None, topn: int | None = 5) -> str:
     part = 'PARTITION BY "partition", "key"' if key else 'PARTITION BY "partition"'
     cols = '"partition", "key", ' if key else '"partition", '

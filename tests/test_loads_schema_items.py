@@ -176,11 +176,11 @@ def test_times_ignore_session_zone(spark):
 
 def test_columns_of_measures_text_length(spark):
     df = spark.createDataFrame([("ab", None, 1), ("abcé", None, 2)], "s string, empty string, n int")
-    prof = {r.column: (r.data_type, r.char_len) for r in sc.columns_of(spark, {"t": df}).collect()}
+    prof = {r.column: (r.data_type, r.char_len) for r in sc.columns_of(spark, {"t": df}, measure=True).collect()}
     assert prof == {"s": ("character varying", 4), "empty": ("character varying", 1), "n": ("integer", None)}
-    cdc = {r.column: r.cdc_type for r in sc.map_types_cdc(sc.columns_of(spark, {"t": df})).collect()}
+    cdc = {r.column: r.cdc_type for r in sc.map_types_cdc(sc.columns_of(spark, {"t": df}, measure=True)).collect()}
     assert cdc["s"] == "varchar(4)"
-    assert sc.columns_of(spark, {"t": df}, measure=False).where("column = 's'").first().char_len == 65535
+    assert sc.columns_of(spark, {"t": df}).where("column = 's'").first().char_len == 65535
 
 
 def test_catalog_heads_skips_system_and_rs(spark, tmp_dir):
