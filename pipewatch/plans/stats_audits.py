@@ -9,6 +9,7 @@ from pipewatch.operators import stats as st
 from pipewatch.plans import fixtures_sql as fx
 from pipewatch.plans.registry import register
 from pipewatch.sources import derived
+from pipewatch.sources.tables import read_table
 
 
 def _fold_case_sql(col: str, what: str) -> str:
@@ -34,6 +35,41 @@ def r1_fold_partition_name(spark, sf_dir):
     return names.select("table", fold_partition_name("table").alias("f")).select("table", "f.base", "f.rule")
 
 
+# A name of each style (the part after the base) and the rule it must fall under, written out by
+# hand.  The last but one shows the order of the rules: year_month_day reads as month then hash.
+_STYLES = (
+    ("_p1_default", "hash then range (default)"),
+    ("_3_2020", "hash then range (year)"),
+    ("_p3_202001", "hash then range (month)"),
+    ("_12_2020_01_02", "hash then range (day)"),
+    ("_default_p3", "range (default) then hash"),
+    ("_2020_3", "range (year) then hash"),
+    ("_p202001_p12", "range (month) then hash"),
+    ("_20200102_3", "range (day) then hash"),
+    ("_default", "range (default)"),
+    ("_p2020", "range (year)"),
+    ("_202001", "range (month)"),
+    ("_20200102", "range (day)"),
+    ("_p007", "hash"),
+    ("_2020_01_02", "range (month) then hash"),
+    ("_20200", None),
+)
+
+
+@register(
+    "r1_fold_every_rule",
+    "SELECT p_partkey, 't' || p_size || '_base' || CASE WHEN rule IS NULL THEN style ELSE '' END AS base, rule FROM part JOIN (VALUES "
+    + ", ".join(f"({i}, '{s}', {'NULL' if r is None else repr(r)})" for i, (s, r) in enumerate(_STYLES))
+    + f") v(i, style, rule) ON v.i = p_partkey % {len(_STYLES)}",
+)
+def r1_fold_every_rule(spark, sf_dir):
+    styles = F.array(*[F.lit(s) for s, _ in _STYLES])
+    style = F.get(styles, (F.col("p_partkey") % len(_STYLES)).cast("int"))
+    name = F.concat(F.lit("t"), F.col("p_size").cast("string"), F.lit("_base"), style)
+    names = read_table(spark, sf_dir, "part").select("p_partkey", fold_partition_name(name).alias("f"))
+    return names.select("p_partkey", "f.base", "f.rule")
+
+
 @register(
     "r2_strip_partition_suffix",
     f"""SELECT "table", regexp_replace("table", '{PARTITION_SUFFIX}', '') AS name FROM ({fx.PHYSICAL_NAMES})""",
