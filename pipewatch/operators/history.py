@@ -15,7 +15,6 @@ DASHBOARD_MARKER = "-- MBI:"
 DASHBOARD_CODE_PATTERN = r"(?U)-- MBI:(\w+)"
 QUERY_UUID_PATTERN = r"(?U)query: (\w+)"
 DASHBOARD_TEXT_PREFIX = 64
-DASHBOARD_USERS = (102, 109)
 DASHBOARD_DAYS = 7
 LOCAL_OFFSET_HOURS = 8
 MAINTENANCE_TOPN = 10
@@ -26,7 +25,7 @@ LSN_HIGH = 4294967296  # 2^32: one WAL "log id" step
 def dashboard_queries(
     hist: DataFrame,
     as_of: dt.date,
-    users: Sequence[int] = DASHBOARD_USERS,
+    users: Sequence[int],
     days: int = DASHBOARD_DAYS,
     offset_hours: int = LOCAL_OFFSET_HOURS,
 ) -> DataFrame:

@@ -12,6 +12,7 @@ from pipewatch.sources import derived
 
 # Fixed value: the day the dashboard history is read on.
 AS_OF = dt.date(2024, 1, 20)
+USERS = (102, 109)
 
 _H1_SQL = f"""
     SELECT query_id, strftime(start_time + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') AS start_time,
@@ -25,7 +26,7 @@ _H1_SQL = f"""
 
 
 def _h1(spark, sf_dir):
-    return hs.dashboard_queries(derived.query_history(spark, sf_dir), AS_OF)
+    return hs.dashboard_queries(derived.query_history(spark, sf_dir), AS_OF, USERS)
 
 
 @register("h1_dashboard_queries", _H1_SQL)
@@ -36,7 +37,7 @@ def h1_dashboard_queries(spark, sf_dir):
 @register("h1_dashboard_queries_instant", _H1_SQL)
 def h1_dashboard_queries_instant(spark, sf_dir):
     hist = derived.query_history(spark, sf_dir).withColumn("start_time", instant("start_time"))
-    return hs.dashboard_queries(hist, AS_OF)
+    return hs.dashboard_queries(hist, AS_OF, USERS)
 
 
 @register("h2_slowest", f"SELECT * FROM ({_H1_SQL}) WHERE dashboard_code = 'view7' ORDER BY elapsed DESC")

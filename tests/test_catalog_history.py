@@ -117,12 +117,12 @@ def test_dashboard_queries(spark):
          (4, 102, dt.datetime(2024, 1, 15), 1, "x" * 70 + "-- MBI:late query: q")],
         "query_id bigint, user_id int, start_time timestamp_ntz, elapsed_us bigint, query_text string",
     )
-    got = {r.query_id: r for r in hs.dashboard_queries(hist, dt.date(2024, 1, 20)).collect()}
+    got = {r.query_id: r for r in hs.dashboard_queries(hist, dt.date(2024, 1, 20), (102, 109)).collect()}
     assert set(got) == {1, 4}
     assert (got[1].start_time, got[1].elapsed, got[1].dashboard_code, got[1].query_uuid) == (
         "2024-01-13 01:00:00", 3, "ä1x", "u1")
     assert (got[4].dashboard_code, got[4].query_uuid) == ("", "")  # markers beyond the first 64 characters
-    assert [r.query_id for r in hs.slowest(hs.dashboard_queries(hist, dt.date(2024, 1, 20))).collect()] == [1, 4]
+    assert [r.query_id for r in hs.slowest(hs.dashboard_queries(hist, dt.date(2024, 1, 20), (102, 109))).collect()] == [1, 4]
 
 
 def test_maintenance_rank_nulls_kept_last(spark):

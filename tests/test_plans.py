@@ -88,5 +88,5 @@ def test_date_drill_and_history_windows_reach_scan(spark):
         "event_id AS query_id", "CAST(user_id AS INT) AS user_id", "ts AS start_time",
         "CAST(value AS BIGINT) AS elapsed_us", "props AS query_text",
     )
-    plan = _plan(hs.dashboard_queries(hist, dt.date(2024, 1, 20)))
+    plan = _plan(hs.dashboard_queries(hist, dt.date(2024, 1, 20), (102, 109)))
     assert any("GreaterThanOrEqual(ts,2024-01-1" in ln for ln in plan.splitlines() if "FileScan" in ln)
