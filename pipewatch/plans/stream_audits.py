@@ -17,6 +17,8 @@ from pipewatch.streaming.landing import land_available
 from pipewatch.streaming.lateness import (
     late_rows_stream,
     latest_updates,
+    read_batches,
+    run_late_rows_batched,
     run_update_to_parquet,
     windowed_counts_with_watermark,
 )
@@ -89,6 +91,17 @@ def s2_late_rows_resumed(spark, sf_dir):
     return spark.read.schema(late.schema).parquet(path)
 
 
+@register("s2_late_rows_batched", _disorder_sql(fx.ORDERS_EXTRACTED, "key", topn=None))
+def s2_late_rows_batched(spark, sf_dir):
+    """Quarters of the log, each a batch of its own; keys of more than 50 rows split."""
+    log = derived.orders_log(spark, sf_dir)
+    src, path, state, ckpt = (work_dir(spark, "late_batched", n) for n in ("src", "data", "state", "checkpoint"))
+    for i in range(REPLAY_PARTS):
+        _write_part(log, src, i)
+        run_late_rows_batched(extract_events(spark.readStream.schema(log.schema).parquet(src)), path, state, ckpt, bucket_width=50)
+    return read_batches(spark, path)
+
+
 @register(
     "s4_load_lag",
     f"""SELECT db, name, state,

@@ -6,16 +6,22 @@ store, checkpointed with the query.  Inside a micro-batch the rows of a key
 are sorted by ``seq`` before the running max is taken, so the late rows of
 a replay equal the batch per-key disorder (T6).  Rows of a key that arrive
 in a later micro-batch with a smaller ``seq`` are exactly the disorder
-being measured.  A hot key is bounded per batch by the trigger size
-(``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``)."""
+being measured.  In :func:`late_rows_stream` one worker sorts the rows of a
+key, so a hot key must be bounded per batch by the trigger size
+(``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``);
+:func:`run_late_rows_batched` splits it."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from pipewatch.plans.scan import DEFAULT_BUCKET_WIDTH, running_max
+
 STATE_SCHEMA = "max_ts bigint"
 
 
@@ -79,6 +85,63 @@ def late_rows_stream(
     return events.groupBy(*keys).applyInPandasWithState(fn, schema, STATE_SCHEMA, "append", timeout)
 
 
+def run_late_rows_batched(
+    events: DataFrame,
+    path: str,
+    state: str,
+    checkpoint: str,
+    seq: str = "offset",
+    ts: str = "ts",
+    keys: Sequence[str] = ("partition", "key"),
+    bucket_width: int = DEFAULT_BUCKET_WIDTH,
+) -> None:
+    """The late rows of :func:`late_rows_stream` (columns and values) by
+    micro-batches in the JVM, run with ``availableNow``; read them with
+    :func:`read_batches`.
+
+    A key that fills a whole batch is no problem here: the batch's running max
+    is the bucketed one of T6, which splits hot keys.  The largest event time
+    of every key so far is a table in ``state``, one version per batch; a
+    batch replayed after a failure reads the version before its own and
+    replaces its own output and version."""
+    spark = events.sparkSession
+    keys = list(keys)
+    fields = T.StructType([events.schema[k] for k in keys] + [T.StructField("__top", T.LongType())])
+
+    def before(batch_id: int) -> DataFrame:
+        if batch_id == 0:
+            return spark.createDataFrame([], fields)
+        return spark.read.schema(fields).parquet(f"{state}/batch_id={batch_id - 1}")
+
+    def same(prior: DataFrame, rows: DataFrame):
+        cond = F.lit(True)
+        for k in keys:
+            cond = cond & rows[k].eqNullSafe(prior[k])
+        return cond
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        prior = before(batch_id)
+        ran = running_max(batch, seq, ts, keys, "__run", bucket_width=bucket_width, hot_keys_only=True)
+        met = ran.join(prior, same(prior, ran), "left").select(
+            *[ran[k] for k in keys], (F.greatest("__run", "__top") - F.col(ts)).alias("diff_ts"), F.col(seq).alias("id")
+        )
+        met.where("diff_ts > 0").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        tops = batch.groupBy(*keys).agg(F.max(ts).alias("__top")).unionByName(prior).groupBy(*keys).agg(F.max("__top").alias("__top"))
+        tops.write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
+        batch.unpersist()
+
+    q = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """The output of all batches written to ``batch_id=<n>`` folders."""
+    return spark.read.parquet(path).drop("batch_id")
+
+
 def with_lateness_watermark(events: DataFrame, event_time: str, bound_seconds: int) -> DataFrame:
     """Watermark at the measured disorder bound (T5/S3): with a delay equal
     to the bound no row is dropped as late."""
@@ -90,8 +153,6 @@ def windowed_counts_with_watermark(events: DataFrame, event_time: str, delay_sec
     ``delay_seconds``.  Rows older than the watermark are dropped by Spark,
     so with the delay at the measured bound (T5) nothing is dropped and the
     counts equal the batch counts."""
-    from pyspark.sql import functions as F
-
     return (
         with_lateness_watermark(events, event_time, delay_seconds)
         .groupBy(F.window(event_time, window).alias("w"))
@@ -106,8 +167,6 @@ def run_update_to_parquet(stream_df: DataFrame, path: str, checkpoint: str) -> N
     failure replaces its earlier attempt instead of duplicating it.  Read the
     final value of a group as the row of its highest batch id
     (:func:`latest_updates`)."""
-    from pyspark.sql import functions as F
-
     def write(batch, batch_id):
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
@@ -126,6 +185,4 @@ def run_update_to_parquet(stream_df: DataFrame, path: str, checkpoint: str) -> N
 def latest_updates(updates: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Final value per group from update-mode output: the row of the
     highest batch id (``max_by``, a partial aggregate)."""
-    from pyspark.sql import functions as F
-
     return updates.groupBy(*keys).agg(F.max_by(F.col(value), F.col("batch_id")).alias(value))
