@@ -17,13 +17,14 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pipewatch.llm.common import saved
 from pipewatch.llm.components import components
-from pipewatch.llm.token_counts import Memory
 
 #: Hashes kept of each document.
 K = 32
@@ -32,23 +33,12 @@ K = 32
 SHARED = 12
 #: Members of a list that are compared across components directly.
 LONG_LIST = 256
-#: Words whose hashes a worker remembers, in each of two generations.
-REMEMBERED = 400_000
+#: Counters that tell rare elements from frequent ones (16 MB), and counters in a slice.
+COUNTERS, SLICE = 1 << 22, 1 << 14
 #: Multipliers of a public 64-bit mixing function, and the step between words.
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
-_words: list[Memory] = []
-
-
-def _word_hashes() -> Memory:
-    if not _words:
-        import xxhash
-
-        _words.append(Memory(REMEMBERED, xxhash.xxh64_intdigest))
-    return _words[0]
-
-
 def shingle_hashes(text: str | None, n: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the ``n``-word shingles of a text (A-Z
     lower-cased).  With fewer words the whole sequence is the one shingle;
@@ -56,7 +46,7 @@ def shingle_hashes(text: str | None, n: int) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # on bytes: A-Z and ASCII white space only
     if not words:
         return np.empty(0, np.int64)
-    w = np.fromiter(map(_word_hashes().__getitem__, words), np.uint64, len(words))
+    w = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     width = min(n, len(w))
     h = np.full(len(w) - width + 1, width, np.uint64)
     for k in range(width):
@@ -66,13 +56,12 @@ def shingle_hashes(text: str | None, n: int) -> np.ndarray:
     h ^= h >> np.uint64(27)
     h *= np.uint64(MIX[1])
     h ^= h >> np.uint64(31)
-    return np.unique(h.view(np.int64))
+    h = np.sort(h.view(np.int64))
+    return h[np.concatenate([[True], h[1:] != h[:-1]])]
 
 
 def _name(hashes: np.ndarray) -> tuple[int, int]:
     """128 bits that stand for a set."""
-    import xxhash
-
     return tuple(np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), "<i8").tolist())
 
 
@@ -171,19 +160,63 @@ def _across(members: DataFrame, key: str, extra: Column | None = None, percent:
     return x.alias("p").join(y.alias("q"), (F.col("p.k") == F.col("q.k")) & cond).select(*_ordered("x", "y")).distinct()
 
 
+def _rarity(sets: DataFrame) -> np.ndarray:
+    """Counters of the elements of all ``set``s, by the low bits of each.
+
+    Tasks add up counters of their own and pass them on in slices; what comes
+    to the driver is COUNTERS numbers, however many elements there are."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.uint32)
+        for b in batches:
+            total += np.bincount(_slot(b.column(0).flatten().to_numpy()), minlength=COUNTERS).astype(np.uint32)
+        parts = [(i, part.tobytes()) for i, part in enumerate(total.reshape(-1, SLICE)) if part.any()]
+        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in parts], pa.int32()), pa.array([p for _, p in parts], pa.binary())], ["slice", "counts"])
+
+    def add(parts: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(SLICE, np.uint32)
+        for part in parts["counts"]:
+            total += np.frombuffer(part, np.uint32)
+        return pd.DataFrame({"slice": parts["slice"].iloc[:1], "counts": [total.tobytes()]})
+
+    schema = "slice int, counts binary"
+    out = np.zeros(COUNTERS, np.uint32)
+    for r in sets.select("set").mapInArrow(count, schema).groupBy("slice").applyInPandas(add, schema).collect():
+        out[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] = np.frombuffer(r["counts"], np.uint32)
+    return out
+
+
+def _slot(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & (COUNTERS - 1)).astype(np.int64)
+
+
 def _far_apart(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs among classes of very long lists, from full sets.
 
-    Elements are ordered from the rarest.  Two sets with the similarity share
-    an element among the first size - ceil(size * percent / 100) + 1 of each;
-    and from where they first meet, enough elements must remain on both sides."""
-    items = sets.join(members, "cid").select("cid", "n", "comp", F.explode("set").alias("e"))
-    often = saved(items.groupBy("e").agg(F.count("*").alias("df")).where("df > 1"), "neardup_often")
-    rows = items.join(often, "e").groupBy("cid", "n", "comp").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("es"))
-    alone = F.col("n") - F.size("es")  # elements of one set only come first
-    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    rows = rows.select("cid", "n", "comp", alone.alias("alone"), F.posexplode(F.slice("es", 1, F.greatest(F.lit(0), prefix - alone).cast("int"))).alias("i", "s"))
-    rows = rows.select("cid", "n", "comp", F.col("s.e").alias("e"), (F.col("alone") + F.col("i")).alias("pos"))
+    Elements are ordered from the rarest (by counter, then by hash: any order
+    that all sets share is right).  Two sets with the similarity share an
+    element among the first size - ceil(size * percent / 100) + 1 of each; and
+    from where they first meet, enough elements must remain on both sides.
+    Elements that are alone in their counter meet nothing and are left out."""
+    counters = sets.sparkSession.sparkContext.broadcast(_rarity(sets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = counters.value
+        for b in batches:
+            elements, places = [], []
+            for one in b.column(3):
+                hashes = one.values.to_numpy()
+                often = held[_slot(hashes)]
+                first = np.lexsort((hashes, often))[: len(hashes) + (-len(hashes) * percent) // 100 + 1]
+                meets = often[first] > 1
+                elements.append(hashes[first][meets])
+                places.append(np.flatnonzero(meets))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), _lists_of(elements), _lists_of(places)], ["cid", "n", "comp", "es", "at"])
+
+    rows = sets.join(members, "cid").select("cid", "n", "comp", "set")
+    rows = rows.mapInArrow(run, "cid bigint, n int, comp bigint, es array<bigint>, at array<bigint>")
+    rows = rows.select("cid", "n", "comp", F.explode(F.arrays_zip("es", "at")).alias("x"))
+    rows = saved(rows.select("cid", "n", "comp", F.col("x.es").alias("e"), F.col("x.at").alias("pos")), "neardup_rare")
     room = F.least(F.col("na") - F.col("posx"), F.col("nb") - F.col("posy"))
     return _across(rows, "e", room * (100 + percent) >= (F.col("na") + F.col("nb")) * percent, percent)
 
