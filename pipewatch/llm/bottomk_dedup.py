@@ -32,7 +32,12 @@ K = 32
 #: similarity of 0.8 the number shared is 25.6 +- 2.3; fewer than 12 has a chance of about 1e-8.
 SHARED = 12
 #: Members of a list that are compared across components directly.
-LONG_LIST = 256
+LONG_LIST = 48
+#: Hashes kept of each member of a longer list, and the share of the union's that a pair must have in common
+#: (at a similarity of 0.8 it is 0.8 +- 0.025; less than 0.65 has a chance of about 1e-9).
+LONG_K, LONG_SHARED = 256, 65
+#: Rare elements before an element that are looked at to meet each pair once.
+BEFORE = 16
 #: Counters that tell rare elements from frequent ones (16 MB), and counters in a slice.
 COUNTERS, SLICE = 1 << 22, 1 << 14
 #: Multipliers of a public 64-bit mixing function, and the step between words.
@@ -152,8 +157,9 @@ def _across(members: DataFrame, key: str, extra: Column | None = None, percent:
     main = count.groupBy(key).agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("comps")).where("comps > 1")
     main = saved(main.select(F.col(key).alias("main_key"), F.col("m.comp").alias("main")), "neardup_main")
     held = saved(members.join(main, F.col(key) == F.col("main_key")).drop("main_key"), "neardup_lists")
-    x = held.where("comp != main").select(F.col(key).alias("k"), F.col("cid").alias("x"), F.col("n").alias("na"), F.col("comp").alias("cx"), *[F.col(c).alias(f"{c}x") for c in ("pos",) if c in members.columns])
-    y = held.select(F.col(key).alias("k"), F.col("cid").alias("y"), F.col("n").alias("nb"), F.col("comp").alias("cy"), "main", *[F.col(c).alias(f"{c}y") for c in ("pos",) if c in members.columns])
+    carried = [c for c in ("pos", "near", "pre") if c in members.columns]
+    x = held.where("comp != main").select(F.col(key).alias("k"), F.col("cid").alias("x"), F.col("n").alias("na"), F.col("comp").alias("cx"), *[F.col(c).alias(f"{c}x") for c in carried])
+    y = held.select(F.col(key).alias("k"), F.col("cid").alias("y"), F.col("n").alias("nb"), F.col("comp").alias("cy"), "main", *[F.col(c).alias(f"{c}y") for c in carried])
     cond = (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))) & _close(percent=percent)
     if extra is not None:
         cond = cond & extra
@@ -197,13 +203,16 @@ def _far_apart(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     that all sets share is right).  Two sets with the similarity share an
     element among the first size - ceil(size * percent / 100) + 1 of each; and
     from where they first meet, enough elements must remain on both sides.
-    Elements that are alone in their counter meet nothing and are left out."""
+    Elements that are alone in their counter meet nothing and are left out.
+    Where sets meet, their LONG_K smallest hashes are compared: these are the
+    whole of smaller sets, which settles the pair, and else a sketch of the
+    union, which estimates it."""
     counters = sets.sparkSession.sparkContext.broadcast(_rarity(sets))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = counters.value
         for b in batches:
-            elements, places = [], []
+            elements, places, near = [], [], []
             for one in b.column(3):
                 hashes = one.values.to_numpy()
                 often = held[_slot(hashes)]
@@ -211,14 +220,24 @@ def _far_apart(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
                 meets = often[first] > 1
                 elements.append(hashes[first][meets])
                 places.append(np.flatnonzero(meets))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), _lists_of(elements), _lists_of(places)], ["cid", "n", "comp", "es", "at"])
+                near.append(hashes[:LONG_K])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), _lists_of(near), _lists_of(elements), _lists_of(places)], ["cid", "n", "comp", "near", "es", "at"])
 
     rows = sets.join(members, "cid").select("cid", "n", "comp", "set")
-    rows = rows.mapInArrow(run, "cid bigint, n int, comp bigint, es array<bigint>, at array<bigint>")
-    rows = rows.select("cid", "n", "comp", F.explode(F.arrays_zip("es", "at")).alias("x"))
-    rows = saved(rows.select("cid", "n", "comp", F.col("x.es").alias("e"), F.col("x.at").alias("pos")), "neardup_rare")
+    rows = rows.mapInArrow(run, "cid bigint, n int, comp bigint, near array<bigint>, es array<bigint>, at array<bigint>")
+    rows = rows.select("cid", "n", "comp", "near", "es", F.posexplode(F.arrays_zip("es", "at")).alias("i", "x"))
+    before = F.slice("es", F.greatest(F.lit(1), F.col("i") - BEFORE + 1), F.least(F.col("i"), F.lit(BEFORE)))
+    rows = saved(rows.select("cid", "n", "comp", "near", before.alias("pre"), F.col("x.es").alias("e"), F.col("x.at").alias("pos")), "neardup_rare")
     room = F.least(F.col("na") - F.col("posx"), F.col("nb") - F.col("posy"))
-    return _across(rows, "e", room * (100 + percent) >= (F.col("na") + F.col("nb")) * percent, percent)
+    both = F.array_intersect("nearx", "neary")
+    union = F.slice(F.sort_array(F.array_union("nearx", "neary")), 1, LONG_K)
+    whole = (F.col("na") <= LONG_K) & (F.col("nb") <= LONG_K)
+    alike = F.when(whole, F.size(both) * (100 + percent) >= (F.col("na") + F.col("nb")) * percent).otherwise(
+        F.size(F.array_intersect(union, both)) * 100 >= F.size(union) * LONG_SHARED
+    )
+    # An element that both have before this one has brought the pair together already.
+    first = ~F.arrays_overlap("prex", "prey")
+    return _across(rows, "e", (room * (100 + percent) >= (F.col("na") + F.col("nb")) * percent) & first & alike, percent)
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
