@@ -2,7 +2,8 @@
 
 Every document is due an expected number of copies.  The whole part is
 certain.  For the rest, documents draw Pareto keys (random odds over the odds
-of inclusion) and the smallest keys win until the source's target is met.
+of inclusion); in their order every document that fits what the source's target
+still leaves is taken.
 
 Only DataFrame functions: no Python runs on executors.
 """
@@ -16,10 +17,10 @@ from pipewatch.llm.common import hash52, saved, unit, words
 
 #: Rows of the whole corpus in one range of Pareto keys, about.
 RANGE_ROWS = 2_000
-#: Documents that may fill what the cut leaves of a source's target.
-FILLS = 3
-#: Up to so many sources the per-source tables may be broadcast (counted first).
+#: Up to so many sources (or repeated documents) their tables may be broadcast (counted first).
 BROADCAST_SOURCES = 100_000
+#: Stretches of the order in which documents up to a size are taken.
+RUNS = "array<struct<after:struct<_mix_key:double,_mix_seed:bigint>,stop:struct<_mix_key:double,_mix_seed:bigint>,room:double>>"
 
 
 def word_count(text: Column) -> Column:
@@ -59,6 +60,32 @@ def _with_source(df: DataFrame, per: DataFrame, small: bool, *more: Column, how:
     return df.join(F.broadcast(side) if small else side, cond, how).drop("_mix_s")
 
 
+def _cut(df: DataFrame, small: bool) -> DataFrame:
+    """Where the room of each source ends.  ``df`` has ``source``, ``_mix_room``,
+    ``_mix_range``, ``_mix_key``, ``_mix_seed`` and ``_mix_size``.  Returns
+    ``source``, ``_mix_stop`` (place of the first document that does not fit,
+    null if all do) and ``_mix_gap`` (the room left before it)."""
+    # Words by (source, range) and running sums over them: the range where the room ends.
+    sums = df.groupBy("source", "_mix_range").agg(F.sum("_mix_size").alias("_mix_words"), F.first("_mix_room").alias("_mix_room"))
+    before = F.coalesce(F.sum("_mix_words").over(Window.partitionBy("source").orderBy("_mix_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = sums.withColumn("_mix_room", F.col("_mix_room") - before)
+    edge = F.min(F.when(F.col("_mix_words") > F.col("_mix_room"), F.struct("_mix_range", "_mix_room")))
+    edges = sums.groupBy("source").agg(edge.alias("e"), F.min(F.col("_mix_room") - F.col("_mix_words")).alias("_mix_after"))
+    edges = saved(edges.select("source", "_mix_after", F.col("e._mix_range").alias("_mix_edge"), F.col("e._mix_room").alias("_mix_left")), "mixing_edges")
+
+    # Only that range is put in order, row by row.
+    rows = _with_source(df, edges.drop("_mix_after"), small, F.col("_mix_range") == F.col("_mix_edge"))
+    total = F.sum("_mix_size").over(Window.partitionBy("source").orderBy("_mix_key", "_mix_seed"))
+    rows = rows.withColumn("_mix_sum", total)
+    inside = F.col("_mix_sum") <= F.col("_mix_left")
+    stops = rows.groupBy("source").agg(
+        F.min(F.when(~inside, F.struct("_mix_key", "_mix_seed"))).alias("_mix_stop"),
+        (F.first("_mix_left") - F.coalesce(F.max(F.when(inside, F.col("_mix_sum"))), F.lit(0))).alias("_mix_gap"),
+    )
+    found = _with_source(edges.select("source", "_mix_after"), stops, False, how="left")
+    return saved(found.select("source", "_mix_stop", F.coalesce("_mix_gap", "_mix_after").alias("_mix_gap")), "mixing_cuts")
+
+
 def mix(docs: DataFrame, weights: DataFrame, share: float = 1.5, cap: int = 2, inclusion: Column | None = None, seed: int = 17, narrow: bool = False) -> DataFrame:
     """Copies of each document for a mix of ``share`` times the words of ``docs``.
 
@@ -72,13 +99,16 @@ def mix(docs: DataFrame, weights: DataFrame, share: float = 1.5, cap: int = 2, i
     Every document is due target / source_size copies: the whole part is
     certain, the fraction is the mean chance of one more.  ``inclusion`` (a
     column in (0, 1], default 1) multiplies a document's chance.  Documents
-    are ranked by the odds of a uniform draw over the odds of their chance;
-    the smallest win while their words fit what the target leaves, and up to
-    ``FILLS`` documents beyond the cut, the best fits, fill the last gap.
-
-    Null text counts as empty; empty documents weigh nothing.  Null sources
-    are a source.  Rows that repeat (same id and text) draw alike and share
-    their fate.  An empty table gives an empty mix.  Columns of ``docs`` with
+    are ranked by the odds of a uniform draw over the odds of their chance.
+    In that order every document whose words fit what the target still leaves
+    is taken, until none is left that fits; at last the one document nearest
+    to the gap, if it is nearer than nothing.  So a source misses its target by
+    half of the smallest document not taken, at most.
+
+    Null text counts as empty; empty documents weigh nothing (they are taken
+    before the first document that does not fit).  Null sources are a source.
+    Rows that repeat (same source, id and text) draw alike and share their
+    fate: they count with the words of all of them.  An empty table gives an empty mix.  Columns of ``docs`` with
     the names added are replaced."""
     added = ("size", "source_size", "target", "copies", "taken")
     mine = [c for c in docs.columns if c not in added and not c.startswith("_mix_")]
@@ -105,52 +135,57 @@ def mix(docs: DataFrame, weights: DataFrame, share: float = 1.5, cap: int = 2, i
     odds = u / (1 - u) * ((mean / (1 - mean)) / (chance / (1 - chance)))
     ranges = max(64, -(-slim.count() // RANGE_ROWS))
 
+    # Rows that repeat are taken together or not at all.
+    repeats = slim.groupBy("source", F.col("_mix_seed").alias("_mix_r")).agg(F.sum("_mix_size").alias("_mix_all"), F.count("*").alias("n"))
+    repeats = saved(repeats.where("n > 1 AND _mix_all > 0").drop("n"), "mixing_repeats")
+    n_repeats = repeats.count()
+
     def keyed(df: DataFrame) -> DataFrame:
         k = _with_source(df, goal, small).withColumn("_mix_key", odds / (1 + odds))
-        return k.withColumn("_mix_range", F.least(F.lit(ranges - 1), F.floor(F.col("_mix_key") * ranges).cast("int")))
-
-    # Words by (source, range) and running sums over them: the range where the room ends.
-    sums = keyed(slim).groupBy("source", "_mix_range").agg(
-        F.sum("_mix_size").alias("_mix_words"),
-        F.first(F.col("target") - F.col("source_size") * F.col("_mix_whole")).alias("_mix_all"),
-    )
-    before = F.coalesce(F.sum("_mix_words").over(Window.partitionBy("source").orderBy("_mix_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sums = sums.withColumn("_mix_room", F.col("_mix_all") - before).where("_mix_words > _mix_room")
-    edges = saved(sums.groupBy("source").agg(F.min(F.struct("_mix_range", "_mix_room")).alias("e")).select("source", F.col("e._mix_range").alias("_mix_edge"), F.col("e._mix_room").alias("_mix_room")), "mixing_edges")
+        k = k.withColumn("_mix_range", F.least(F.lit(ranges - 1), F.floor(F.col("_mix_key") * ranges).cast("int")))
+        if not n_repeats:
+            return k.withColumn("_mix_by", F.col("_mix_size"))
+        k = _with_source(k, repeats, n_repeats <= BROADCAST_SOURCES, F.col("_mix_seed") == F.col("_mix_r"), how="left")
+        return k.withColumn("_mix_by", F.coalesce("_mix_all", "_mix_size")).drop("_mix_r", "_mix_all")
 
-    # Only that range is put in order, row by row.
     place = F.struct("_mix_key", "_mix_seed")
-    edge = _with_source(keyed(slim), edges, small, F.col("_mix_range") == F.col("_mix_edge"))
-    total = F.sum("_mix_size").over(Window.partitionBy("source").orderBy("_mix_key", "_mix_seed"))
-    edge = edge.withColumn("_mix_sum", total)
-    inside = F.col("_mix_sum") <= F.col("_mix_room")
-    cuts = edge.groupBy("source").agg(
-        F.first("_mix_edge").alias("_mix_edge"),
-        F.max(F.when(inside, place)).alias("_mix_last"),
-        (F.first("_mix_room") - F.coalesce(F.max(F.when(inside, F.col("_mix_sum"))), F.lit(0))).alias("_mix_gap"),
-    )
-    cuts = saved(cuts, "mixing_cuts")
-    # Fill the words still missing: a few documents beyond the cut that fit best, the last one the nearest in size.
-    beyond = (F.col("_mix_range") > F.col("_mix_edge")) | ((F.col("_mix_range") == F.col("_mix_edge")) & ~F.coalesce(place <= F.col("_mix_last"), F.lit(False)))
-    cuts = cuts.withColumn("_mix_fills", F.array().cast("array<struct<_mix_key:double,_mix_seed:bigint>>"))
-    off = F.abs(F.col("_mix_gap") - F.col("_mix_size"))
-    for step in range(FILLS):
-        better = F.col("_mix_size") <= F.col("_mix_gap") if step < FILLS - 1 else off < F.col("_mix_gap")
-        free = beyond & (F.col("_mix_whole") < cap) & (F.col("_mix_size") > 0) & better & ~F.array_contains("_mix_fills", place)
-        fill = _with_source(keyed(slim), cuts, small).where(free)
-        fill = fill.groupBy("source").agg(F.min(F.struct(off.alias("_mix_off"), "_mix_key", "_mix_seed", F.col("_mix_size").alias("_mix_by"))).alias("_mix_fill"))
-        cuts = _with_source(cuts, fill, False, how="left")
-        taken = F.array(F.struct(F.col("_mix_fill._mix_key").alias("_mix_key"), F.col("_mix_fill._mix_seed").alias("_mix_seed")))
-        cuts = cuts.withColumn("_mix_fills", F.when(F.col("_mix_fill").isNull(), F.col("_mix_fills")).otherwise(F.concat("_mix_fills", taken)))
-        cuts = saved(cuts.withColumn("_mix_gap", F.col("_mix_gap") - F.coalesce(F.col("_mix_fill._mix_by"), F.lit(0))).drop("_mix_fill"), "mixing_fills")
+    slots = ["source", "_mix_size", "_mix_by", "_mix_key", "_mix_seed", "_mix_range"]
+    left = keyed(slim).where(F.col("_mix_whole") < cap)
+    cuts = _cut(left.withColumn("_mix_room", F.col("target") - F.col("source_size") * F.col("_mix_whole")), small)
+    cuts = cuts.withColumn("_mix_runs", F.array().cast(RUNS)).withColumn("_mix_at", F.col("_mix_stop"))
+    # Go on behind the document that did not fit with those that fit the room left, until there are none.
+    while True:
+        going = cuts.where("_mix_at IS NOT NULL AND _mix_gap > 0").select("source", "_mix_at", F.col("_mix_gap").alias("_mix_room"))
+        fits = (place > F.col("_mix_at")) & (F.col("_mix_by") > 0) & (F.col("_mix_by") <= F.col("_mix_room"))
+        left = saved(_with_source(left.select(*slots), going, small).where(fits).select(*slots, "_mix_room"), "mixing_left")
+        if left.isEmpty():
+            break
+        step = _cut(left, small).select("source", F.col("_mix_stop").alias("_mix_next"), F.col("_mix_gap").alias("_mix_rest_gap"))
+        run = F.array(F.struct(F.col("_mix_at").alias("after"), F.col("_mix_next").alias("stop"), F.col("_mix_gap").alias("room")))
+        went = F.col("_mix_rest_gap").isNotNull()
+        cuts = _with_source(cuts, step, False, how="left").select(
+            "source",
+            "_mix_stop",
+            F.coalesce("_mix_rest_gap", "_mix_gap").alias("_mix_gap"),
+            F.when(went, F.concat("_mix_runs", run)).otherwise(F.col("_mix_runs")).alias("_mix_runs"),
+            F.col("_mix_next").alias("_mix_at"),
+        )
+        cuts = saved(cuts, "mixing_runs")
+
+    def in_run(r: Column) -> Column:
+        before = r.getField("stop").isNull() | (place < r.getField("stop"))
+        return (place > r.getField("after")) & before & (F.col("_mix_by") > 0) & (F.col("_mix_by") <= r.getField("room"))
+
+    won = F.col("_mix_stop").isNull() | (place < F.col("_mix_stop")) | F.coalesce(F.exists("_mix_runs", in_run), F.lit(False))
+    # What is left is larger than the gap: the nearest, if it is nearer than nothing.
+    off = F.abs(F.col("_mix_gap") - F.col("_mix_by"))
+    last = _with_source(keyed(slim), cuts, small).where((F.col("_mix_by") > 0) & (off < F.col("_mix_gap")) & ~won)
+    last = last.groupBy("source").agg(F.min(F.struct(off.alias("off"), "_mix_key", "_mix_seed")).alias("f"))
+    last = last.select("source", F.struct(F.col("f._mix_key").alias("_mix_key"), F.col("f._mix_seed").alias("_mix_seed")).alias("_mix_last"))
+    cuts = saved(_with_source(cuts, last, False, how="left"), "mixing_fills")
 
     full = _with_source(keyed(slim if narrow else rows), cuts, small, how="left")
-    won = (
-        F.col("_mix_edge").isNull()
-        | (F.col("_mix_range") < F.col("_mix_edge"))
-        | ((F.col("_mix_range") == F.col("_mix_edge")) & F.coalesce(place <= F.col("_mix_last"), F.lit(False)))
-        | F.coalesce(F.array_contains("_mix_fills", place), F.lit(False))
-    )
+    won = won | F.coalesce(place == F.col("_mix_last"), F.lit(False))
     copies = F.col("_mix_whole") + F.when((F.col("_mix_whole") < cap) & won, 1).otherwise(0)
     out = full.withColumn("copies", copies.cast("int"))
     first = ["doc_id", "source"] if narrow else mine

@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import io
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -209,6 +210,45 @@ def test_mix_of_odd_documents(spark, odd, no_docs):
     assert mixing.mix(no_docs, source_weights(no_docs)).collect() == []
 
 
+def brute_taken(rows, target, cap=2):
+    """Copies of the documents (id, text) of one source: go through the order, take what fits, then the nearest."""
+    draw = lambda i, t: int(hashlib.md5(f"17:{i}:{'null' if t is None else hashlib.md5(t.encode()).hexdigest()}".encode()).hexdigest()[:13], 16)
+    groups = defaultdict(int)
+    for i, t in rows:
+        groups[draw(i, t), i] += words(t)
+    whole = min(cap, math.floor(target / sum(groups.values())))
+    room, extra, cut = target - whole * sum(groups.values()), set(), False
+    if whole == cap:
+        return {i: cap for i, _ in rows}
+    for (h, i), size in sorted(groups.items()):
+        if size <= room and (size or not cut):
+            extra.add(i)
+            room -= size
+        else:
+            cut = cut or size > room
+    near = [(abs(room - s), h, i) for (h, i), s in groups.items() if i not in extra and s and abs(room - s) < room]
+    extra |= {min(near)[2]} if near else set()
+    return {i: whole + (i in extra) for i, _ in rows}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_mix_takes_every_document_that_still_fits(spark, seed):
+    """Very long documents on the cut, and repeated rows, leave no more than half of the smallest document not taken."""
+    rng = random.Random(seed)
+    rows = [(i, " ".join(["w"] * rng.choice([*range(20, 90), 4000, 9000])), f"s{i % 4}") for i in range(400)]
+    rows += [(1000 + i, "w " * 15, "twice") for i in range(60) for _ in range(2)] + [(2000 + i, None if i % 2 else "w " * 700, "empty") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    share = (0.37, 0.81, 1.23)[seed]
+    got = mixing.mix(docs, source_weights(docs), share=share).collect()
+    for s in {r[2] for r in rows}:
+        mine = [r for r in got if r.source == s]
+        want = brute_taken([r[:2] for r in rows if r[2] == s], mine[0].target)
+        assert {r.doc_id: r.copies for r in mine} == want
+        free, whole = Counter(r.doc_id for r in mine), mine[0].target // mine[0].source_size
+        untaken = [r.size * free[r.doc_id] for r in mine if r.size and r.copies <= whole < 2]
+        assert not untaken or mine[0].target - sum(r.taken for r in mine) <= min(untaken) / 2
+
+
 def test_low_inclusion_comes_last(spark):
     docs = spark.createDataFrame([(i, "w " * 10, "s", float(i < 300) * 0.99 + 0.01) for i in range(600)], "doc_id bigint, text string, source string, good double")
     weights = docs.select("source").distinct().withColumn("weight", F.lit(1))
