@@ -252,6 +252,14 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     id are rows of their own.  Null ids come last; a component of null ids
     only has a null id, and its rows are not kept apart: ``kept`` compares
     null as equal.  An empty table gives no rows; other columns are not read."""
+    out = _judged(docs, n, percent, id_col, text)
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def _judged(docs: DataFrame, n: int, percent: int, id_col: str, text: str) -> DataFrame:
+    """doc_id, row, th, n of every row, with root (of its component) and
+    component_id; both are null for rows without words."""
     if percent < 80:
         raise ValueError("the sketch bounds hold for similarities of 0.8 or more")
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
@@ -295,10 +303,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
 
     found = per.join(comp.select(F.col("node").alias("cid"), "root"), "cid", "left").select(*key, "rep", F.coalesce("root", "cid").alias("root"))
     least = saved(found.groupBy("root").agg(F.min("rep").alias("component_id")), "neardup_least")
-    found = saved(found.join(least, "root").select(*key, "component_id"), "neardup_found")
-    out = each.select("doc_id", *key).join(found, key, "left")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    found = saved(found.join(least, "root").select(*key, "root", "component_id"), "neardup_found")
+    return each.select("doc_id", "row", "th", *key).join(found, key, "left").drop("k1", "k2")
 
 
 def _lists(classes: DataFrame) -> DataFrame:
@@ -322,6 +328,24 @@ def _lists(classes: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: of each
-    component the document with the smallest id (all rows of that id)."""
-    gone = near_duplicates(docs, n, percent, id_col, text).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(saved(gone, "neardup_gone"), F.col(f"`{id_col}`").eqNullSafe(F.col("_gone")), "left_anti")
+    component the one row with the smallest id (nulls last; of rows that share
+    it, the one with the least digest of its text).  Rows without words stay."""
+    judged = saved(_judged(docs, n, percent, id_col, text).select("doc_id", "row", "th", "n", "root"), "neardup_judged")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "row")).alias("best")
+    won = saved(judged.where("n > 0").groupBy("root").agg(best).select("best.doc_id", "best.th"), "neardup_won")
+    per = judged.select("doc_id", F.lit(1).alias("r"), (F.col("n") == 0).cast("int").alias("k"))
+    per = per.unionByName(won.select("doc_id", F.lit(0).alias("r"), F.lit(1).alias("k")))
+    per = per.groupBy(F.col("doc_id").alias("_gone")).agg(F.sum("r").alias("_rows"), F.sum("k").alias("_kept")).where("_kept < _rows")
+    per = saved(per, "neardup_gone")
+    # Ids of which no row stays leave; a repeated id of which some rows stay is settled by its texts.
+    stay = docs.join(per.select("_gone"), F.col(f"`{id_col}`").eqNullSafe(F.col("_gone")), "left_anti")
+    some = per.where("_kept > 0").select("_gone")
+    if some.isEmpty():
+        return stay
+    part = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{id_col}`").alias("i"), F.xxhash64(F.col(f"`{text}`")).alias("t"))
+    texts = won.select("doc_id", "th", F.lit(True).alias("one")).unionByName(judged.where("n = 0").select("doc_id", "th", F.lit(False).alias("one")).distinct())
+    texts = saved(texts.join(some, _same("doc_id", "_gone")).drop("_gone"), "neardup_texts")
+    part = part.join(texts, _same("i", "doc_id") & (F.col("t") == F.col("th")))
+    one = part.where("one").groupBy("i", "t").agg(F.first("doc").alias("doc")).select("doc")
+    part = one.unionByName(part.where("NOT one").select("doc"))
+    return stay.unionByName(part.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns]))

@@ -110,6 +110,22 @@ def test_shingles_of_any_width(n):
     assert bottomk_dedup.shingle_hashes("a b", 2).tolist() != bottomk_dedup.shingle_hashes("b a", 2).tolist()
 
 
+def test_near_dedup_settles_repeated_ids_by_text(spark):
+    rng = random.Random(9)
+    a, b, c, d = (" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(60)) for _ in range(4))
+    rows = [(1, a, "x"), (2, b, "x"), (2, a + " more", "x"), (3, c, "x"), (3, c + " more", "x"), (3, c, "y"), (None, d, "x"), (None, d + " more", "x"), (None, b + " more", "x")]
+    rows += [(4, None, "x"), (4, None, "x"), (4, a + " less", "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, doc string")
+    got = bottomk_dedup.deduplicated(docs)
+    assert got.columns == docs.columns
+    got = [tuple(r) for r in got.collect()]
+    assert set(got) <= set(rows)
+    assert sorted((i, t) for i, t, _ in got if i in (1, 2)) == [(1, a), (2, b)]
+    assert [t in (c, c + " more") for i, t, _ in got if i == 3] == [True]
+    assert [t in (d, d + " more") for i, t, _ in got if i is None] == [True]
+    assert [t for i, t, _ in got if i == 4] == [None, None]
+
+
 def test_low_thresholds_are_refused(spark, odd):
     with pytest.raises(ValueError):
         bottomk_dedup.near_duplicates(odd, percent=70)
