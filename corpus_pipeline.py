@@ -8,6 +8,7 @@ reread as the next stage's documents.  All but the last return the columns of
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pipewatch.llm import block_naming, bottomk_dedup, mixing, packing, quality_eb
 from pipewatch.llm.common import saved, table
@@ -31,7 +32,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights; documents repeat as often as they are taken."""
-    return mixing.repeated(mixing.mix(docs, source_weights(docs), share=1.5, cap=2), docs.columns)
+    # The document's columns travel in one struct: none clashes with those the mix adds.
+    whole = docs.select("doc_id", "text", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    mixed = mixing.repeated(mixing.mix(whole, source_weights(docs), share=1.5, cap=2), ["row"])
+    return mixed.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -109,7 +109,7 @@ def mix(docs: DataFrame, weights: DataFrame, share: float = 1.5, cap: int = 2, i
     before the first document that does not fit).  Null sources are a source.
     Rows that repeat (same source, id and text) draw alike and share their
     fate: they count with the words of all of them.  An empty table gives an empty mix.  Columns of ``docs`` with
-    the names added are replaced."""
+    the names added are replaced, those that start with ``_mix_`` left out."""
     added = ("size", "source_size", "target", "copies", "taken")
     mine = [c for c in docs.columns if c not in added and not c.startswith("_mix_")]
     tilt = F.lit(1.0) if inclusion is None else F.greatest(F.lit(1e-6), F.least(F.lit(1.0), F.coalesce(inclusion.cast("double"), F.lit(1.0))))

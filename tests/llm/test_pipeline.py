@@ -7,6 +7,7 @@ from collections import Counter
 import duckdb
 import helpers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pipewatch.llm import packing
@@ -71,6 +72,15 @@ def test_stages_against_brute_force(spark):
     assert sum(r.length for r in packed) == sum(len(fast.ids(r.text or "")) // 4 + 1 for r in mixed.collect())
 
 
+def test_mix_stage_keeps_columns_of_any_name(spark, odd):
+    names = ["size", "source_size", "target", "copies", "taken", "_mix_size", "_mix_key", "row", "a.b"]
+    docs = odd.select("*", *[F.concat(F.lit(f"{c} "), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(c) for c in names])
+    got = corpus_pipeline.mix(spark, docs, SF)
+    assert got.dtypes == docs.dtypes
+    got = {tuple(r) for r in got.collect()}
+    assert got and got <= {tuple(r) for r in docs.collect()}
+
+
 def test_run_over_a_whole_table(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and {"doc_id", "piece", "sequence_id", "offset"} <= set(rows[0].asDict())
