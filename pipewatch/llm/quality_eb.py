@@ -90,7 +90,7 @@ def features(text: pd.Series) -> pd.Series:
 @dataclass(frozen=True)
 class Model:
     """Log odds = bias + sum of weight * feature; ``base`` is the share of
-    good documents in the fit."""
+    good documents in the fit (0.5 if it knows nothing)."""
 
     bias: float
     weights: tuple[float, ...]
@@ -109,10 +109,10 @@ class Model:
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50) -> Model:
     """Logistic regression on standardised features and their squares' signs
     left out; Newton steps with a ridge.  With one class only, or no rows, the
-    model knows nothing (weights 0)."""
-    base = float((y.sum() + 1) / (len(y) + 2))
+    model knows nothing (weights 0, even odds)."""
     if len(set(y.tolist())) < 2:
-        return Model(float(np.log(base / (1 - base))), (0.0,) * len(FEATURES), base)
+        return Model(0.0, (0.0,) * len(FEATURES), 0.5)
+    base = float((y.sum() + 1) / (len(y) + 2))
     mean, scale = x.mean(0), x.std(0)
     scale[scale == 0] = 1.0
     z = np.column_stack([np.ones(len(x)), (x - mean) / scale])
@@ -214,8 +214,8 @@ def scores(docs: DataFrame, labels: DataFrame, host: str = "source", path: str =
 
     Null hosts and paths are sites of their own.  Null and blank texts have no
     evidence; their site decides.  Repeated rows are scored alike.  Without
-    labels the model knows nothing and all posteriors are the sites'.  An
-    empty table gives no rows."""
+    labels, or with labels of one class only, the model knows nothing, all
+    posteriors are even and documents stay.  An empty table gives no rows."""
     featured = _featured(docs, host, path)
     judged = _with_p(featured, fit_on(featured, labels, fit_rows))
     out = with_posterior(judged, site_sums(judged, "host", "path"), "host", "path")

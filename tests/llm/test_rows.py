@@ -152,6 +152,13 @@ def test_quality_of_odd_documents(spark, odd, no_docs):
     assert quality_eb.scores(no_docs, labels).collect() == [] and quality_eb.kept(no_docs, labels).collect() == []
 
 
+@pytest.mark.parametrize("only", [0, 1])
+def test_labels_of_one_class_tell_nothing(spark, odd, only):
+    labels = spark.createDataFrame([(i, only) for i in range(12)], "doc_id bigint, quality int")
+    got = quality_eb.scores(odd, labels).collect()
+    assert len(got) == odd.count() and all(r.kept and r.evidence == 0 and r.posterior == 0.5 for r in got)
+
+
 # Mixing
 
 
