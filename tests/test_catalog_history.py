@@ -167,3 +167,20 @@ def test_run_sql(spark):
     t = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     got = run_sql(spark, "SELECT count(*) AS n FROM pw_sql_t WHERE k > 1", {"pw_sql_t": t}).first().n
     assert got == 1
+    assert not spark.catalog.tableExists("pw_sql_t")  # the session keeps no view
+    t.createOrReplaceTempView("pw_sql_own")
+    assert run_sql(spark, "SELECT * FROM pw_sql_own", {"pw_sql_own": t.limit(1)}).count() == 1
+    assert spark.table("pw_sql_own").count() == 2  # the session's own view is back
+    spark.catalog.dropTempView("pw_sql_own")
+
+
+def test_run_sql_without_rows(spark, tmp_dir):
+    from pipewatch.operators.sql import run_sql
+
+    t = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    assert run_sql(spark, f"INSERT OVERWRITE DIRECTORY '{tmp_dir}' USING parquet SELECT k FROM pw_sql_t", {"pw_sql_t": t}, rows=False) is None
+    assert sorted(r.k for r in spark.read.parquet(tmp_dir).collect()) == [1, 2]
+    assert run_sql(spark, "SELECT k FROM pw_sql_t", {"pw_sql_t": t}, rows=False) is None
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO|Division"):  # a query runs to its end
+        run_sql(spark, "SELECT k / (k - 1) FROM pw_sql_t", {"pw_sql_t": t}, rows=False)
+    assert not spark.catalog.tableExists("pw_sql_t")

@@ -30,8 +30,10 @@ def test_registry_shape():
     assert len(registry.queries()) >= 100
 
 
-def test_entry_without_the_optional_part(tmp_path):
-    """The entry imports and keeps the audits when the optional folders are gone."""
+@pytest.mark.parametrize("with_pipeline", [False, True])
+def test_entry_without_the_optional_part(tmp_path, with_pipeline):
+    """The entry imports and keeps the audits when the optional folders are
+    gone, whether or not the pipeline file still lies beside it."""
     import shutil
     import subprocess
     import sys
@@ -39,6 +41,8 @@ def test_entry_without_the_optional_part(tmp_path):
 
     root = Path(E.__file__).parent
     shutil.copy(root / "__spark_entry__.py", tmp_path)
+    if with_pipeline:  # a stand-in where the file itself is gone
+        (tmp_path / "corpus_pipeline.py").write_text("from pipewatch.llm import mixing\nORACLE_SQL = None\nrun = None\n")
     shutil.copytree(root / "pipewatch", tmp_path / "pipewatch", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     code = "import __spark_entry__ as e; print(len(e.queries()), sum(k.startswith('op') for k in e.queries()), 'pipeline' in e.queries())"
     said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True).stdout.split()
