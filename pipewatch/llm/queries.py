@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pipewatch.llm import ann_mih, block_naming, bottomk_dedup, mixing, packing, quality_eb, sharding, token_counts, url_filter, warc
+from pipewatch.llm import (
+    ann_mih,
+    block_naming,
+    bottomk_dedup,
+    hard_negatives,
+    jaccard_regions,
+    mixing,
+    packing,
+    quality_eb,
+    sharding,
+    spelling_trie,
+    token_counts,
+    url_filter,
+    warc,
+)
 from pipewatch.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -184,6 +198,55 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+@register("op11_jaccard_regions")
+def op11_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of all documents linked at 0.8 on 5-word shingles."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return jaccard_regions.linked(docs, n=5, percent=80)
+
+
+@register("op12_spelling_variants")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents; one run in 97 of
+    a document lacks a code point."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return spelling_trie.variants(spelling_trie.word_counts(docs, damage=97))
+
+
+@register(
+    "op13_hard_negatives",
+    """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    ),
+    s AS (
+        SELECT a.vec_id AS anchor_id, a.label = r.label AS same, r.vec_id, list_inner_product(a.v, r.v)::BIGINT AS score
+        FROM v a, v r WHERE a.vec_id % 100 = 0 AND r.vec_id <> a.vec_id
+    ),
+    p AS (
+        SELECT * FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT p.anchor_id, p.vec_id AS positive_id,
+           (row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id))::INTEGER AS rank,
+           n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+    FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same
+         AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+    QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) <= 5
+    """,
+)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every row whose vec_id is divisible by 100; the
+    labels of one row in seven are moved on by one first."""
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select("vec_id", label.alias("label"), hard_negatives.whole_components(F.col("embedding")).alias("v"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0, id_col="vec_id")
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
