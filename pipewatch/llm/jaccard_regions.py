@@ -12,8 +12,9 @@
    document's shingles, so the document is copied into the regions of its
    first that many + 1 shingles, and meets every partner in one of them.
 3. Small regions compare their documents across components of the links found
-   so far.  The documents of large regions that are not one component yet
-   are the next level's space, with pivots of their own (the largest
+   so far.  Of the documents of large regions that are not one component yet
+   those stay that share enough of their shingles with others there at all;
+   they are the next level's space, with pivots of their own (the largest
    components that are still apart).
 4. What the last level leaves is joined by runs: in the hash order of the
    united shingles of two linked documents, shared ones must stand in a run
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 from pipewatch.llm.bottomk_dedup import shingle_hashes
 from pipewatch.llm.common import saved
 from pipewatch.llm.components import components
+from pipewatch.plans.keyfilter import among, key_filter, possible
 
 #: Pivots of a level (what is broadcast is bounded by them), and the longest text of a pivot.
 PIVOTS, PIVOT_CHARS = 256, 20_000
@@ -175,7 +177,9 @@ def _able(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs whose first shingles leave a link possible.  Up to the lesser of
     their last hashes both sets are known whole; what differs there is no
     more than may differ in all: |x - y| + |y - x| <= (|x| + |y|) (1 - s) / (1 + s)."""
-    side = lambda s: classes.select(F.col("cid").alias(s), F.col("n").alias(f"n{s}"), F.col("first").alias(f"f{s}"))
+    ends = saved(_ends(pairs), "regions_ends")
+    needed = saved(possible(classes, F.xxhash64("cid"), key_filter(ends, F.xxhash64("cid"), ends.count())).select("cid", "n", "first"), "regions_needed")
+    side = lambda s: needed.select(F.col("cid").alias(s), F.col("n").alias(f"n{s}"), F.col("first").alias(f"f{s}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     last = F.least(F.element_at("fa", -1), F.element_at("fb", -1))
     known = lambda f: F.size(F.filter(f, lambda h: h <= last))
@@ -184,9 +188,11 @@ def _able(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """``cid`` and ``set`` of the classes ``wanted`` (cid), from the texts of their first rows."""
-    seek = classes.join(wanted, "cid", "left_semi").select("cid", "at", "th")
-    texts = docs.join(seek, F.col("doc_id").eqNullSafe(F.col("at")) & (F.xxhash64("text") == F.col("th"))).select("cid", "text")
+    """``cid`` and ``set`` of the classes ``wanted`` (cid), from the texts of
+    their first rows.  A filter on the hashes of texts lets few others reach the join."""
+    seek = saved(classes.select("cid", "at", "th").join(wanted, "cid", "left_semi"), "regions_seek")
+    some = possible(docs, F.xxhash64("text"), key_filter(seek, "th", seek.count()))
+    texts = some.join(seek, F.col("doc_id").eqNullSafe(F.col("at")) & (F.xxhash64("text") == F.col("th"))).select("cid", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -224,14 +230,19 @@ class _Join:
 
     def try_pairs(self, pairs: DataFrame) -> None:
         """Confirm pairs and settle components."""
+        pairs = saved(pairs, "regions_met_pairs")
+        if pairs.isEmpty():
+            return
         pairs = saved(_able(pairs, self.classes, self.percent), "regions_pairs")
         if not pairs.isEmpty():
             self.know(_ends(pairs))
             self.add(_confirmed(pairs, self.sets, self.percent))
 
     def add(self, links: DataFrame) -> None:
-        self.links = self.links.unionByName(saved(links, "regions_links"))
-        self.comp = saved(components(self.links), "regions_components")
+        links = saved(links, "regions_links")
+        if not links.isEmpty():
+            self.links = self.links.unionByName(links)
+            self.comp = saved(components(self.links), "regions_components")
 
     def to_pivots(self, placed: DataFrame) -> DataFrame:
         """Links of documents to the pivots of this level, which are nodes below 0."""
@@ -262,6 +273,22 @@ class _Join:
         and their distances from the pivot are no more than a link apart."""
         return (F.col("homedx") | F.col("homedy")) & (F.abs(F.col("nearx") - F.col("neary")) <= 1 - self.percent / 100 + SLACK)
 
+    def plausible(self, crowd: DataFrame) -> DataFrame:
+        """The documents of the crowd that share enough of their shingles with
+        others of it: a linked one shares ``percent`` of its own at least."""
+        # Read twice, not kept: most of the crowd is not needed again.
+        sets = _sets(self.docs, self.classes, crowd, self.n)
+        common = saved(sets.select(F.explode("set").alias("e")).groupBy("e").agg(F.count("*").alias("c")).where("c > 1").select("e"), "regions_common")
+        bits = crowd.sparkSession.sparkContext.broadcast(key_filter(common, "e", common.count()).bits())
+        percent = self.percent
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                sizes = [(len(s), int(among(s.values.to_numpy(), bits.value).sum())) for s in b.column(1)]
+                yield b.select([0]).filter(pa.array([100 * c >= percent * n for n, c in sizes], pa.bool_()))
+
+        return saved(sets.mapInArrow(run, "cid bigint"), "regions_plausible").distinct()
+
     def deeper(self, crowd: DataFrame) -> DataFrame:
         """One more level of pivots for the documents of the crowd (cid)."""
         self.levels += 1
@@ -322,7 +349,7 @@ def _shingle_regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     # What is worked out of an array is selected before the array is dealt out into rows, else each row would carry it.
     each = classes.where("home < 0").select("cid", "n", F.size("first").alias("m"), "first").select("cid", "n", "m", F.explode("first").alias("v"))
     often = saved(each.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"), "regions_often")
-    own = each.join(often, "v").groupBy("cid", "n", "m").agg(F.collect_list(F.struct("v", "df")).alias("vs"))
+    own = possible(each, F.col("v"), key_filter(often, "v", often.count())).join(often, "v").groupBy("cid", "n", "m").agg(F.collect_list(F.struct("v", "df")).alias("vs"))
     typical = F.aggregate("vs", F.lit(0.0), lambda t, x: t + F.log(x.getField("df"))) / F.col("m")
     own = own.select("cid", "n", typical.alias("typical"), F.col("vs.v").alias("vs"))
     held = saved(own.select("cid", "n", "typical", F.explode("vs").alias("region")), "regions_shingles")
@@ -363,6 +390,8 @@ def linked(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id
     join.add(join.to_pivots(classes).unionByName(_confirmed(star, join.sets, percent)))
     crowd = join.settle(join.regions(classes), join.window())
     crowd = saved(crowd.unionByName(join.settle(shingle_regions)).distinct(), "regions_crowd")
+    if not crowd.isEmpty():
+        crowd = join.plausible(crowd)
     while join.levels < LEVELS - 1 and not crowd.isEmpty():
         crowd = join.deeper(crowd)
     if not crowd.isEmpty():
