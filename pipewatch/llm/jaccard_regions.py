@@ -16,8 +16,7 @@
    those stay that share enough of their shingles with others there at all;
    they are the next level's space, with pivots of their own (the largest
    components that are still apart).
-4. What the last level leaves is joined by runs: in the hash order of the
-   united shingles of two linked documents, shared ones must stand in a run
+4. What the last level leaves is joined by runs: in the order of the united shingles of two linked documents, shared ones must stand in a run
    of ``RUN`` somewhere, for there are too few others to part them all.
 
 Every step is exact; links are confirmed on full shingle sets.
@@ -30,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +51,10 @@ SMALL = 64
 RUN, SHORT_RUN, SHORT = 4, 2, 15
 #: Widens windows against rounding.
 SLACK = 1e-9
+#: One distinct text in so many is read beforehand; shingles that occur twice among them are common.
+SAMPLED = 16
+#: Bit of a shingle's number that common shingles have set, so that they come last.
+COMMON = np.int64(1 << 62)
 
 
 class Pivots:
@@ -88,6 +92,26 @@ class Pivots:
         return int(near[best]) if homed else -1, near[inside].tolist(), j[inside].tolist(), links.tolist()
 
 
+def _numbers(text: str | None, n: int, common: np.ndarray) -> np.ndarray:
+    """The sorted distinct numbers of a text's shingles: 62 bits of their hashes, common ones after the others."""
+    h = shingle_hashes(text, n)
+    return np.sort((h.view(np.uint64) >> np.uint64(2)).view(np.int64) | (COMMON * among(h, common)))
+
+
+def _common_shingles(docs: DataFrame, n: int) -> np.ndarray:
+    """A filter (of bounded size) of the shingles that are common in a sample of the distinct texts."""
+    h = F.xxhash64("text", F.lit(17))
+    some = docs.select("text", h.alias("h")).where(F.pmod("h", F.lit(SAMPLED)) == 0).groupBy("h").agg(F.min("text").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([_arrays([shingle_hashes(t.as_py(), n) for t in b.column(0)])], ["es"])
+
+    each = some.select("text").mapInArrow(run, "es array<bigint>").select(F.explode("es").alias("e"))
+    found = saved(each.groupBy("e").agg(F.count("*").alias("c")).where("c > 1").select("e"), "regions_common_shingles")
+    return key_filter(found, "e", found.count()).bits()
+
+
 def _first_shingles(h: np.ndarray, percent: int) -> np.ndarray:
     """The shingles whose regions a set is copied into: one at least is shared with any partner."""
     return h[: len(h) + (-len(h) * percent) // 100 + 1] if len(h) else h
@@ -115,7 +139,7 @@ def _placed(sets: list[np.ndarray], pivots: Pivots, percent: int) -> list[pa.Arr
     return [pa.array(columns[0], pa.int32()), _lists(columns[1], pa.int32()), _lists(columns[2], pa.float64()), _lists(columns[3], pa.int32())]
 
 
-def _measured(docs: DataFrame, n: int, percent: int, pivots: Pivots) -> DataFrame:
+def _measured(docs: DataFrame, n: int, percent: int, pivots: Pivots, common: Broadcast) -> DataFrame:
     """Every row with its number, the hash of its text, size and name of its
     set, its place among the pivots, and its first shingles."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -124,7 +148,7 @@ def _measured(docs: DataFrame, n: int, percent: int, pivots: Pivots) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [shingle_hashes(t.as_py(), n) for t in b.column(3)]
+            sets = [_numbers(t.as_py(), n, common.value) for t in b.column(3)]
             names = [_name(h) for h in sets]
             k1, k2 = zip(*names, strict=True) if names else ((), ())
             place = _placed(sets, shared.value, percent)
@@ -135,13 +159,13 @@ def _measured(docs: DataFrame, n: int, percent: int, pivots: Pivots) -> DataFram
     return rows.mapInArrow(run, f"doc_id {kind}, row bigint, th bigint, n int, k1 bigint, k2 bigint, {_PLACED}, first array<bigint>")
 
 
-def _first_pivots(docs: DataFrame, n: int) -> Pivots:
+def _first_pivots(docs: DataFrame, n: int, common: np.ndarray) -> Pivots:
     """The first level's pivots: distinct texts with the smallest hashes."""
     h = F.xxhash64("text", F.lit(29))
     fit = docs.where(F.length("text").between(1, PIVOT_CHARS)).select(h.alias("h"), "text")
     least = [r["h"] for r in fit.select("h").distinct().orderBy("h").limit(PIVOTS).collect()]
     texts = fit.where(F.col("h").isin(least)).groupBy("h").agg(F.min("text").alias("text")).orderBy("h") if least else fit
-    sets = {h.tobytes(): h for r in texts.collect() for h in [shingle_hashes(r["text"], n)] if len(h)}
+    sets = {h.tobytes(): h for r in texts.collect() for h in [_numbers(r["text"], n, common)] if len(h)}
     return Pivots(list(sets.values()))
 
 
@@ -154,8 +178,8 @@ def _next_pivots(sets: DataFrame, crowd: DataFrame) -> Pivots:
     return Pivots([np.array(r["set"], np.int64) for r in sorted(rows, key=lambda r: r["cid"])])
 
 
-def _same_size(percent: int) -> Column:
-    return (F.col("nx") * 100 >= F.col("ny") * percent) & (F.col("ny") * 100 >= F.col("nx") * percent)
+def _same_size(percent: int, nx: str = "nx", ny: str = "ny") -> Column:
+    return (F.col(nx) * 100 >= F.col(ny) * percent) & (F.col(ny) * 100 >= F.col(nx) * percent)
 
 
 def _cross(members: DataFrame, key: str, percent: int, window: Column | None = None) -> DataFrame:
@@ -175,7 +199,7 @@ def _cross(members: DataFrame, key: str, percent: int, window: Column | None = N
 
 def _able(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs whose first shingles leave a link possible.  Up to the lesser of
-    their last hashes both sets are known whole; what differs there is no
+    their last shingles both sets are known whole; what differs there is no
     more than may differ in all: |x - y| + |y - x| <= (|x| + |y|) (1 - s) / (1 + s)."""
     ends = saved(_ends(pairs), "regions_ends")
     needed = saved(possible(classes, F.xxhash64("cid"), key_filter(ends, F.xxhash64("cid"), ends.count())).select("cid", "n", "first"), "regions_needed")
@@ -187,7 +211,7 @@ def _able(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.where(apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)).select("a", "b")
 
 
-def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, n: int, common: Broadcast) -> DataFrame:
     """``cid`` and ``set`` of the classes ``wanted`` (cid), from the texts of
     their first rows.  A filter on the hashes of texts lets few others reach the join."""
     seek = saved(classes.select("cid", "at", "th").join(wanted, "cid", "left_semi"), "regions_seek")
@@ -196,7 +220,7 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, n: int) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), _arrays([shingle_hashes(t.as_py(), n) for t in b.column(1)])], ["cid", "set"])
+            yield pa.RecordBatch.from_arrays([b.column(0), _arrays([_numbers(t.as_py(), n, common.value) for t in b.column(1)])], ["cid", "set"])
 
     return texts.mapInArrow(run, "cid bigint, set array<bigint>")
 
@@ -215,8 +239,8 @@ def _ends(pairs: DataFrame) -> DataFrame:
 class _Join:
     """Classes of equal sets, the links found so far, and their components."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, n: int, percent: int):
-        self.docs, self.classes, self.n, self.percent = docs, classes, n, percent
+    def __init__(self, docs: DataFrame, classes: DataFrame, n: int, percent: int, common: Broadcast):
+        self.docs, self.classes, self.n, self.percent, self.common = docs, classes, n, percent, common
         self.sets = docs.sparkSession.createDataFrame([], "cid bigint, set array<bigint>")
         self.links = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
         self.comp = docs.sparkSession.createDataFrame([], "node bigint, root bigint")
@@ -226,7 +250,7 @@ class _Join:
         """Full sets of ``wanted`` (cid), those at hand not again."""
         new = saved(wanted.join(self.sets.select("cid"), "cid", "left_anti"), "regions_wanted")
         if not new.isEmpty():
-            self.sets = self.sets.unionByName(saved(_sets(self.docs, self.classes, new, self.n), "regions_sets"))
+            self.sets = self.sets.unionByName(saved(_sets(self.docs, self.classes, new, self.n, self.common), "regions_sets"))
 
     def try_pairs(self, pairs: DataFrame) -> None:
         """Confirm pairs and settle components."""
@@ -277,7 +301,7 @@ class _Join:
         """The documents of the crowd that share enough of their shingles with
         others of it: a linked one shares ``percent`` of its own at least."""
         # Read twice, not kept: most of the crowd is not needed again.
-        sets = _sets(self.docs, self.classes, crowd, self.n)
+        sets = _sets(self.docs, self.classes, crowd, self.n, self.common)
         common = saved(sets.select(F.explode("set").alias("e")).groupBy("e").agg(F.count("*").alias("c")).where("c > 1").select("e"), "regions_common")
         bits = crowd.sparkSession.sparkContext.broadcast(key_filter(common, "e", common.count()).bits())
         percent = self.percent
@@ -308,7 +332,7 @@ class _Join:
         return saved(left.unionByName(placed.where("home < 0").select("cid")).distinct(), "regions_left")
 
     def by_runs(self, crowd: DataFrame) -> None:
-        """Pairs of the crowd that share a run of shingles in hash order."""
+        """Pairs of the crowd that share a run of shingles."""
         self.know(crowd)
         sets = self.with_comp(self.sets.join(crowd, "cid", "left_semi").dropDuplicates(["cid"]).withColumn("n", F.size("set")))
 
@@ -329,7 +353,7 @@ class _Join:
 
 
 def _runs(h: np.ndarray) -> np.ndarray:
-    """One number for each run of RUN (or SHORT_RUN) shingles in hash order.
+    """One number for each run of RUN (or SHORT_RUN) shingles in order.
     Documents of 13 to 15 shingles may meet partners of either kind."""
     out = []
     for width, wanted in ((RUN, len(h) * 5 >= 4 * (SHORT + 1)), (SHORT_RUN, len(h) <= SHORT)):
@@ -342,10 +366,11 @@ def _runs(h: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(out)) if out else np.empty(0, np.int64)
 
 
-def _shingle_regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _shingle_regions(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Regions of single shingles (region, cid, n) that hold two documents or
-    more, of documents without a home, and the star of each: pairs (cid,
-    center) with the most typical of them, one with many common shingles."""
+    more, of documents without a home, and pairs (cid, center): of the most
+    typical documents of its regions (those of many common shingles) the one
+    that a document meets most often."""
     # What is worked out of an array is selected before the array is dealt out into rows, else each row would carry it.
     each = classes.where("home < 0").select("cid", "n", F.size("first").alias("m"), "first").select("cid", "n", "m", F.explode("first").alias("v"))
     often = saved(each.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"), "regions_often")
@@ -355,7 +380,8 @@ def _shingle_regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     held = saved(own.select("cid", "n", "typical", F.explode("vs").alias("region")), "regions_shingles")
     center = held.groupBy("region").agg(F.max(F.struct("typical", (-F.col("cid")).alias("c"), "n")).alias("best"))
     center = saved(center.select("region", (-F.col("best.c")).alias("center"), F.col("best.n").alias("ny")), "regions_centers")
-    star = held.join(center, "region").where("cid != center").select("cid", "center", F.col("n").alias("nx"), "ny").distinct()
+    star = held.join(center, "region").where((F.col("cid") != F.col("center")) & _same_size(percent, "n", "ny")).groupBy("cid", "center").agg(F.count("*").alias("c"))
+    star = star.groupBy("cid").agg(F.max(F.struct("c", (-F.col("center")).alias("x"))).alias("best")).select("cid", (-F.col("best.x")).alias("center"))
     return held.select("region", "cid", "n"), star
 
 
@@ -371,20 +397,22 @@ def linked(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id
     are one class.  Rows that repeat an id are rows of their own.  Null ids
     come last: a component of null ids only has a null id.  An empty table
     gives no rows; other columns are not read, whatever their names.
-    Shingles are 64-bit hashes (two of a pair of documents are the same by
-    accident with a chance of about 1e-13)."""
+    Shingles are 62-bit hashes (two of a pair of documents are the same by
+    accident with a chance of about 1e-12)."""
     if percent < 80:
         raise ValueError("the lengths of runs hold for similarities of 0.8 or more")
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    each = saved(_measured(docs, n, percent, _first_pivots(docs, n)), "regions_docs")
+    often = _common_shingles(docs, n)
+    common = docs.sparkSession.sparkContext.broadcast(often)
+    each = saved(_measured(docs, n, percent, _first_pivots(docs, n, often), common), "regions_docs")
     key = ["n", "k1", "k2"]
     per = saved(each.where("n > 0").groupBy(*key).agg(F.min("row").alias("cid"), F.min("doc_id").alias("rep")), "regions_sets_of")
     first = each.select(F.col("row").alias("cid"), F.col("doc_id").alias("at"), "th", "n", "home", "regions", "nears", "links", "first")
     classes = saved(first.join(per.select("cid"), "cid"), "regions_classes")
 
-    join = _Join(docs, classes, n, percent)
-    shingle_regions, star = _shingle_regions(classes)
-    star = star.where(_same_size(percent)).select(F.least("cid", "center").alias("a"), F.greatest("cid", "center").alias("b")).distinct()
+    join = _Join(docs, classes, n, percent, common)
+    shingle_regions, star = _shingle_regions(classes, percent)
+    star = star.select(F.least("cid", "center").alias("a"), F.greatest("cid", "center").alias("b")).distinct()
     star = saved(_able(star, classes, percent), "regions_star")
     join.know(_ends(star))
     join.add(join.to_pivots(classes).unionByName(_confirmed(star, join.sets, percent)))
