@@ -33,11 +33,10 @@ K = 32
 SHARED = 12
 #: Members of a list that are compared across components directly.
 LONG_LIST = 48
-#: Hashes kept of each member of a longer list, and the share of the union's that a pair must have in common
-#: (at a similarity of 0.8 it is 0.8 +- 0.025; less than 0.65 has a chance of about 1e-9).
-LONG_K, LONG_SHARED = 256, 65
-#: Rare elements before an element that are looked at to meet each pair once.
-BEFORE = 16
+#: Bits kept of each member of a longer list, one for each of so many orders of its set (the last bit of the least
+#: number), and how many two members must have in common.  At a similarity of 0.8 they share 230 +- 5 of 256; fewer
+#: than 196 has a chance of about 1e-10.
+LONG_BITS, LONG_SHARED = 256, 196
 #: Counters that tell rare elements from frequent ones (16 MB), and counters in a slice.
 COUNTERS, SLICE = 1 << 22, 1 << 14
 #: Multipliers of a public 64-bit mixing function, and the step between words.
@@ -157,7 +156,7 @@ def _across(members: DataFrame, key: str, extra: Column | None = None, percent:
     main = count.groupBy(key).agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("comps")).where("comps > 1")
     main = saved(main.select(F.col(key).alias("main_key"), F.col("m.comp").alias("main")), "neardup_main")
     held = saved(members.join(main, F.col(key) == F.col("main_key")).drop("main_key"), "neardup_lists")
-    carried = [c for c in ("pos", "near", "pre") if c in members.columns]
+    carried = [c for c in members.columns if c == "pos" or c.startswith("bit")]
     x = held.where("comp != main").select(F.col(key).alias("k"), F.col("cid").alias("x"), F.col("n").alias("na"), F.col("comp").alias("cx"), *[F.col(c).alias(f"{c}x") for c in carried])
     y = held.select(F.col(key).alias("k"), F.col("cid").alias("y"), F.col("n").alias("nb"), F.col("comp").alias("cy"), "main", *[F.col(c).alias(f"{c}y") for c in carried])
     cond = (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))) & _close(percent=percent)
@@ -204,15 +203,14 @@ def _far_apart(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     element among the first size - ceil(size * percent / 100) + 1 of each; and
     from where they first meet, enough elements must remain on both sides.
     Elements that are alone in their counter meet nothing and are left out.
-    Where sets meet, their LONG_K smallest hashes are compared: these are the
-    whole of smaller sets, which settles the pair, and else a sketch of the
-    union, which estimates it."""
+    Where sets meet, LONG_BITS bits of each estimate their similarity; they
+    take four numbers a row, so rows stay small in the join."""
     counters = sets.sparkSession.sparkContext.broadcast(_rarity(sets))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = counters.value
         for b in batches:
-            elements, places, near = [], [], []
+            elements, places, bits = [], [], []
             for one in b.column(3):
                 hashes = one.values.to_numpy()
                 often = held[_slot(hashes)]
@@ -220,24 +218,30 @@ def _far_apart(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
                 meets = often[first] > 1
                 elements.append(hashes[first][meets])
                 places.append(np.flatnonzero(meets))
-                near.append(hashes[:LONG_K])
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), _lists_of(near), _lists_of(elements), _lists_of(places)], ["cid", "n", "comp", "near", "es", "at"])
+                bits.append(_bits(hashes))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), _lists_of(bits), _lists_of(elements), _lists_of(places)], ["cid", "n", "comp", "bits", "es", "at"])
 
     rows = sets.join(members, "cid").select("cid", "n", "comp", "set")
-    rows = rows.mapInArrow(run, "cid bigint, n int, comp bigint, near array<bigint>, es array<bigint>, at array<bigint>")
-    rows = rows.select("cid", "n", "comp", "near", "es", F.posexplode(F.arrays_zip("es", "at")).alias("i", "x"))
-    before = F.slice("es", F.greatest(F.lit(1), F.col("i") - BEFORE + 1), F.least(F.col("i"), F.lit(BEFORE)))
-    rows = saved(rows.select("cid", "n", "comp", "near", before.alias("pre"), F.col("x.es").alias("e"), F.col("x.at").alias("pos")), "neardup_rare")
+    rows = rows.mapInArrow(run, "cid bigint, n int, comp bigint, bits array<bigint>, es array<bigint>, at array<bigint>")
+    rows = rows.select("cid", "n", "comp", "bits", F.explode(F.arrays_zip("es", "at")).alias("x"))
+    rows = saved(rows.select("cid", "n", "comp", F.col("x.es").alias("e"), F.col("x.at").alias("pos"), *[F.col("bits")[i].alias(f"bit{i}_") for i in range(LONG_BITS // 64)]), "neardup_rare")
     room = F.least(F.col("na") - F.col("posx"), F.col("nb") - F.col("posy"))
-    both = F.array_intersect("nearx", "neary")
-    union = F.slice(F.sort_array(F.array_union("nearx", "neary")), 1, LONG_K)
-    whole = (F.col("na") <= LONG_K) & (F.col("nb") <= LONG_K)
-    alike = F.when(whole, F.size(both) * (100 + percent) >= (F.col("na") + F.col("nb")) * percent).otherwise(
-        F.size(F.array_intersect(union, both)) * 100 >= F.size(union) * LONG_SHARED
-    )
-    # An element that both have before this one has brought the pair together already.
-    first = ~F.arrays_overlap("prex", "prey")
-    return _across(rows, "e", (room * (100 + percent) >= (F.col("na") + F.col("nb")) * percent) & first & alike, percent)
+    differ = sum((F.bit_count(F.col(f"bit{i}_x").bitwiseXOR(F.col(f"bit{i}_y"))) for i in range(LONG_BITS // 64)), F.lit(0))
+    return _across(rows, "e", (room * (100 + percent) >= (F.col("na") + F.col("nb")) * percent) & (differ <= LONG_BITS - LONG_SHARED), percent)
+
+
+_ORDERS = np.random.default_rng(1).integers(0, 2**63, LONG_BITS, dtype=np.uint64)[:, None]
+
+
+def _bits(hashes: np.ndarray) -> np.ndarray:
+    """The last bits of the least number of a set in each of LONG_BITS orders, which come from mixing its hashes anew."""
+    least = np.full(LONG_BITS, np.iinfo(np.uint64).max)
+    for at in range(0, len(hashes), 2048):
+        x = (hashes[at : at + 2048].view(np.uint64)[None, :] ^ _ORDERS) * np.uint64(MIX[0])
+        x ^= x >> np.uint64(29)
+        x *= np.uint64(MIX[1])
+        least = np.minimum(least, x.min(axis=1))
+    return np.packbits(((least >> np.uint64(7)) & np.uint64(1)).astype(np.uint8)).view(np.int64)
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -298,8 +302,9 @@ def _judged(docs: DataFrame, n: int, percent: int, id_col: str, text: str) -> Da
             sets = sets.unionByName(far_sets.join(sets.select("cid"), "cid", "left_anti"))
             new = new.join(far.select("cid"), "cid", "left_anti")
         sets = saved(sets.unionByName(_sets(docs, new.join(classes, "cid"), n)), "neardup_all_sets")
-        links = links.unionByName(_confirmed(more, sets, percent))
-        comp = saved(components(links), "neardup_components")
+        new = saved(_confirmed(more, sets, percent), "neardup_more_links")
+        if not new.isEmpty():
+            comp = saved(components(links.unionByName(new)), "neardup_components")
 
     found = per.join(comp.select(F.col("node").alias("cid"), "root"), "cid", "left").select(*key, "rep", F.coalesce("root", "cid").alias("root"))
     least = saved(found.groupBy("root").agg(F.min("rep").alias("component_id")), "neardup_least")

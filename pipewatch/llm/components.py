@@ -12,7 +12,9 @@ MOST_STEPS = 60
 
 
 def _minima(e: DataFrame) -> DataFrame:
-    return saved(e.groupBy("u").agg(F.min("v").alias("m")), "cc_minima")
+    """Of each node the least neighbour, how many neighbours are smaller, and whether one is larger."""
+    of = e.groupBy("u").agg(F.min("v").alias("m"), F.sum((F.col("v") < F.col("u")).cast("int")).alias("o"), F.max((F.col("v") > F.col("u")).cast("int")).alias("i"))
+    return saved(of, "cc_minima")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -27,18 +29,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     e = edges.select(F.least(a, b).alias("v"), F.greatest(a, b).alias("u")).where(F.col(a).isNotNull() & F.col(b).isNotNull())
     e = saved(e.where("u != v").select("u", "v").distinct(), "cc_edges")
     for _ in range(MOST_STEPS):
+        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = _minima(both)
         # Done when every node has one smaller neighbour at most, and no node is both a root and below one.
-        ends = e.select("u", F.lit(1).alias("o"), F.lit(0).alias("i")).unionByName(e.select(F.col("v").alias("u"), F.lit(0).alias("o"), F.lit(1).alias("i")))
-        ends = ends.groupBy("u").agg(F.sum("o").alias("o"), F.max("i").alias("i"))
-        most = ends.agg(F.max("o"), F.max(F.col("o") * F.col("i"))).first()
+        most = low.agg(F.max("o"), F.max(F.col("o") * F.col("i"))).first()
         if (most[0] or 0) <= 1 and not most[1]:
             break
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Large star: every larger neighbour moves to the least of the neighbours and the node itself.
-        low = _minima(both).select("u", F.least("u", "m").alias("m"))
+        low = low.select("u", F.least("u", "m").alias("m"))
         e = saved(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "cc_large")
         # Small star: the smaller neighbours, and the node, move to the least of them.
-        low = _minima(e)
+        low = _minima(e).select("u", "m")
         moved = e.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = saved(moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "cc_small")
     else:

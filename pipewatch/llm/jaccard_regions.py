@@ -104,7 +104,7 @@ def _common_shingles(docs: DataFrame, n: int) -> np.ndarray:
     some = docs.select("text", h.alias("h")).where(F.pmod("h", F.lit(SAMPLED)) == 0).groupBy("h").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _pieces(batches):
             yield pa.RecordBatch.from_arrays([_arrays([shingle_hashes(t.as_py(), n) for t in b.column(0)])], ["es"])
 
     each = some.select("text").mapInArrow(run, "es array<bigint>").select(F.explode("es").alias("e"))
@@ -117,6 +117,13 @@ def _first_shingles(h: np.ndarray, percent: int) -> np.ndarray:
     return h[: len(h) + (-len(h) * percent) // 100 + 1] if len(h) else h
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """Small batches, so that a task holds the sets of few documents at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def _lists(values: list, kind: pa.DataType) -> pa.Array:
     return pa.array(values, pa.list_(kind))
 
@@ -147,7 +154,7 @@ def _measured(docs: DataFrame, n: int, percent: int, pivots: Pivots, common: Bro
     shared = docs.sparkSession.sparkContext.broadcast(pivots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _pieces(batches):
             sets = [_numbers(t.as_py(), n, common.value) for t in b.column(3)]
             names = [_name(h) for h in sets]
             k1, k2 = zip(*names, strict=True) if names else ((), ())
@@ -219,7 +226,7 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, n: int, common
     texts = some.join(seek, F.col("doc_id").eqNullSafe(F.col("at")) & (F.xxhash64("text") == F.col("th"))).select("cid", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _pieces(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), _arrays([_numbers(t.as_py(), n, common.value) for t in b.column(1)])], ["cid", "set"])
 
     return texts.mapInArrow(run, "cid bigint, set array<bigint>")
@@ -307,7 +314,7 @@ class _Join:
         percent = self.percent
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in _pieces(batches):
                 sizes = [(len(s), int(among(s.values.to_numpy(), bits.value).sum())) for s in b.column(1)]
                 yield b.select([0]).filter(pa.array([100 * c >= percent * n for n, c in sizes], pa.bool_()))
 
@@ -323,7 +330,7 @@ class _Join:
         shared, percent = crowd.sparkSession.sparkContext.broadcast(pivots), self.percent
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in _pieces(batches):
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *_placed([s.values.to_numpy() for s in b.column(2)], shared.value, percent)], ["cid", "n", "home", "regions", "nears", "links"])
 
         placed = saved(sets.select("cid", F.size("set").alias("n"), "set").mapInArrow(run, f"cid bigint, n int, {_PLACED}"), "regions_placed")
@@ -337,7 +344,7 @@ class _Join:
         sets = self.with_comp(self.sets.join(crowd, "cid", "left_semi").dropDuplicates(["cid"]).withColumn("n", F.size("set")))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in _pieces(batches):
                 keys = [_runs(s.values.to_numpy()) for s in b.column(3)]
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), _arrays(keys)], ["cid", "n", "comp", "runs"])
 
