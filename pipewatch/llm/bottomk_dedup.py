@@ -37,6 +37,8 @@ LONG_LIST = 48
 #: number), and how many two members must have in common.  At a similarity of 0.8 they share 230 +- 5 of 256; fewer
 #: than 196 has a chance of about 1e-10.
 LONG_BITS, LONG_SHARED = 256, 196
+#: Rare elements before an element that are looked at to meet most pairs once.
+BEFORE = 16
 #: Counters that tell rare elements from frequent ones (16 MB), and counters in a slice.
 COUNTERS, SLICE = 1 << 22, 1 << 14
 #: Multipliers of a public 64-bit mixing function, and the step between words.
@@ -156,7 +158,7 @@ def _across(members: DataFrame, key: str, extra: Column | None = None, percent:
     main = count.groupBy(key).agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("comps")).where("comps > 1")
     main = saved(main.select(F.col(key).alias("main_key"), F.col("m.comp").alias("main")), "neardup_main")
     held = saved(members.join(main, F.col(key) == F.col("main_key")).drop("main_key"), "neardup_lists")
-    carried = [c for c in members.columns if c == "pos" or c.startswith("bit")]
+    carried = [c for c in members.columns if c in ("pos", "pre") or c.startswith("bit")]
     x = held.where("comp != main").select(F.col(key).alias("k"), F.col("cid").alias("x"), F.col("n").alias("na"), F.col("comp").alias("cx"), *[F.col(c).alias(f"{c}x") for c in carried])
     y = held.select(F.col(key).alias("k"), F.col("cid").alias("y"), F.col("n").alias("nb"), F.col("comp").alias("cy"), "main", *[F.col(c).alias(f"{c}y") for c in carried])
     cond = (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))) & _close(percent=percent)
@@ -223,11 +225,14 @@ def _far_apart(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 
     rows = sets.join(members, "cid").select("cid", "n", "comp", "set")
     rows = rows.mapInArrow(run, "cid bigint, n int, comp bigint, bits array<bigint>, es array<bigint>, at array<bigint>")
-    rows = rows.select("cid", "n", "comp", "bits", F.explode(F.arrays_zip("es", "at")).alias("x"))
-    rows = saved(rows.select("cid", "n", "comp", F.col("x.es").alias("e"), F.col("x.at").alias("pos"), *[F.col("bits")[i].alias(f"bit{i}_") for i in range(LONG_BITS // 64)]), "neardup_rare")
+    rows = rows.select("cid", "n", "comp", "bits", "es", F.posexplode(F.arrays_zip("es", "at")).alias("i", "x"))
+    before = F.slice("es", F.greatest(F.lit(1), F.col("i") - BEFORE + 1), F.least(F.col("i"), F.lit(BEFORE)))
+    rows = saved(rows.select("cid", "n", "comp", before.alias("pre"), F.col("x.es").alias("e"), F.col("x.at").alias("pos"), *[F.col("bits")[i].alias(f"bit{i}_") for i in range(LONG_BITS // 64)]), "neardup_rare")
     room = F.least(F.col("na") - F.col("posx"), F.col("nb") - F.col("posy"))
+    # An element that both have before this one has brought the pair together already.
+    first = ~F.arrays_overlap("prex", "prey")
     differ = sum((F.bit_count(F.col(f"bit{i}_x").bitwiseXOR(F.col(f"bit{i}_y"))) for i in range(LONG_BITS // 64)), F.lit(0))
-    return _across(rows, "e", (room * (100 + percent) >= (F.col("na") + F.col("nb")) * percent) & (differ <= LONG_BITS - LONG_SHARED), percent)
+    return _across(rows, "e", (room * (100 + percent) >= (F.col("na") + F.col("nb")) * percent) & first & (differ <= LONG_BITS - LONG_SHARED), percent)
 
 
 _ORDERS = np.random.default_rng(1).integers(0, 2**63, LONG_BITS, dtype=np.uint64)[:, None]
