@@ -81,13 +81,17 @@ def load(spark: SparkSession, path: str, cols: Sequence[str], label: str, attemp
     """Read the Parquet files under ``path`` (the exact folder, not a name
     prefix; partition folders included) with a fixed column list; every row
     carries the label of its file, ``<label>__<attempt>__<n>``, ``n`` counting
-    the files that hold rows from 1 in the order of their full paths.
+    all Parquet files from 1 in the order of their full paths, those without
+    rows too.
 
     Files are told apart by their whole path, so equal names in different
-    partition folders stay apart.  Paths and numbers come from the scan
-    itself (a distinct over file metadata; one row per file is numbered)."""
-    staged = spark.read.parquet(path).select(*cols, F.col("_metadata.file_path").alias("__file"))
-    numbers = staged.select("__file").distinct().withColumn("__n", F.row_number().over(Window.orderBy("__file")))
+    partition folders stay apart.  The numbers come from the scan's own file
+    listing (which Spark holds for planning anyway), one row per file."""
+    stored_rows = spark.read.parquet(path)
+    local = lambda c: F.regexp_replace(c, "^file:/+", "file:/")  # noqa: E731 - the scan and the listing write local paths differently
+    staged = stored_rows.select(*cols, local(F.col("_metadata.file_path")).alias("__file"))
+    listed = spark.createDataFrame([(f,) for f in stored_rows.inputFiles()], "__file string")
+    numbers = listed.select(local(F.col("__file")).alias("__file")).distinct().withColumn("__n", F.row_number().over(Window.orderBy("__file")))
     tag = F.concat(F.lit(f"{label}__{attempt}__"), F.col("__n").cast("string"))
     return staged.join(numbers, "__file").select(*cols, tag.alias("label"))
 
@@ -177,8 +181,22 @@ def write_model(
     merged = apply_model(stored.unionByName(rows), model, sort_key, order, merge)
     aside = f"{table}__{uuid.uuid4().hex[:8]}"
     write(merged.select(*stored.columns), aside, "error")
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
+    _swap(spark, table, aside)
+
+
+def _swap(spark: SparkSession, table: str, new: str) -> None:
+    """``new`` takes the name of ``table``.  The stored table keeps its rows
+    under another name until the new one stands; a failure on the way gives
+    it its name back and leaves no merged copy behind."""
+    old = f"{table}__{uuid.uuid4().hex[:8]}"
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    except BaseException:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    spark.sql(f"DROP TABLE {old}")
 
 
 def default_keys(df: DataFrame) -> tuple[list[str], list[str]]:

@@ -217,6 +217,22 @@ def text_limit(cdc_type: str) -> int | None:
     return int(m[1]) if m else None
 
 
+def _lossy(src: Column, source: T.DataType, target: str) -> Column:
+    """Numbers that a cast to ``target`` changes: a fraction or a magnitude it
+    cannot hold.  Decimals and doubles may be rounded to the digits a decimal,
+    real or double has; they may not become infinite.  Other types: no."""
+    if not isinstance(source, T.NumericType):
+        return F.lit(False)
+    there = src.try_cast(target)
+    if target in ("smallint", "short", "int", "integer", "bigint", "long"):
+        back = there.cast("decimal(20,0)")
+        return F.coalesce(back != (src if isinstance(source, T.DecimalType) else src.cast("double")), F.lit(False))
+    if target in ("float", "double"):
+        finite = F.abs(src.cast("double")) < float("inf")
+        return F.coalesce(finite & (F.abs(there) == float("inf")), F.lit(False))
+    return F.lit(False)
+
+
 def split_cdc(df: DataFrame, column_types: Sequence[tuple[str, str]], event_time: Column | str = CDC_PARTITION) -> tuple[DataFrame, DataFrame]:
     """(conformed, rejects): ``df`` cast to the CDC column list ``[(column,
     cdc_type), ...]`` (the small output of :func:`map_types_cdc` for one table,
@@ -224,8 +240,9 @@ def split_cdc(df: DataFrame, column_types: Sequence[tuple[str, str]], event_time
     each column once; ``event_time`` (string ``yyyy/MM/dd/HH``) is the
     partition.
 
-    A row with a value that does not fit its type, or text longer than its
-    length, is no conformed row: it goes to rejects, whole and unchanged, with
+    A row with a value that does not fit its type (a number that the type
+    cannot hold: a fraction for a whole number, 1e300 for a real), with text
+    longer than its length or without an ``event_time`` is no conformed row: it goes to rejects, whole and unchanged, with
     a ``reason`` that names the columns."""
     cols, bad, seen = [], [], {CDC_PARTITION}
     for name, ctype in column_types:
@@ -239,12 +256,13 @@ def split_cdc(df: DataFrame, column_types: Sequence[tuple[str, str]], event_time
         src = F.col(f"`{name}`")
         cols.append(src.try_cast(target).alias(name))
         limit = text_limit(ctype)
-        wrong = src.isNotNull() & src.try_cast(target).isNull()
+        wrong = src.isNotNull() & src.try_cast(target).isNull() | _lossy(src, df.schema[name].dataType, target)
         if limit is not None:
             wrong = wrong | (F.length(src.cast("string")) > limit)
         bad.append(F.when(F.coalesce(wrong, F.lit(False)), F.lit(f"{name} is no {ctype}")))
     et = F.col(event_time) if isinstance(event_time, str) else event_time
-    reason = F.concat_ws("; ", *bad) if bad else F.lit("")
+    bad.append(F.when(et.isNull(), F.lit(f"no {CDC_PARTITION}")))
+    reason = F.concat_ws("; ", *bad)
     marked = df.withColumn("__reason", reason)
     good = marked.where(F.col("__reason") == "").select(*cols, et.cast("string").alias(CDC_PARTITION))
     return good, marked.where(F.col("__reason") != "").select(*[F.col(f"`{c}`") for c in df.columns], F.col("__reason").alias("reason"))

@@ -235,7 +235,8 @@ def disorder_bound(
     group = [*per, *keys]
     # per key: split only keys with more than bucket_width rows (many small
     # keys would otherwise each get a bucket per offset range they touch)
-    late = lateness(events, seq, ts, group, buckets, rows_per_bucket, bucket_width, hot_keys_only=bool(keys)).where(
+    needed = list(dict.fromkeys([*group, seq, ts]))  # what is not reported is not shuffled
+    late = lateness(events.select(*needed), seq, ts, group, buckets, rows_per_bucket, bucket_width, hot_keys_only=bool(keys)).where(
         F.col("diff_ts") > 0
     )
     out = late.select(*group, F.col("diff_ts"), F.col(seq).alias("id"))
@@ -261,7 +262,8 @@ def late_beyond(
     column against a tiny literal table of delays."""
     keys = [key] if isinstance(key, str) else list(key or [])
     per = _present(events, per)
-    lat = lateness(events, seq, ts, [*per, *keys], buckets, bucket_width=bucket_width, hot_keys_only=bool(keys))
+    needed = list(dict.fromkeys([*per, *keys, seq, ts]))
+    lat = lateness(events.select(*needed), seq, ts, [*per, *keys], buckets, bucket_width=bucket_width, hot_keys_only=bool(keys))
     # One pass: a conditional count per candidate delay (a short literal
     # list), then ``stack`` turns the counts into rows - no join needed.
     aggs = [F.count(F.when(F.col("diff_ts") > int(d), 1)).alias(f"d{i}") for i, d in enumerate(delays)]
@@ -345,20 +347,26 @@ def check_landed(
     both sides), ``mismatched`` (keys differ, null-safe), ``missing``
     (topic rows absent from the copy), ``extra`` (copy rows absent from the
     topic), ``first_offset`` of the first difference (null when equal).
-    An equi-join on (partition, offset), not a positional zip.  The landed
+    An equi-join on (partition, offset), not a positional zip; rows of a null
+    partition are compared as one partition of their own, however many
+    partitions there are.  The landed
     ranges (one row per partition) become a literal offset filter on the
     log scan, as in :func:`slice_log`."""
     rng = landed.groupBy(partition).agg(F.min(offset).alias("__lo"), F.max(offset).alias("__hi"))
     in_range = _offset_ranges(log, rng, partition, offset) if static_bounds else None
     if in_range is None:
         in_range = (
-            log.join(F.broadcast(rng), partition)
+            log.join(rng.withColumnRenamed(partition, "__p"), F.col(partition).eqNullSafe(F.col("__p")))
             .where(F.col(offset).between(F.col("__lo"), F.col("__hi")))
-            .drop("__lo", "__hi")
+            .drop("__lo", "__hi", "__p")
         )
     topic = in_range.select(partition, offset, F.json_tuple(F.col(value), key_field).alias("topic_key"))
     copy = landed.select(partition, offset, F.col("key").alias("landed_key"), F.lit(True).alias("__in"))
-    both = topic.withColumn("__t", F.lit(True)).join(copy, [partition, offset], "full_outer")
+    # Null partitions are one partition, on either path and in the join.
+    position = F.struct(partition, offset)
+    topic = topic.select(position.alias("__at"), "topic_key", F.lit(True).alias("__t"))
+    both = topic.join(copy.select(position.alias("__at"), "landed_key", "__in"), "__at", "full_outer")
+    both = both.select(F.col("__at").getField(partition).alias(partition), F.col("__at").getField(offset).alias(offset), "topic_key", "landed_key", "__t", "__in")
     diff = ~F.col("topic_key").eqNullSafe(F.col("landed_key"))
     paired = F.col("__t").isNotNull() & F.col("__in").isNotNull()
     return both.groupBy(partition).agg(

@@ -19,14 +19,14 @@ bucketed prefix max below splits the ``seq`` axis into buckets of about
    running max inside the bucket; ``greatest`` with the joined ``carry``
    finishes the job.
 
-The large side is shuffled once, on ``(keys, bk)``, for the window of
-step 4; the bucket aggregate of step 2 reads the key, seq and value columns
-a second time but combines map-side, so only a small table is shuffled.
+The source is read once: the rows are shuffled once, on ``(keys, bk)``, and
+steps 2 and 4 both read that exchange.  The carry is worked out in two
+levels (runs of buckets, then buckets of a run), so a sequence with gaps,
+whose buckets are as many as its rows, puts no key's buckets on one task.
 The join in step 4 needs no shuffle of the large side (same partitioning
 and order); nothing is broadcast unless AQE finds the carry table small at
-run time.  Null keys
-form their own group as in SQL.  With fixed-width buckets nothing is
-executed until the result is used.
+run time.  Null keys form their own group as in SQL.  With fixed-width
+buckets nothing is executed until the result is used.
 Rows with a null ``seq`` have no place in arrival order and are dropped
 (use :func:`split_null_seq` to keep them as rejects).
 """
@@ -38,9 +38,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BUCKET_WIDTH = 1_000_000  # seq units (offsets) per bucket
 
+RUN_BUCKETS = 4_096  # bucket numbers whose prefix one task works out
+
 _BK = "__pw_bk"
 _CARRY = "__pw_carry"
 _LOCAL = "__pw_local"
@@ -186,23 +189,52 @@ def _bucketed(df: DataFrame, data: DataFrame, seq: str, value: str, keys: list[s
     # fields as equal, so null keys group (and join) together as in SQL.
     kcols = [F.struct(*keys).alias(_KEY)] if keys else []
     part = [_KEY, _BK] if keys else [_BK]
-    kdata = data.select("*", *kcols)
-    # 2. per (keys, bucket) max: partial aggregation before a small shuffle
-    #    (reads only the key, seq and value columns).
-    bmax = kdata.groupBy(*part).agg(F.max(value).alias(_CARRY))
-    # 3. exclusive prefix max over the buckets of each key (small table).
-    wc = Window.partitionBy(*part[:-1]).orderBy(_BK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = bmax.select(*part, F.max(_CARRY).over(wc).alias(_CARRY)).where(F.col(_CARRY).isNotNull())
-    # 4. running max inside the bucket - the one shuffle of the data, on
-    #    (keys, bucket) - then the carry of earlier buckets joined on the same
-    #    columns: the data side already has that partitioning and order, so
-    #    only the small carry side moves (or is broadcast when AQE finds it
-    #    small at run time).
+    rest = [c for c in data.columns if c not in keys and c != _BK]
+    # 1. the one shuffle of the data, on (keys, bucket).  Both steps below read
+    #    it: the source is scanned and parsed once.  Key columns travel in the
+    #    struct only, so that both branches ask for the same columns.
+    kdata = data.select(*kcols, _BK, *rest).repartition(*part)
+    # 2. per (keys, bucket) max of what a task has received.  The struct names
+    #    every column, so this branch asks for the same exchange as the window
+    #    and Spark reuses it instead of reading the source a second time.
+    whole = F.max(F.struct(value, *[c for c in rest if c != value and _ordered(kdata.schema[c].dataType)]))
+    bmax = kdata.groupBy(*part).agg(whole.alias("__pw_m")).select(*part, F.col("__pw_m").getField(value).alias(_CARRY))
+    carry = _exclusive_max(bmax, part[:-1])
+    # 3. running max inside the bucket, then the carry of earlier buckets joined
+    #    on the same columns: the data side already has that partitioning and
+    #    order, so only the small carry side moves (or is broadcast when AQE
+    #    finds it small at run time).
     w = Window.partitionBy(*part).orderBy(F.col(seq)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = kdata.withColumn(_LOCAL, F.max(value).over(w))
     joined = local.join(carry, part, "left")
-    result = joined.withColumn(out, F.greatest(F.col(_LOCAL), F.col(_CARRY)))
-    return result.drop(_BK, _CARRY, _LOCAL, _KEY)
+    back = [F.col(_KEY).getField(c).alias(c) if c in keys else F.col(c) for c in df.columns]
+    return joined.select(*back, F.greatest(F.col(_LOCAL), F.col(_CARRY)).alias(out))
+
+
+def _ordered(t: T.DataType) -> bool:
+    """Whether values of a type can be compared (a map's cannot)."""
+    if isinstance(t, T.StructType):
+        return all(_ordered(f.dataType) for f in t.fields)
+    if isinstance(t, T.ArrayType):
+        return _ordered(t.elementType)
+    return not isinstance(t, (T.MapType, T.VariantType))
+
+
+def _exclusive_max(bmax: DataFrame, keys: list[str]) -> DataFrame:
+    """The max of all earlier buckets of the same keys, in two levels: runs of
+    ``RUN_BUCKETS`` bucket numbers each get their prefix inside the run, and the
+    runs (one row each) get theirs among runs.  A sequence with gaps may give
+    nearly every row a bucket of its own; a task then still holds one run, or
+    one row a run, never all buckets of a key."""
+    run = "__pw_run"
+    runs = bmax.withColumn(run, F.floor(F.col(_BK) / F.lit(RUN_BUCKETS)))
+    top = runs.groupBy(*keys, run).agg(F.max(_CARRY).alias("__pw_top"))
+    among = Window.partitionBy(*keys).orderBy(run).rowsBetween(Window.unboundedPreceding, -1)
+    top = top.select(*keys, run, F.max("__pw_top").over(among).alias("__pw_before"))
+    inside = Window.partitionBy(*keys, run).orderBy(_BK).rowsBetween(Window.unboundedPreceding, -1)
+    held = runs.select(*keys, run, _BK, F.max(_CARRY).over(inside).alias(_CARRY))
+    both = held.join(top, [*keys, run], "left").select(*keys, _BK, F.greatest(_CARRY, "__pw_before").alias(_CARRY))
+    return both.where(F.col(_CARRY).isNotNull())
 
 
 def lateness(
