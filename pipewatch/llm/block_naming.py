@@ -123,14 +123,15 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     judged = saved(groups(docs, id_col, text), "block_judged")
     per = judged.groupBy("doc_id").agg(F.count("*").alias("_rows"), F.count_if("kept").alias("_kept"))
     per = per.withColumnRenamed("doc_id", "_id")
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("_id"))
     # Ids of which no row stays leave; a repeated id of which some rows stay is settled by its texts.
-    stay = docs.join(per.where("_kept < _rows").select("_id"), same, "left_anti")
+    gone = per.where("_kept < _rows").select("_id").alias("gone")
+    stay = docs.alias("docs").join(gone, F.col(f"docs.`{id_col}`").eqNullSafe(F.col("gone._id")), "left_anti")
     some = per.where("_kept > 0 AND _kept < _rows").select("_id")
     if some.isEmpty():
         return stay
     texts = judged.where("kept").select(F.col("doc_id").alias("_id"), "text_sha256").join(some.withColumnRenamed("_id", "_i"), F.col("_id").eqNullSafe(F.col("_i"))).drop("_i")
-    sha = F.sha2(normalised(F.col(f"`{text}`")), 256)
-    part = docs.withColumn("_sha", sha).join(texts, same & (F.col("_sha") == F.col("text_sha256")))
-    part = part.dropDuplicates(["_id", "_sha"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # The whole row travels in one struct: none of its columns clashes with those of the join.
+    part = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{id_col}`").alias("i"), F.sha2(normalised(F.col(f"`{text}`")), 256).alias("t"))
+    part = part.join(texts, F.col("i").eqNullSafe(F.col("_id")) & (F.col("t") == F.col("text_sha256")))
+    part = part.dropDuplicates(["i", "t"]).select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
     return stay.unionByName(part)

@@ -348,7 +348,7 @@ def deduplicated(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "
     per = per.groupBy(F.col("doc_id").alias("_gone")).agg(F.sum("r").alias("_rows"), F.sum("k").alias("_kept")).where("_kept < _rows")
     per = saved(per, "neardup_gone")
     # Ids of which no row stays leave; a repeated id of which some rows stay is settled by its texts.
-    stay = docs.join(per.select("_gone"), F.col(f"`{id_col}`").eqNullSafe(F.col("_gone")), "left_anti")
+    stay = docs.alias("docs").join(per.select("_gone").alias("per"), F.col(f"docs.`{id_col}`").eqNullSafe(F.col("per._gone")), "left_anti")
     some = per.where("_kept > 0").select("_gone")
     if some.isEmpty():
         return stay

@@ -91,11 +91,11 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url", default: str = "a
     met = asked.join(side, (F.col("_prefix") == F.col("rule_prefix")) & (F.col("_digest") == F.col("rule_digest")))
     best = F.min_by(F.struct("rule", "verdict"), F.struct((-F.col("rule_length")).alias("n"), F.col("rule")))
     judged = met.groupBy("host", "path").agg(best.alias("_best"))
-    found = base.join(judged, ["host", "path"], "left")
+    found = base.alias("base").join(judged.alias("judged"), ["host", "path"], "left")
     return found.select(
-        *[f"`{c}`" for c in keep],
+        *[f"base.`{c}`" for c in keep],
         "host",
         "path",
-        F.col("_best.rule").alias("rule"),
-        F.coalesce(F.col("_best.verdict"), F.lit(default)).alias("verdict"),
+        F.col("judged._best.rule").alias("rule"),
+        F.coalesce(F.col("judged._best.verdict"), F.lit(default)).alias("verdict"),
     )

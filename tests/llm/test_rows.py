@@ -316,3 +316,20 @@ def test_ranks_are_gapless_over_ranges(spark):
     for k in (True, False):
         mine = sorted((r for r in got if r.k == k), key=lambda r: (r["at"], r.id))
         assert [r["rank"] for r in mine] == list(range(len(mine)))
+
+
+def test_internal_names_of_columns_pass_through(spark):
+    """Columns named as the operators name theirs inside, repeated ids too."""
+    from pipewatch.llm import block_naming, bottomk_dedup, url_filter
+
+    names = ["_id", "_sha", "_rows", "_kept", "_gone", "_best", "_i", "doc", "i", "t", "gone", "docs", "per", "base", "judged", "_digest", "_prefix"]
+    rows = [(1, "a b", "x"), (2, "a  b", "x"), (2, "c d", "x"), (2, "c d", "x"), (3, None, "x")]
+    docs = spark.createDataFrame([(i, t, u, *names) for i, t, u in rows], ["doc_id", "text", "url", *names])
+    for kept in (block_naming.deduplicated(docs), bottomk_dedup.deduplicated(docs, n=2)):
+        assert kept.columns == docs.columns
+        got = kept.collect()
+        assert sorted((r.doc_id, r.text) for r in got) == [(1, "a b"), (2, "c d"), (3, None)]
+        assert all([r[n] for n in names] == names for r in got)
+    rules = spark.createDataFrame([("net/", "block")], "rule string, verdict string")
+    judged = url_filter.judge(docs.withColumn("url", F.lit("http://a.net/p")), rules).collect()
+    assert len(judged) == 5 and all(r.rule == "net/" and [r[n] for n in names] == names for r in judged)
