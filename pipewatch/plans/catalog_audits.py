@@ -152,6 +152,7 @@ def i7_i2_inventory_then_add(spark, sf_dir):
     return cg.add_new(cg.add_new(known, incoming, ["name"]), incoming, ["name"])
 
 
+# The date pattern that ends a snapshot's name, its 23 characters, and the shift to local time (8 hours).
 def _snap_sql(start: str, end: str) -> str:
     return f"""
     SELECT cluster, identifier, create_time,
@@ -217,6 +218,7 @@ def i8_i2_i9_snapshot_inventory(spark, sf_dir):
     return cg.apply_retention(cg.add_new(stored, listed, ["identifier", "create_time"]), "create_time", dt.datetime(1998, 6, 6))
 
 
+# Fixed value: the pattern that ends the name of a restored cluster.
 @register(
     "i10_restored_clusters",
     f"""SELECT identifier FROM ({fx.CLUSTERS}) WHERE regexp_matches(identifier, 'snapshot-\\d{{8}}t\\d{{6}}$')""",

@@ -68,6 +68,7 @@ def _iso_text(spark, sf_dir):
     return o.select(k.alias("o_orderkey"), text.alias("text"))
 
 
+# The pattern of an ISO time, and the shift to local time (8 hours).
 @register(
     "k5_to_local",
     """WITH s AS (SELECT o_orderkey, CASE o_orderkey % 3
