@@ -22,6 +22,7 @@ from pipewatch.streaming.lateness import (
     run_update_to_parquet,
     windowed_counts_with_watermark,
 )
+from pipewatch.streaming.lateness_state import run_late_rows, stored_tops
 from pipewatch.streaming.sources import table_stream
 
 
@@ -102,6 +103,28 @@ def s2_late_rows_batched(spark, sf_dir):
     return read_batches(spark, path)
 
 
+def _replayed_by_processor(spark, sf_dir):
+    """Late rows and checkpoint of the orders topic, stopped and started again
+    for each quarter; a key's rows beyond one Arrow batch are sorted by ranges."""
+    log = derived.orders_log(spark, sf_dir)
+    src, path, ckpt = (work_dir(spark, "late_processor", n) for n in ("src", "data", "checkpoint"))
+    for i in range(REPLAY_PARTS):
+        _write_part(log, src, i)
+        late = run_late_rows(extract_events(spark.readStream.schema(log.schema).parquet(src)), path, ckpt)
+    return late, ckpt
+
+
+@register("s2_late_rows_processor", _disorder_sql(fx.ORDERS_EXTRACTED, "key", topn=None))
+def s2_late_rows_processor(spark, sf_dir):
+    return _replayed_by_processor(spark, sf_dir)[0]
+
+
+@register("s2_stored_tops", f"""SELECT "partition", "key", max(ts) AS max_ts FROM ({fx.ORDERS_EXTRACTED}) GROUP BY 1, 2""")
+def s2_stored_tops(spark, sf_dir):
+    """What the state store holds of each key after the last restart."""
+    return stored_tops(spark, _replayed_by_processor(spark, sf_dir)[1])
+
+
 @register(
     "s4_load_lag",
     f"""SELECT db, name, state,
