@@ -10,10 +10,12 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pipewatch.session import work_dir
+
 # The warehouse type names and the CDC / serving rules.
 DEFAULT_VARCHAR_LENGTH = 65535
 CDC_KEEP_TYPES = ("smallint", "integer", "bigint", "date", "timestamp", "real", "double precision")
@@ -273,12 +275,51 @@ def conform_cdc(df: DataFrame, column_types: Sequence[tuple[str, str]], event_ti
     return split_cdc(df, column_types, event_time)[0]
 
 
-def write_cdc(df: DataFrame, path: str, mode: str = "append") -> None:
+#: Rows of a file at most (about 128 MB of change rows), and what a file costs to open, in rows.
+FILE_ROWS, FILE_COST = 1_000_000, 5_000
+
+
+def clustered(df: DataFrame, hour: str = CDC_PARTITION, file_rows: int = FILE_ROWS, writers: int | None = None) -> DataFrame:
+    """``df`` dealt to writers by how many rows each ``hour`` has, counted
+    first (one aggregate over that column, written to the shared folder).
+
+    An hour is cut into ``ceil(rows / file_rows)`` pieces, by the hash of the
+    whole row: equal rows share a piece.  Pieces lie one after the other, in
+    order of hours, and are cut into ``writers`` stretches of equal work (rows
+    plus a fixed cost for each file; by default one writer for each
+    ``file_rows``, and at least one for each core).  So small hours share a
+    writer and a large one has several.  An hour has a file for each piece at
+    most, but for pieces that the hash made larger than ``file_rows``."""
+    spark = df.sparkSession
+    pieces = F.ceil(F.col("n") / F.lit(file_rows)).cast("bigint")
+    per = df.groupBy(F.col(f"`{hour}`").alias("__h")).agg(F.count(F.lit(1)).alias("n")).select("__h", pieces.alias("__pieces"), (F.col("n") + pieces * FILE_COST).alias("__work"))
+    folder = work_dir(spark, "hours")
+    per.write.parquet(folder)
+    per = spark.read.parquet(folder)
+    total = per.agg(F.sum("__work")).first()[0] or 0
+    writers = writers or max(spark.sparkContext.defaultParallelism, -(-total // file_rows))
+    # A row for each hour goes through this window: as many as the table has partition folders.
+    before = F.sum("__work").over(Window.orderBy("__h").rowsBetween(Window.unboundedPreceding, -1))
+    plan = per.withColumn("__before", F.coalesce(before, F.lit(0)))
+    piece = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col("__pieces"))
+    middle = F.col("__before") + (piece + 0.5) * F.col("__work") / F.col("__pieces")
+    writer = F.least(F.lit(writers - 1), F.floor(middle * writers / max(total, 1))).cast("int")
+    dealt = df.join(plan, F.col(f"`{hour}`").eqNullSafe(F.col("__h"))).withColumn("__writer", writer)
+    return dealt.repartitionById(writers, "__writer").select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def write_cdc(df: DataFrame, path: str, mode: str = "append", file_rows: int = FILE_ROWS) -> None:
     """Write conformed rows as Parquet partitioned by the string
-    ``event_time``.  The ``rebalance`` hint shuffles rows of one partition
-    value to the same writer (few files per folder) and lets AQE split a
-    hot hour over several writers and merge small ones."""
-    df.hint("rebalance", CDC_PARTITION).write.mode(mode).partitionBy(CDC_PARTITION).parquet(path)
+    ``event_time``, dealt to writers by :func:`clustered`; no file has more
+    than ``file_rows`` rows."""
+    writer = clustered(df, file_rows=file_rows).write.mode(mode).option("maxRecordsPerFile", file_rows)
+    writer.partitionBy(CDC_PARTITION).parquet(path)
+
+
+def file_counts(spark: SparkSession, path: str) -> DataFrame:
+    """``event_time, files, rows`` of a CDC folder (rows without an hour apart)."""
+    files = spark.read.schema(f"{CDC_PARTITION} string").parquet(path).select(CDC_PARTITION, F.col("_metadata.file_path").alias("f"))
+    return files.groupBy(CDC_PARTITION).agg(F.countDistinct("f").alias("files"), F.count(F.lit(1)).alias("rows"))
 
 
 def read_cdc(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

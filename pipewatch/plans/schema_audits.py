@@ -161,6 +161,18 @@ def c2_conform_cdc(spark, sf_dir):
     return sc.read_cdc(spark, path, conformed.schema)
 
 
+@register(
+    "c2_files_of_hours",
+    f"""SELECT event_time, CAST(1 AS BIGINT) AS files, count(*) AS "rows" FROM ({fx.CDC_SOURCE}) GROUP BY event_time""",
+)
+def c2_files_of_hours(spark, sf_dir):
+    """Files of each hour after a clustered write: one while an hour fits it."""
+    src = derived.cdc_source(spark, sf_dir)
+    path = work_dir(spark, "cdc", "orders_files")
+    sc.write_cdc(sc.conform_cdc(src, [("o_orderkey", "bigint"), ("op", "char(1)")]), path, mode="overwrite")
+    return sc.file_counts(spark, path)
+
+
 # A target that some rows of orders do not fit.
 _TIGHT = [("o_orderkey", "bigint"), ("o_orderpriority", "varchar(8)"), ("note", "integer"), ("op", "char(1)")]
 
