@@ -12,6 +12,7 @@ from pipewatch.plans.registry import register
 from pipewatch.plans.topic_audits import _disorder_sql
 from pipewatch.session import work_dir
 from pipewatch.sources import derived
+from pipewatch.streaming import ledger
 from pipewatch.streaming.lag import load_lag
 from pipewatch.streaming.landing import land_available
 from pipewatch.streaming.lateness import (
@@ -63,6 +64,52 @@ def s1_landing_resumed(spark, sf_dir):
     return good.unionByName(spark.read.parquet(bad).select("partition", "offset", F.col("reason").alias("outcome")))
 
 
+def _outcomes(spark, path):
+    good = ledger.landed(spark, path).select("partition", "offset", F.lit("landed").alias("outcome"))
+    return good.unionByName(ledger.rejected(spark, path).select("partition", "offset", F.col("reason").alias("outcome")))
+
+
+@register(
+    "s1_landing_ledger",
+    f"""SELECT "partition", "offset", 'landed' AS outcome FROM ({fx.EVENTS_EXTRACTED})
+        UNION ALL SELECT 0, event_id, 'event time missing or unparsable' FROM events WHERE event_id % 97 = 0""",
+)
+def s1_landing_ledger(spark, sf_dir):
+    """One pass with a ledger; the checkpoint is lost after half of the log,
+    and the ledger alone keeps what had landed from landing again."""
+    log = derived.events_log(spark, sf_dir)
+    src, path = (work_dir(spark, "ledger", n) for n in ("src", "data"))
+    for half in range(2):
+        ckpt = work_dir(spark, "ledger", "checkpoint")
+        for i in range(half * 2, half * 2 + 2):
+            _write_part(log, src, i)
+            ledger.land_available(spark.readStream.schema(log.schema).parquet(src), path, ckpt)
+    return _outcomes(spark, path)
+
+
+_STEP = f"""((SELECT max("offset") FROM ({fx.EVENTS_LOG})) // {REPLAY_PARTS} + 1)"""
+
+
+@register(
+    "s1_landing_reset_to_end",
+    f"""SELECT * FROM (SELECT "partition", "offset", 'landed' AS outcome FROM ({fx.EVENTS_EXTRACTED})
+            UNION ALL SELECT 0, event_id, 'event time missing or unparsable' FROM events WHERE event_id % 97 = 0)
+        WHERE "offset" // {_STEP} <> 2""",
+)
+def s1_landing_reset_to_end(spark, sf_dir):
+    """Reset to the end of the log after its third quarter has arrived, which
+    has not landed by then: the fourth goes on behind it."""
+    log = derived.events_log(spark, sf_dir)
+    src, path, ckpt = (work_dir(spark, "ledger_reset", n) for n in ("src", "data", "checkpoint"))
+    for i in range(REPLAY_PARTS):
+        _write_part(log, src, i)
+        if i == 2:
+            ledger.reset_to_end(spark.read.schema(log.schema).parquet(src), path)
+        else:
+            ledger.land_available(spark.readStream.schema(log.schema).parquet(src), path, ckpt)
+    return _outcomes(spark, path)
+
+
 @register("s2_late_rows_stream", _disorder_sql(fx.ORDERS_EXTRACTED, "key", topn=None))
 def s2_late_rows_stream(spark, sf_dir):
     events = extract_events(derived.orders_as_log(table_stream(spark, sf_dir, "orders")))
