@@ -10,6 +10,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from pipewatch.plans.keyfilter import key_filter, possible
 
 # CDC partition rule, serving-table buckets, copy naming.
 MIN_EVENT_TIME_LENGTH = 13  # "yyyy/MM/dd/HH"
@@ -49,6 +52,43 @@ def backfill(src: DataFrame, tgt: DataFrame, lo: str, hi: str, key: str = "id",
     return cand.join(tgt.select(key), key, "left_anti")
 
 
+#: Key types whose equal values have equal hashes (floating zeros do not).
+_HASHED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType, T.BinaryType)
+
+
+def _hashed(t: T.DataType) -> bool:
+    return isinstance(t, _HASHED) or t == T.StringType()
+
+
+def thinned_keys(cand: DataFrame, tgt: DataFrame, key: str, count: int | None = None) -> DataFrame:
+    """The keys of ``tgt`` that can be among those of ``cand`` (all that are,
+    and some that are not), by a key filter of at most 16 MB whatever either
+    side holds.  ``count``: about how many rows ``cand`` has; counted if not
+    given.  Keys of unlike types, or of a type whose equal values may differ
+    in their bytes, are not thinned."""
+    kind = cand.schema[key].dataType
+    keys = tgt.select(key)
+    if kind != tgt.schema[key].dataType or not _hashed(kind):
+        return keys
+    h = F.xxhash64(F.col(f"`{key}`"))
+    known = cand.where(F.col(f"`{key}`").isNotNull()).select(key)
+    return possible(keys.where(F.col(f"`{key}`").isNotNull()), h, key_filter(known, h, known.count() if count is None else count))
+
+
+def backfill_thinned(src: DataFrame, tgt: DataFrame, lo: str, hi: str, key: str = "id", event_time: str = "event_time", count: int | None = None) -> DataFrame:
+    """The rows of :func:`backfill`, for a few hours into a large table: a key
+    filter of the hours' keys leaves of the target only the keys that may be
+    met, before anything of it is shuffled.  The exact anti join follows.  The
+    hours' keys are read twice, and a third time where ``count`` is not
+    given."""
+    cols = backfill_columns(src, tgt)
+    if key not in cols:
+        raise ValueError(f"key {key!r} is not a common column")
+    et = F.col(event_time)
+    cand = src.where((F.length(et) >= MIN_EVENT_TIME_LENGTH) & et.between(lo, hi)).select(*cols)
+    return cand.join(thinned_keys(cand, tgt, key, count), key, "left_anti")
+
+
 def append(df: DataFrame, path: str) -> None:
     """Append rows to a Parquet table folder in the table's own columns and
     types: columns that ``df`` lacks are null, columns that the table lacks

@@ -35,6 +35,17 @@ def l1_backfill(spark, sf_dir):
     return ld.backfill(src, _backfill_target(spark, sf_dir), BACKFILL_LO, BACKFILL_HI, key="o_orderkey")
 
 
+@register(
+    "l1_backfill_thinned",
+    f"""SELECT o_custkey, o_orderdate, o_orderkey, o_orderstatus, o_totalprice FROM ({fx.CDC_SOURCE}) s
+        WHERE length(event_time) >= 13 AND event_time BETWEEN '{BACKFILL_LO}' AND '{BACKFILL_HI}'
+          AND NOT EXISTS (SELECT 1 FROM orders t WHERE t.o_orderkey % 4 <> 0 AND t.o_orderkey = s.o_orderkey)""",
+)
+def l1_backfill_thinned(spark, sf_dir):
+    src = derived.cdc_source(spark, sf_dir)
+    return ld.backfill_thinned(src, _backfill_target(spark, sf_dir), BACKFILL_LO, BACKFILL_HI, key="o_orderkey")
+
+
 @register(
     "l1_append_reads_back",
     f"""WITH t AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderkey % 10 AS only_target
