@@ -6,7 +6,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,6 +22,8 @@ RESTORE_SCHEMA = "temp"
 RESTORE_STAMP = "%Y%m%d%H%M"
 LOCAL_OFFSET_HOURS = 8
 HEAD_ROWS = 3
+#: Files whose numbers a load broadcasts (some 200 bytes each).
+LISTED_FILES = 100_000
 SKIP_DATABASES = ("information_schema", "test", "doris_audit_db__")
 SKIP_DATABASE_PREFIX = "rs_"
 MODELS = ("detail", "unique", "aggregate")
@@ -117,6 +120,20 @@ def unload(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+@contextmanager
+def open_writers(spark: SparkSession, most: int = 100) -> Iterator[None]:
+    """Partitioned writes inside keep a file open for each partition folder
+    (up to ``most`` a task) instead of sorting their rows by folder; the
+    session's setting is back afterwards."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def load(spark: SparkSession, path: str, cols: Sequence[str], label: str, attempt: int = 1) -> DataFrame:
     """Read the Parquet files under ``path`` (the exact folder, not a name
     prefix; partition folders included) with a fixed column list; every row
@@ -126,12 +143,17 @@ def load(spark: SparkSession, path: str, cols: Sequence[str], label: str, attemp
 
     Files are told apart by their whole path, so equal names in different
     partition folders stay apart.  The numbers come from the scan's own file
-    listing (which Spark holds for planning anyway), one row per file."""
+    listing (which Spark holds for planning anyway), one row per file, and are
+    broadcast up to ``LISTED_FILES``: a shuffle by file would sort all rows of
+    a file in one task."""
     stored_rows = spark.read.parquet(path)
     local = lambda c: F.regexp_replace(c, "^file:/+", "file:/")  # noqa: E731 - the scan and the listing write local paths differently
     staged = stored_rows.select(*cols, local(F.col("_metadata.file_path")).alias("__file"))
-    listed = spark.createDataFrame([(f,) for f in stored_rows.inputFiles()], "__file string")
+    files = stored_rows.inputFiles()
+    listed = spark.createDataFrame([(f,) for f in files], "__file string")
     numbers = listed.select(local(F.col("__file")).alias("__file")).distinct().withColumn("__n", F.row_number().over(Window.orderBy("__file")))
+    if len(files) <= LISTED_FILES:
+        numbers = F.broadcast(numbers)
     tag = F.concat(F.lit(f"{label}__{attempt}__"), F.col("__n").cast("string"))
     return staged.join(numbers, "__file").select(*cols, tag.alias("label"))
 

@@ -198,3 +198,20 @@ def test_catalog_heads_skips_system_and_rs(spark, tmp_dir):
     names = {r.table_name for r in got.collect()}
     assert f"{keep}.t" in names and f"{skip}.t" not in names
     assert got.where(F.col("table_name") == f"{keep}.t").count() == 2
+
+
+def test_load_keeps_rows_of_a_file_apart_from_one_task(spark, tmp_dir):
+    """Neither the write of one task nor the load sorts the rows of a folder."""
+    path = tmp_dir
+    rows = spark.range(1000).select("id", (F.col("id") % 3).alias("flag"))
+    with ld.open_writers(spark):
+        rows.repartition(1, "flag").write.partitionBy("flag").parquet(path)
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) == 0
+    files = spark.read.parquet(path).inputFiles()
+    assert len(files) == 3 and len({f.rsplit("/", 1)[1] for f in files}) == 1
+    got = ld.load(spark, path, ["id", "flag"], "x")
+    assert got.groupBy("label").agg(F.count("*"), F.min("flag"), F.max("flag")).orderBy("label").collect() == [
+        (f"x__1__{i + 1}", 334 if i == 0 else 333, i, i) for i in range(3)
+    ]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
