@@ -1,12 +1,13 @@
 """S2 with ``transformWithState``: per-key lateness on a stream, its running
-maximum in a state variable that can be read back.
+maxima in a state variable that can be read back.
 
-The state of a key is the largest event time seen (``top``), in RocksDB.  The
-rows of a key reach the processor in Arrow batches of bounded size, in no
-order.  A key whose rows fill one batch is sorted there.  Rows of a key that
-go on over more batches are put aside in the state store, by range of ``seq``,
-and taken up range by range in order; so a worker holds one Arrow batch or the
-rows of one range of a key, never all its rows.
+Keys are dealt to buckets (``key_buckets``); the state of a bucket is the
+largest event time seen of each of its keys (``top``), in RocksDB.  The rows of
+a bucket reach the processor in Arrow batches of bounded size, in no order.  A
+bucket whose rows fill one batch is sorted there.  Rows of a bucket that go on
+over more batches are put aside in the state store, by range of ``seq``, and
+taken up range by range in order; so a worker holds one Arrow batch or the rows
+of one range of a bucket, never all rows of a key.
 
 Rows, ties and nulls: a row is late if an earlier one of its key (smaller
 ``seq``, or an earlier micro-batch) has a larger event time.  A null event
@@ -28,81 +29,75 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from pipewatch.plans.scan import DEFAULT_BUCKET_WIDTH
+from pipewatch.streaming.key_buckets import LAST, Tops, bucket, key_columns, key_name
 
 #: ``transformWithState`` needs this state store.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 TOP = "top"
-#: Stands for a null ``seq``.
-_LAST = 2**63 - 1
-_PAIR = np.dtype([("seq", "<i8"), ("ts", "<f8")])
+_ROW = np.dtype([("at", "<i8"), ("seq", "<i8"), ("ts", "<f8")])
+_RESULT = "name string, diff_ts bigint, id bigint"
 
 
-def _pairs(frame: pd.DataFrame) -> np.ndarray:
-    out = np.empty(len(frame), _PAIR)
+def _rows(frame: pd.DataFrame) -> np.ndarray:
+    out = np.empty(len(frame), _ROW)
+    out["at"] = frame.get("at", 0)  # rows of one key need no number
     out["seq"] = frame["seq"].to_numpy(dtype="int64")
     out["ts"] = frame["ts"].to_numpy(dtype="float64")
     return out
 
 
 class Lateness(StatefulProcessor):
-    """Late rows of a key; ``width``: the range of ``seq`` that is sorted at
-    once when a key's rows go on over more than one Arrow batch."""
+    """Late rows of a bucket of keys, whose columns have the types ``kinds``;
+    ``width``: the range of ``seq`` that is sorted at once when a bucket's rows
+    go on over more than one Arrow batch."""
 
-    def __init__(self, keys: Sequence[str], width: int, idle_ms: int | None) -> None:
-        self.keys, self.width, self.idle_ms = list(keys), width, idle_ms
+    def __init__(self, kinds: Sequence[T.DataType], width: int, idle_ms: int | None) -> None:
+        self.kinds, self.width, self.idle_ms = list(kinds), width, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.top = handle.getValueState(TOP, "max_ts bigint", self.idle_ms)
+        times = T.ArrayType(T.LongType())
+        kept = T.StructType().add("names", T.ArrayType(T.StringType())).add("tops", times).add("seen", times)
+        # Always null: its type tells a reader of the state the types of the key columns.
+        kept = kept.add("like", T.StructType([T.StructField(f"k{i}", k) for i, k in enumerate(self.kinds)]))
+        self.top = handle.getValueState(TOP, kept, self.idle_ms)
         # (range of seq, running number) -> rows put aside; empty between micro-batches
         self.aside = handle.getMapState("aside", "range bigint, n bigint", "rows binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        stored = self.top.get() if self.top.exists() else None
-        before = top = float("nan") if stored is None else float(stored[0])
+        stored = self.top.get()
+        now = 0 if self.idle_ms is None else timerValues.getCurrentProcessingTimeInMs()
+        tops = Tops(None if stored is None else stored[:3], now, self.idle_ms)
         first = next(rows, None)
         if first is None:
             return
         second = next(rows, None)
-        if second is None:
-            late, top = self._late(key, _pairs(first), top)
-            yield late
-        else:
-            for pairs in self._in_order(first, second, rows):
-                late, top = self._late(key, pairs, top)
-                yield late
-        if top != before and not np.isnan(top) or self.idle_ms is not None and not np.isnan(top):
-            self.top.update((int(top),))  # with a time to live, a visit renews it
+        numbered = (frame.assign(at=tops.numbers(frame["name"])) for frames in ((first, second), rows) for frame in frames if frame is not None)
+        for part in [_rows(next(numbered))] if second is None else self._in_order(next(numbered), next(numbered), numbered):
+            part = part[np.argsort(part["ts"], kind="stable")]
+            yield tops.late(part["at"], part["seq"], part["ts"])
+        left = tops.stored()
+        if left[0] and (stored is None or self.idle_ms is not None or left[:2] != (list(stored[0]), list(stored[1]))):
+            self.top.update((*left, None))  # with a time to live, a visit renews it
 
     def _in_order(self, *frames) -> Iterator[np.ndarray]:
         first, second, rest = frames
         put: dict[int, list[int]] = {}
         n = 0
         for frame in (f for part in ((first, second), rest) for f in part):
-            pairs = _pairs(frame)
-            ranges = pairs["seq"] // self.width
+            rows = _rows(frame)
+            ranges = rows["seq"] // self.width
             for r in np.unique(ranges).tolist():
-                self.aside.updateValue((r, n), (pairs[ranges == r].tobytes(),))
+                self.aside.updateValue((r, n), (rows[ranges == r].tobytes(),))
                 put.setdefault(r, []).append(n)
                 n += 1
         for r in sorted(put):
             blobs = [bytes(self.aside.getValue((r, i))[0]) for i in put[r]]
-            yield np.frombuffer(b"".join(blobs), _PAIR)
+            yield np.frombuffer(b"".join(blobs), _ROW)
             for i in put[r]:
                 self.aside.removeKey((r, i))
 
-    def _late(self, key, pairs: np.ndarray, top: float) -> tuple[pd.DataFrame, float]:
-        pairs = pairs[np.lexsort((pairs["ts"], pairs["seq"]))]
-        running = np.fmax(np.fmax.accumulate(pairs["ts"]), top)  # fmax: a null time is passed over
-        late = running > pairs["ts"]
-        # Of type object: frames of many keys are put together, and Arrow text would come out in chunks.
-        out = {k: pd.Series([v] * int(late.sum()), dtype=object) for k, v in zip(self.keys, key)}
-        ids = pd.array(pairs["seq"][late], dtype="Int64")
-        ids[pairs["seq"][late] == _LAST] = pd.NA
-        out |= {"diff_ts": (running - pairs["ts"])[late].astype("int64"), "id": ids}
-        return pd.DataFrame(out), float(running[-1])
-
     def close(self) -> None:
         pass
 
@@ -126,19 +121,16 @@ def late_rows_processor(
     clash = {"diff_ts", "id"} & set(keys)
     if clash:
         raise ValueError(f"the result has columns {sorted(clash)} of its own")
-    # Keys travel under names that meet neither seq nor ts nor each other.
-    inner = [f"k{i}" for i in range(len(keys))]
+    kinds = [events.schema[k].dataType for k in keys]
     narrow = events.select(
-        *[F.col(f"`{k}`").alias(i) for k, i in zip(keys, inner)],
-        F.coalesce(F.col(f"`{seq}`").cast("bigint"), F.lit(_LAST)).alias("seq"),  # whole numbers stay so without nulls
+        key_name([F.col(f"`{k}`") for k in keys], kinds).alias("name"),
+        F.coalesce(F.col(f"`{seq}`").cast("bigint"), F.lit(LAST)).alias("seq"),  # whole numbers stay so without nulls
         F.col(f"`{ts}`").cast("bigint").alias("ts"),
     )
-    fields = [T.StructField(i, events.schema[k].dataType) for k, i in zip(keys, inner)]
-    schema = T.StructType([*fields, T.StructField("diff_ts", T.LongType()), T.StructField("id", T.LongType())])
-    found = narrow.groupBy(*inner).transformWithStateInPandas(
-        Lateness(inner, width, idle_ms), schema, "append", "none" if idle_ms is None else "processingTime"
+    found = narrow.withColumn("bucket", bucket(F.col("name"))).groupBy("bucket").transformWithStateInPandas(
+        Lateness(kinds, width, idle_ms), _RESULT, "append", "none" if idle_ms is None else "processingTime"
     )
-    return found.select(*[F.col(i).alias(k) for k, i in zip(keys, inner)], "diff_ts", "id")
+    return found.select(*[c.alias(k) for c, k in zip(key_columns(F.col("name"), kinds), keys)], "diff_ts", "id")
 
 
 @contextmanager
@@ -174,4 +166,6 @@ def stored_tops(spark: SparkSession, checkpoint: str, keys: Sequence[str] = ("pa
         reader = reader.option("batchId", batch)
     with rocksdb_state(spark):
         state = reader.load()
-    return state.select(*[F.col("key").getField(f"k{i}").alias(k) for i, k in enumerate(keys)], F.col("value.max_ts").alias("max_ts"))
+    kinds = [f.dataType for f in state.schema["value"].dataType["like"].dataType]
+    each = state.select(F.explode(F.arrays_zip("value.names", "value.tops")).alias("x"))
+    return each.select(*[c.alias(k) for c, k in zip(key_columns(F.col("x.names"), kinds), keys)], F.col("x.tops").alias("max_ts"))
