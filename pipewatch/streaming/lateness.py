@@ -1,13 +1,14 @@
 """Per-key lateness on a stream, with the running maximum held as
 state; S3 stream form: a watermark at the measured bound.
 
-State is one ``bigint`` (the max event time seen) per key in Spark's state
-store, checkpointed with the query.  Inside a micro-batch the rows of a key
+State is one ``bigint`` (the max event time seen) per key, many keys to a
+bucket (``key_buckets``), in Spark's state store, checkpointed with the query.
+Inside a micro-batch the rows of a key
 are sorted by ``seq`` before the running max is taken, so the late rows of
 a replay equal the batch per-key disorder (T6).  Rows of a key that arrive
 in a later micro-batch with a smaller ``seq`` are exactly the disorder
 being measured.  In :func:`late_rows_stream` one worker sorts the rows of a
-key, so a hot key must be bounded per batch by the trigger size
+bucket, so a hot key must be bounded per batch by the trigger size
 (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``);
 :func:`run_late_rows_batched` splits it."""
 
@@ -21,40 +22,32 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from pipewatch.plans.scan import DEFAULT_BUCKET_WIDTH, running_max
+from pipewatch.streaming.key_buckets import LAST, Tops, bucket, key_columns, key_name
 
-STATE_SCHEMA = "max_ts bigint"
+#: Of a bucket of keys, in parallel: names, largest event times, when last seen.
+STATE_SCHEMA = "names array<string>, tops array<bigint>, seen array<bigint>"
 
 
-def _late_rows(seq: str, ts: str, keys: Sequence[str], idle_ms: int | None = None):
-    import numpy as np
+def _late_rows(idle_ms: int | None = None):
     import pandas as pd
 
     def fn(key, pdfs, state):
-        if state.hasTimedOut:  # idle key: forget its running max
+        if state.hasTimedOut:  # idle keys: forget their running max
             state.remove()
             return
         frames = list(pdfs)
         frame = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
         if frame.empty:
             return
-        order = np.argsort(frame[seq].to_numpy(), kind="stable")
-        values = frame[ts].to_numpy(dtype="float64")[order]
-        prior = state.get[0] if state.exists else None
-        running = np.fmax.accumulate(values)  # fmax: a null time never poisons the max
-        if prior is not None:
-            running = np.fmax(running, float(prior))
-        top = running[-1]
-        if np.isfinite(top):
-            state.update((int(top),))
+        now = 0 if idle_ms is None else state.getCurrentProcessingTimeMs()
+        tops = Tops(state.get if state.exists else None, now, idle_ms)
+        at = tops.numbers(frame["name"])
+        late = tops.late(at, frame["seq"].to_numpy(dtype="int64"), frame["ts"].to_numpy(dtype="float64"))
+        state.update(tops.stored())
         if idle_ms is not None:
             state.setTimeoutDuration(idle_ms)
-        late = (running - values) > 0
-        if late.any():
-            n = int(late.sum())
-            out = {k: [v] * n for k, v in zip(keys, key)}  # the group key, one value per late row
-            out["diff_ts"] = (running[late] - values[late]).astype("int64")
-            out["id"] = frame[seq].to_numpy()[order[late]].astype("int64")
-            yield pd.DataFrame(out)
+        if len(late):
+            yield late
 
     return fn
 
@@ -70,7 +63,7 @@ def late_rows_stream(
     (= seq) for every row behind the running max of its key (across
     batches).
 
-    State is one bigint per key.  With ``idle_timeout_ms`` the state of a
+    State is one bigint per key; a null ``seq`` comes last.  With ``idle_timeout_ms`` the state of a
     key that sees no rows for that long (processing time) is removed, which
     bounds the state of a stream whose key space keeps growing; lateness of
     a key that returns after that is measured afresh.  Timeouts need a
@@ -78,11 +71,17 @@ def late_rows_stream(
     scheduling empty batches to fire pending timeouts, so an ``availableNow``
     replay would not end."""
     keys = list(keys)
-    fields = [events.schema[k] for k in keys]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", diff_ts bigint, id bigint"
-    fn = _late_rows(seq, ts, keys, idle_timeout_ms)
+    kinds = [events.schema[k].dataType for k in keys]
+    narrow = events.select(
+        key_name([F.col(f"`{k}`") for k in keys], kinds).alias("name"),
+        F.coalesce(F.col(f"`{seq}`").cast("bigint"), F.lit(LAST)).alias("seq"),
+        F.col(f"`{ts}`").cast("double").alias("ts"),
+    )
     timeout = GroupStateTimeout.NoTimeout if idle_timeout_ms is None else GroupStateTimeout.ProcessingTimeTimeout
-    return events.groupBy(*keys).applyInPandasWithState(fn, schema, STATE_SCHEMA, "append", timeout)
+    found = narrow.withColumn("bucket", bucket(F.col("name"))).groupBy("bucket").applyInPandasWithState(
+        _late_rows(idle_timeout_ms), "name string, diff_ts bigint, id bigint", STATE_SCHEMA, "append", timeout
+    )
+    return found.select(*[c.alias(k) for c, k in zip(key_columns(F.col("name"), kinds), keys)], "diff_ts", "id")
 
 
 def run_late_rows_batched(
