@@ -16,8 +16,15 @@
    those stay that share enough of their shingles with others there at all;
    they are the next level's space, with pivots of their own (the largest
    components that are still apart).
-4. What the last level leaves is joined by runs: in the order of the united shingles of two linked documents, shared ones must stand in a run
-   of ``RUN`` somewhere, for there are too few others to part them all.
+4. What the last level leaves is dealt to regions of single shingles again,
+   now ordered from the rarest in the crowd, so that a passage that many have
+   brings nothing together by itself.  Documents alone in all their regions
+   leave.  The others first meet by runs: in the order of the united shingles
+   of two linked documents, shared ones must stand in a run
+   of ``RUN`` somewhere, for there are too few others to part them all.  Each
+   is compared with the most typical one of each run.  What is then still
+   apart is compared inside the regions, where two documents first meet and
+   if enough shingles of both still follow.
 
 Every step is exact; links are confirmed on full shingle sets.
 """
@@ -49,6 +56,8 @@ SMALL = 64
 #: Shared shingles in a row that two linked documents have if together they have 16 shingles or more
 #: (n united, at most n / 5 not shared: (4 n / 5) / (n / 5 + 1) > 3); with fewer (but more than 4), two.
 RUN, SHORT_RUN, SHORT = 4, 2, 15
+#: Rarer shingles before a shingle that are looked at to meet most pairs once.
+BEFORE = 16
 #: Widens windows against rounding.
 SLACK = 1e-9
 #: One distinct text in so many is read beforehand; shingles that occur twice among them are common.
@@ -197,7 +206,7 @@ def _cross(members: DataFrame, key: str, percent: int, window: Column | None = N
     open_ = per.agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("comps")).where("comps > 1")
     open_ = saved(open_.select(F.col(key).alias("open"), F.col("m.comp").alias("main")), "regions_open")
     held = saved(members.join(open_, F.col(key) == F.col("open")), "regions_held")
-    more = [c for c in ("near", "homed") if c in members.columns]
+    more = [c for c in ("near", "homed", "pos", "pre") if c in members.columns]
     side = lambda s: held.select(F.col(key).alias(f"k{s}"), F.col("cid").alias(s), F.col("n").alias(f"n{s}"), F.col("comp").alias(f"c{s}"), F.col("main").alias(f"m{s}"), *[F.col(c).alias(c + s) for c in more])
     x, y = side("x").where("cx != mx").drop("mx"), side("y")
     ok = (F.col("kx") == F.col("ky")) & (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("my")) | (F.col("x") < F.col("y"))) & _same_size(percent)
@@ -339,24 +348,30 @@ class _Join:
         return saved(left.unionByName(placed.where("home < 0").select("cid")).distinct(), "regions_left")
 
     def by_runs(self, crowd: DataFrame) -> None:
-        """Pairs of the crowd that share a run of shingles."""
+        """Pairs of the crowd that share a run of shingles and a rare one."""
         self.know(crowd)
-        sets = self.with_comp(self.sets.join(crowd, "cid", "left_semi").dropDuplicates(["cid"]).withColumn("n", F.size("set")))
+        sets = self.sets.join(crowd, "cid", "left_semi").dropDuplicates(["cid"]).withColumn("n", F.size("set"))
+        rare = _rare_regions(sets, self.percent)
+        shared = rare.groupBy("region").agg(F.count("*").alias("c")).where("c > 1").select("region")
+        rare = saved(rare.join(saved(shared, "regions_rare_shared"), "region"), "regions_rare_met")
+        typical = saved(rare.select("cid", "typical").distinct(), "regions_typical")
+        sets = self.with_comp(sets.join(typical, "cid"))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in _pieces(batches):
-                keys = [_runs(s.values.to_numpy()) for s in b.column(3)]
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), _arrays(keys)], ["cid", "n", "comp", "runs"])
+                keys = [_runs(s.values.to_numpy()) for s in b.column(4)]
+                yield pa.RecordBatch.from_arrays([*b.columns[:4], _arrays(keys)], ["cid", "n", "comp", "typical", "runs"])
 
-        runs = sets.select("cid", "n", "comp", "set").mapInArrow(run, "cid bigint, n int, comp bigint, runs array<bigint>")
-        runs = saved(runs.select("cid", "n", "comp", F.explode("runs").alias("region")), "regions_runs")
+        runs = sets.select("cid", "n", "comp", "typical", "set").mapInArrow(run, "cid bigint, n int, comp bigint, typical double, runs array<bigint>")
+        runs = saved(runs.select("cid", "n", "comp", "typical", F.explode("runs").alias("region")), "regions_runs")
         # Documents of one component need not meet; a run of one component brings nothing together.
-        open_ = runs.groupBy("region").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("cid").alias("center")).where("lo < hi")
-        met = saved(runs.join(saved(open_.select("region", "center"), "regions_shared_runs"), "region").drop("comp"), "regions_met")
+        best = F.max(F.struct("typical", (-F.col("cid")).alias("c"))).alias("best")
+        open_ = runs.groupBy("region").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), best).where("lo < hi")
+        met = runs.join(saved(open_.select("region", (-F.col("best.c")).alias("center")), "regions_shared_runs"), "region")
         size = self.classes.select(F.col("cid").alias("center"), F.col("n").alias("ny"))
         star = met.where("cid != center").select("cid", "center", F.col("n").alias("nx")).distinct().join(size, "center").where(_same_size(self.percent))
         self.try_pairs(star.select(F.least("cid", "center").alias("a"), F.greatest("cid", "center").alias("b")).distinct())
-        self.try_pairs(_cross(self.with_comp(met.drop("center")), "region", self.percent))
+        self.try_pairs(_cross(self.with_comp(rare.drop("typical")), "region", self.percent, _first_meeting(self.percent)))
 
 
 def _runs(h: np.ndarray) -> np.ndarray:
@@ -373,6 +388,32 @@ def _runs(h: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(out)) if out else np.empty(0, np.int64)
 
 
+def _rare_regions(sets: DataFrame, percent: int) -> DataFrame:
+    """Regions of single shingles (region, cid, n, typical, pos, pre): of each
+    of ``sets`` (cid, n, set) the first shingles, ordered from the rarest
+    among them, with the number of shingles before and the BEFORE last of
+    these.  Shingles of one set only come first of all and have no region.
+    ``typical`` is high for sets of frequent shingles."""
+    each = sets.select("cid", "n", F.explode("set").alias("v"))
+    often = saved(each.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"), "regions_rare")
+    own = possible(each, F.col("v"), key_filter(often, "v", often.count())).join(often, "v").groupBy("cid", "n").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))
+    alone = F.col("n") - F.size("vs")
+    most = F.floor(F.col("n") * (100 - percent) / 100).cast("int") + 1 - alone
+    typical = F.aggregate("vs", F.lit(0.0), lambda t, x: t + F.log(x.getField("df"))) / F.col("n")
+    own = own.select("cid", "n", typical.alias("typical"), alone.alias("alone"), F.slice("vs.v", 1, F.greatest(F.lit(0), most)).alias("vs"))
+    own = own.select("cid", "n", "typical", "alone", "vs", F.posexplode("vs").alias("i", "region"))
+    pre = F.slice("vs", F.greatest(F.lit(1), F.col("i") - BEFORE + 1), F.least(F.col("i"), F.lit(BEFORE)))
+    return saved(own.select("region", "cid", "n", "typical", (F.col("alone") + F.col("i")).alias("pos"), pre.alias("pre")), "regions_rare_shingles")
+
+
+def _first_meeting(percent: int) -> Column:
+    """Pairs of a region of :func:`_rare_regions` that may be linked, if it is
+    the first of both: as many shingles as they must share have to follow.  A
+    rarer one that both have has brought the pair together already."""
+    room = F.least(F.col("nx") - F.col("posx"), F.col("ny") - F.col("posy"))
+    return (room * (100 + percent) >= (F.col("nx") + F.col("ny")) * percent) & ~F.arrays_overlap("prex", "prey")
+
+
 def _shingle_regions(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Regions of single shingles (region, cid, n) that hold two documents or
     more, of documents without a home, and pairs (cid, center): of the most

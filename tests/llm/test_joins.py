@@ -66,6 +66,37 @@ def test_linked_odd_documents(spark, odd, no_docs):
         jaccard_regions.linked(odd, percent=70)
 
 
+def test_far_copies_and_passages_make_few_pairs(spark, monkeypatch):
+    """Copies too far from each other for links, and documents of one passage:
+    the pairs to compare grow no faster than they do."""
+    found = []
+    cross = jaccard_regions._cross
+
+    def spy(members, key, percent, window=None):
+        out = cross(members, key, percent, window)
+        found.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_regions, "_cross", spy)
+    monkeypatch.setattr(jaccard_regions, "PIVOTS", 0)
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    base, passage = [word() for _ in range(150)], [word() for _ in range(60)]
+    texts = [" ".join(base)]
+    for _ in range(150):
+        copy = list(base)
+        for _ in range(rng.randint(0, 14)):
+            copy[rng.randrange(len(copy))] = word()
+        texts.append(" ".join(copy))
+    for _ in range(150):
+        texts.append(" ".join(passage + [word() for _ in range(rng.randint(20, 40))]))
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    got = jaccard_regions.linked(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == helpers.near_components(dict(rows), 5)
+    assert sum(found) < 3 * len(rows)
+
+
 def test_linked_documents_share_a_run():
     """Whatever 4 in 5 shared shingles: some run of them is unbroken."""
     rng = np.random.default_rng(5)
