@@ -149,8 +149,13 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def _across(members: DataFrame, key: str, extra: Column | None = None, percent: int = 80) -> DataFrame:
-    """Distinct pairs of members of a list (``key``) that lie in different
-    components and have sizes that allow a link.
+    """Distinct pairs of :func:`_meetings`."""
+    return _meetings(members, key, extra, percent).distinct()
+
+
+def _meetings(members: DataFrame, key: str, extra: Column | None, percent: int) -> DataFrame:
+    """Pairs of members of a list (``key``) that lie in different components
+    and have sizes that allow a link, once for each list where they meet.
 
     The list's largest component is never joined with itself: the other
     members meet all members."""
@@ -164,7 +169,7 @@ def _across(members: DataFrame, key: str, extra: Column | None = None, percent:
     cond = (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))) & _close(percent=percent)
     if extra is not None:
         cond = cond & extra
-    return x.alias("p").join(y.alias("q"), (F.col("p.k") == F.col("q.k")) & cond).select(*_ordered("x", "y")).distinct()
+    return x.alias("p").join(y.alias("q"), (F.col("p.k") == F.col("q.k")) & cond).select(*_ordered("x", "y"))
 
 
 def _rarity(sets: DataFrame) -> np.ndarray:
@@ -291,8 +296,9 @@ def _judged(docs: DataFrame, n: int, percent: int, id_col: str, text: str) -> Da
     links = saved(_confirmed(star, sets, percent), "neardup_links")
     comp = saved(components(links), "neardup_components")
 
-    placed = lists.join(comp.select(F.col("node").alias("cid"), "root"), "cid", "left").select("v", "cid", "n", "members", F.coalesce("root", "cid").alias("comp"))
-    short = _across(placed.where(F.col("members") <= LONG_LIST), "v", percent=percent)
+    placed = lists.join(comp.select(F.col("node").alias("cid"), "root"), "cid", "left").select("v", "cid", "n", "members", "pre", F.coalesce("root", "cid").alias("comp"))
+    # A list before this one that holds both has brought the pair together already, or is long and left to _far_apart.
+    short = _across(placed.where(F.col("members") <= LONG_LIST).drop("members"), "v", ~F.arrays_overlap("prex", "prey"), percent)
     more = _by_sketch(short, classes)
     long_lists = placed.where(F.col("members") > LONG_LIST)
     apart = long_lists.groupBy("v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("v")
@@ -318,7 +324,8 @@ def _judged(docs: DataFrame, n: int, percent: int, id_col: str, text: str) -> Da
 
 
 def _lists(classes: DataFrame) -> DataFrame:
-    """Inverted lists (v, cid, n, typical) of retained values.
+    """Inverted lists (v, cid, n, typical, pre) of retained values; ``pre``
+    holds the listed values of the sketch that come before, in one order for all.
 
     Two sketches that share at least SHARED values (in proportion for smaller
     sketches) also share one among the rarest size - SHARED + 1 of each, so
@@ -333,7 +340,8 @@ def _lists(classes: DataFrame) -> DataFrame:
     alone = F.col("s") - F.size("vs")
     typical = F.aggregate("vs", F.lit(0.0), lambda t, x: t + F.log(x.getField("df"))) / F.col("s")
     held = held.select("cid", "n", typical.alias("typical"), F.slice("vs", 1, F.greatest(F.lit(0), prefix - alone).cast("int")).alias("vs"))
-    return saved(held.select("cid", "n", "typical", F.explode("vs").alias("x")).select("cid", "n", "typical", F.col("x.v").alias("v")), "neardup_postings")
+    held = held.select("cid", "n", "typical", F.col("vs.v").alias("vs")).select("cid", "n", "typical", "vs", F.posexplode("vs").alias("i", "v"))
+    return saved(held.select("cid", "n", "typical", "v", F.slice("vs", F.lit(1), F.col("i")).alias("pre")), "neardup_postings")
 
 
 def deduplicated(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:

@@ -102,6 +102,25 @@ def test_near_duplicates_against_all_pairs(spark, monkeypatch, long_list, n, edi
     assert {i: r.component_id for i, r in got.items()} == helpers.near_components(dict(rows), n)
 
 
+def test_pairs_of_short_lists_meet_once(spark, monkeypatch):
+    """Two documents that share many lists are compared in the first of them only."""
+    found = []
+    meetings = bottomk_dedup._meetings
+
+    def spy(members, key, extra, percent):
+        out = meetings(members, key, extra, percent)
+        if key == "v":
+            found.append((out.count(), out.distinct().count()))
+        return out
+
+    monkeypatch.setattr(bottomk_dedup, "_meetings", spy)
+    rows = corpus(11, 90, 40, 9, 20)
+    got = by_id(bottomk_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), n=5))
+    assert {i: r.component_id for i, r in got.items()} == helpers.near_components(dict(rows), 5)
+    (made, pairs), = found
+    assert made == pairs > 0
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 5])
 def test_shingles_of_any_width(n):
     for t in ("a b a b a", "A b", "x", "", None, "\xa0 \x0b\x1c É é", "b a b a b c"):
