@@ -10,6 +10,8 @@ with one of them only, the most typical.  Most copies meet there.  What is
 then still apart, inside a list, is compared across components; members of
 very long lists are told apart by the rarest part of their full sets (exact
 prefix and position bounds) instead.
+
+Disk holds little more than the tables that later steps read: see ``_places``.
 """
 
 from __future__ import annotations
@@ -23,8 +25,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pipewatch.llm.common import saved
+from pipewatch.llm.common import dropped, saved, shuffles_dropped
 from pipewatch.llm.components import components
+from pipewatch.plans.keyfilter import key_filter, possible
 
 #: Hashes kept of each document.
 K = 32
@@ -32,7 +35,10 @@ K = 32
 #: similarity of 0.8 the number shared is 25.6 +- 2.3; fewer than 12 has a chance of about 1e-8.
 SHARED = 12
 #: Members of a list that are compared across components directly.
-LONG_LIST = 48
+LONG_LIST = 256
+#: Bits that mark the values of a sketch, as 64-bit numbers: a value sets the bit of its lowest digits.
+MARK_BITS = 256
+MARKS = [f"m{i}" for i in range(MARK_BITS // 64)]
 #: Bits kept of each member of a longer list, one for each of so many orders of its set (the last bit of the least
 #: number), and how many two members must have in common.  At a similarity of 0.8 they share 230 +- 5 of 256; fewer
 #: than 196 has a chance of about 1e-10.
@@ -77,9 +83,18 @@ def _lists_of(sets: Iterable[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *sets])))
 
 
+def _marks(sketches: list[np.ndarray]) -> list[pa.Array]:
+    """The columns MARKS of sketches."""
+    bits = np.zeros((len(sketches), MARK_BITS), np.uint8)
+    for at, sketch in zip(bits, sketches, strict=True):
+        at[sketch & (MARK_BITS - 1)] = 1
+    words = np.packbits(bits, axis=1).view(np.int64)
+    return [pa.array(words[:, i]) for i in range(len(MARKS))]
+
+
 def _sketches(docs: DataFrame, n: int) -> DataFrame:
     """doc_id, row (its number), th (hash of the text), n, k1, k2 (size and
-    name of the set) and sketch of every row."""
+    name of the set), sketch and its marks of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.xxhash64("text").alias("th"), "text")
 
@@ -93,11 +108,12 @@ def _sketches(docs: DataFrame, n: int) -> DataFrame:
                 sketches.append(h[:K].copy())
             k1, k2 = zip(*names, strict=True) if names else ((), ())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), b.column(2), pa.array(sizes, pa.int32()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), _lists_of(sketches)],
-                ["doc_id", "row", "th", "n", "k1", "k2", "sketch"],
+                [b.column(0), b.column(1), b.column(2), pa.array(sizes, pa.int32()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), _lists_of(sketches), *_marks(sketches)],
+                ["doc_id", "row", "th", "n", "k1", "k2", "sketch", *MARKS],
             )
 
-    return rows.mapInArrow(run, f"doc_id {kind}, row bigint, th bigint, n int, k1 bigint, k2 bigint, sketch array<bigint>")
+    marks = "".join(f", {m} bigint" for m in MARKS)
+    return rows.mapInArrow(run, f"doc_id {kind}, row bigint, th bigint, n int, k1 bigint, k2 bigint, sketch array<bigint>{marks}")
 
 
 def _same(x: str, y: str) -> Column:
@@ -109,6 +125,22 @@ def _close(na: str = "na", nb: str = "nb", percent: int = 80) -> Column:
     return (F.col(na) * 100 >= F.col(nb) * percent) & (F.col(nb) * 100 >= F.col(na) * percent)
 
 
+def _may_share(x: str = "x", y: str = "y", na: str = "na", nb: str = "nb") -> Column:
+    """Marks (MARKS with the ending ``x`` or ``y``) that do not rule out what :func:`_by_sketch` asks for.
+
+    A bit that only one sketch has is a value, or more, that the other has
+    not.  The values left bound those shared, and the union has as many as
+    the larger sketch at least: no pair that passes there is lost here."""
+    sizes = [F.least(F.col(c), F.lit(K)) for c in (na, nb)]
+    least = F.greatest(*sizes) * SHARED
+
+    def left(size: Column, mine: str, other: str) -> Column:
+        own = (F.bit_count(F.col(f"{m}{mine}").bitwiseAND(F.bitwise_not(F.col(f"{m}{other}")))) for m in MARKS)
+        return (size - sum(own, F.lit(0))) * K >= least
+
+    return left(sizes[0], x, y) & left(sizes[1], y, x)
+
+
 def _by_sketch(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs (a < b, distinct) whose union sketch shares enough."""
     side = lambda x: classes.select(F.col("cid").alias(x), F.col("sketch").alias(f"s{x}"))
@@ -121,9 +153,12 @@ def _by_sketch(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """``cid`` and full ``set`` of the classes ``wanted`` (cid, at, th),
     shingled again from the texts of their first rows.  Ids that repeat with
-    the same text give a class more than once, which does no harm."""
+    the same text give a class more than once, which does no harm.  A filter
+    of their keys keeps other texts out of the join's shuffle."""
+    wanted = saved(wanted.select("cid", "at", "th"), "neardup_wanted")
+    some = possible(docs, F.xxhash64("doc_id", F.xxhash64("text")), key_filter(wanted, F.xxhash64("at", "th"), wanted.count()))
     here = F.col("doc_id").eqNullSafe(F.col("at")) & (F.xxhash64("text") == F.col("th"))
-    texts = docs.join(wanted.select("cid", "at", "th"), here).select("cid", "text")
+    texts = some.join(wanted, here).select("cid", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -148,28 +183,32 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
 
 
-def _across(members: DataFrame, key: str, extra: Column | None = None, percent: int = 80) -> DataFrame:
-    """Distinct pairs of :func:`_meetings`."""
-    return _meetings(members, key, extra, percent).distinct()
+def _open(members: DataFrame, key: str) -> DataFrame:
+    """The ``members`` (cid, comp, ...) of lists (``key``) that lie in more
+    than one component; ``apart`` tells those that lie outside the list's
+    largest one."""
+    count = members.groupBy(key, "comp").agg(F.count("*").alias("c"))
+    main = count.groupBy(key).agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("comps")).where("comps > 1")
+    main = saved(main.select(F.col(key).alias("main_key"), F.col("m.comp").alias("main")), "neardup_main")
+    held = members.join(main, F.col(key) == F.col("main_key")).withColumn("apart", F.col("comp") != F.col("main")).drop("main_key", "main")
+    held = saved(held, "neardup_lists")
+    dropped(main)
+    return held
 
 
-def _meetings(members: DataFrame, key: str, extra: Column | None, percent: int) -> DataFrame:
-    """Pairs of members of a list (``key``) that lie in different components
-    and have sizes that allow a link, once for each list where they meet.
+def _meetings(members: DataFrame, key: str, extra: Column, percent: int) -> DataFrame:
+    """Pairs of members (of :func:`_open`) of a list (``key``) that lie in
+    different components, have sizes that allow a link and satisfy ``extra``,
+    once for each list where they meet.
 
     The list's largest component is never joined with itself: the other
     members meet all members."""
-    count = members.groupBy(key, "comp").agg(F.count("*").alias("c"))
-    main = count.groupBy(key).agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("comps")).where("comps > 1")
-    main = saved(main.select(F.col(key).alias("main_key"), F.col("m.comp").alias("main")), "neardup_main")
-    held = saved(members.join(main, F.col(key) == F.col("main_key")).drop("main_key"), "neardup_lists")
-    carried = [c for c in members.columns if c in ("pos", "pre") or c.startswith("bit")]
-    x = held.where("comp != main").select(F.col(key).alias("k"), F.col("cid").alias("x"), F.col("n").alias("na"), F.col("comp").alias("cx"), *[F.col(c).alias(f"{c}x") for c in carried])
-    y = held.select(F.col(key).alias("k"), F.col("cid").alias("y"), F.col("n").alias("nb"), F.col("comp").alias("cy"), "main", *[F.col(c).alias(f"{c}y") for c in carried])
-    cond = (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))) & _close(percent=percent)
-    if extra is not None:
-        cond = cond & extra
-    return x.alias("p").join(y.alias("q"), (F.col("p.k") == F.col("q.k")) & cond).select(*_ordered("x", "y"))
+    carried = [c for c in members.columns if c in ("pos", "pre", *MARKS) or c.startswith("bit")]
+    side = lambda x, n: members.select(F.col(key).alias(f"k{x}"), F.col("cid").alias(x), F.col("n").alias(n), F.col("comp").alias(f"c{x}"), F.col("apart").alias(f"apart{x}"), *[F.col(c).alias(f"{c}{x}") for c in carried])
+    # One condition over both sides, not a filter of one: both then read the same shuffle, which is written once.
+    once = F.when(F.col("aparty"), F.col("apartx") & (F.col("x") < F.col("y"))).otherwise(F.col("apartx"))
+    cond = (F.col("cx") != F.col("cy")) & once & _close(percent=percent) & extra
+    return side("x", "na").join(side("y", "nb"), (F.col("kx") == F.col("ky")) & cond).select(*_ordered("x", "y"))
 
 
 def _rarity(sets: DataFrame) -> np.ndarray:
@@ -237,7 +276,11 @@ def _far_apart(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     # An element that both have before this one has brought the pair together already.
     first = ~F.arrays_overlap("prex", "prey")
     differ = sum((F.bit_count(F.col(f"bit{i}_x").bitwiseXOR(F.col(f"bit{i}_y"))) for i in range(LONG_BITS // 64)), F.lit(0))
-    return _across(rows, "e", (room * (100 + percent) >= (F.col("na") + F.col("nb")) * percent) & first & (differ <= LONG_BITS - LONG_SHARED), percent)
+    held = _open(rows, "e")
+    dropped(rows)
+    pairs = saved(_meetings(held, "e", (room * (100 + percent) >= (F.col("na") + F.col("nb")) * percent) & first & (differ <= LONG_BITS - LONG_SHARED), percent).distinct(), "neardup_far_pairs")
+    dropped(held)
+    return pairs
 
 
 _ORDERS = np.random.default_rng(1).integers(0, 2**63, LONG_BITS, dtype=np.uint64)[:, None]
@@ -277,32 +320,53 @@ def _judged(docs: DataFrame, n: int, percent: int, id_col: str, text: str) -> Da
     if percent < 80:
         raise ValueError("the sketch bounds hold for similarities of 0.8 or more")
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    with shuffles_dropped(docs.sparkSession):
+        return _places(docs, n, percent)
+
+
+def _places(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The result of :func:`_judged` for ``docs`` (doc_id, text).  Each table
+    is dropped when what is made from it has been written."""
     each = saved(_sketches(docs, n), "neardup_docs")
 
     key = ["n", "k1", "k2"]
     per = saved(each.where("n > 0").groupBy(*key).agg(F.min("row").alias("cid"), F.min("doc_id").alias("rep")), "neardup_classes")
     # A class's sketch and place are those of its first row.
-    classes = saved(per.join(each.select(F.col("row").alias("cid"), F.col("doc_id").alias("at"), "th", "sketch"), "cid"), "neardup_sketches")
-
-    lists = _lists(classes)
-    centers = lists.groupBy("v").agg(F.max(F.struct("typical", (-F.col("cid")).alias("c"))).alias("best"), F.count("*").alias("members"))
-    centers = saved(centers.where("members > 1").select("v", (-F.col("best.c")).alias("center"), "members"), "neardup_centers")
-    lists = saved(lists.join(centers, "v"), "neardup_members")
-
-    size = classes.select(F.col("cid").alias("center"), F.col("n").alias("nb"))
-    star = lists.where("cid != center").select("cid", "center", F.col("n").alias("na")).distinct().join(size, "center")
-    star = saved(_by_sketch(star.where(_close(percent=percent)).select(*_ordered("cid", "center")).distinct(), classes), "neardup_star")
+    classes = per.select("cid", "n").join(each.select(F.col("row").alias("cid"), F.col("doc_id").alias("at"), "th", "sketch", *MARKS), "cid")
+    classes = saved(classes, "neardup_sketches")
+    rows = saved(each.select("doc_id", "row", "th", *key), "neardup_rows")
+    dropped(each)
+
+    postings = _lists(classes)
+    lists = postings.select("cid", "n", "typical", *MARKS, F.explode("vs").alias("v"))
+    best = F.max(F.struct("typical", (-F.col("cid")).alias("c"), "n", *MARKS)).alias("best")
+    centers = lists.groupBy("v").agg(best, F.count("*").alias("members")).where("members > 1")
+    centers = saved(centers.select("v", (-F.col("best.c")).alias("center"), F.col("best.n").alias("nb"), *[F.col(f"best.{m}").alias(f"{m}c") for m in MARKS], "members"), "neardup_centers")
+    # Members that may be linked to the center are near.
+    near = (F.col("cid") != F.col("center")) & _close("n", "nb", percent) & _may_share("", "c", "n", "nb")
+    lists = saved(lists.join(centers, "v").select("v", "cid", "n", "members", "center", near.alias("near")), "neardup_members")
+    dropped(centers)
+
+    star = lists.where("near").select(*_ordered("cid", "center")).distinct()
+    star = saved(_by_sketch(star, classes), "neardup_star")
     sets = saved(_sets(docs, _ends(star).join(classes, "cid"), n), "neardup_sets")
     links = saved(_confirmed(star, sets, percent), "neardup_links")
     comp = saved(components(links), "neardup_components")
 
-    placed = lists.join(comp.select(F.col("node").alias("cid"), "root"), "cid", "left").select("v", "cid", "n", "members", "pre", F.coalesce("root", "cid").alias("comp"))
+    placed = lists.join(comp.select(F.col("node").alias("cid"), "root"), "cid", "left").select("v", "cid", "n", "members", F.coalesce("root", "cid").alias("comp"))
+    placed = saved(placed, "neardup_placed")
+    dropped(lists)
+    open_ = _open(placed.where(F.col("members") <= LONG_LIST).drop("members"), "v")
     # A list before this one that holds both has brought the pair together already, or is long and left to _far_apart.
-    short = _across(placed.where(F.col("members") <= LONG_LIST).drop("members"), "v", ~F.arrays_overlap("prex", "prey"), percent)
-    more = _by_sketch(short, classes)
+    carried = postings.select("cid", *MARKS, "vs")
+    short = open_.join(carried, "cid").withColumn("pre", F.slice("vs", F.lit(1), F.array_position("vs", F.col("v")).cast("int") - 1)).drop("vs")
+    short = _meetings(short, "v", _may_share() & ~F.arrays_overlap("prex", "prey"), percent).distinct()
+    more = saved(_by_sketch(short, classes), "neardup_short")
+    dropped(open_, postings)
     long_lists = placed.where(F.col("members") > LONG_LIST)
-    apart = long_lists.groupBy("v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("v")
-    far = saved(long_lists.join(saved(apart, "neardup_apart"), "v").select("cid", "n", "comp").distinct(), "neardup_far")
+    apart = saved(long_lists.groupBy("v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("v"), "neardup_apart")
+    far = saved(long_lists.join(apart, "v").select("cid", "n", "comp").distinct(), "neardup_far")
+    dropped(placed)
     if not far.isEmpty():
         far_sets = saved(_sets(docs, far.select("cid").join(classes, "cid"), n), "neardup_far_sets")
         more = more.unionByName(_far_apart(far_sets, far, percent)).distinct()
@@ -312,7 +376,7 @@ def _judged(docs: DataFrame, n: int, percent: int, id_col: str, text: str) -> Da
         if not far.isEmpty():
             sets = sets.unionByName(far_sets.join(sets.select("cid"), "cid", "left_anti"))
             new = new.join(far.select("cid"), "cid", "left_anti")
-        sets = saved(sets.unionByName(_sets(docs, new.join(classes, "cid"), n)), "neardup_all_sets")
+        sets = sets.unionByName(saved(_sets(docs, new.join(classes, "cid"), n), "neardup_new_sets"))
         new = saved(_confirmed(more, sets, percent), "neardup_more_links")
         if not new.isEmpty():
             comp = saved(components(links.unionByName(new)), "neardup_components")
@@ -320,28 +384,31 @@ def _judged(docs: DataFrame, n: int, percent: int, id_col: str, text: str) -> Da
     found = per.join(comp.select(F.col("node").alias("cid"), "root"), "cid", "left").select(*key, "rep", F.coalesce("root", "cid").alias("root"))
     least = saved(found.groupBy("root").agg(F.min("rep").alias("component_id")), "neardup_least")
     found = saved(found.join(least, "root").select(*key, "root", "component_id"), "neardup_found")
-    return each.select("doc_id", "row", "th", *key).join(found, key, "left").drop("k1", "k2")
+    dropped(classes, per, least)
+    return rows.join(found, key, "left").drop("k1", "k2")
 
 
 def _lists(classes: DataFrame) -> DataFrame:
-    """Inverted lists (v, cid, n, typical, pre) of retained values; ``pre``
-    holds the listed values of the sketch that come before, in one order for all.
+    """What each sketch puts into inverted lists of retained values: cid, n,
+    its marks, typical and ``vs``, its listed values in one order for all.
 
     Two sketches that share at least SHARED values (in proportion for smaller
     sketches) also share one among the rarest size - SHARED + 1 of each, so
     only those are listed; values of a single sketch need no list.
     ``typical`` is high for sketches of frequent values: a copy with odd
     words of its own is less typical than what it was copied from."""
-    values = classes.select("cid", "n", F.size("sketch").alias("s"), F.explode("sketch").alias("v"))
+    values = classes.select("cid", F.explode("sketch").alias("v"))
     often = saved(values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"), "neardup_values")
-    held = values.join(often, "v").groupBy("cid", "n", "s").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))
+    held = values.join(often, "v").groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))
+    held = held.join(classes.select("cid", "n", F.least(F.col("n"), F.lit(K)).alias("s"), *MARKS), "cid")
     least = F.ceil(F.col("s") * SHARED / K)
     prefix = F.col("s") - F.greatest(F.lit(1), least) + 1
     alone = F.col("s") - F.size("vs")
     typical = F.aggregate("vs", F.lit(0.0), lambda t, x: t + F.log(x.getField("df"))) / F.col("s")
-    held = held.select("cid", "n", typical.alias("typical"), F.slice("vs", 1, F.greatest(F.lit(0), prefix - alone).cast("int")).alias("vs"))
-    held = held.select("cid", "n", "typical", F.col("vs.v").alias("vs")).select("cid", "n", "typical", "vs", F.posexplode("vs").alias("i", "v"))
-    return saved(held.select("cid", "n", "typical", "v", F.slice("vs", F.lit(1), F.col("i")).alias("pre")), "neardup_postings")
+    held = held.select("cid", "n", *MARKS, typical.alias("typical"), F.slice("vs", 1, F.greatest(F.lit(0), prefix - alone).cast("int")).alias("vs"))
+    held = saved(held.select("cid", "n", *MARKS, "typical", F.col("vs.v").alias("vs")).where(F.size("vs") > 0), "neardup_postings")
+    dropped(often)
+    return held
 
 
 def deduplicated(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
