@@ -35,7 +35,9 @@ K = 32
 #: similarity of 0.8 the number shared is 25.6 +- 2.3; fewer than 12 has a chance of about 1e-8.
 SHARED = 12
 #: Members of a list that are compared across components directly.
-LONG_LIST = 256
+LONG_LIST = 48
+#: Members of a longer list that need not be told apart by their full sets unless the marks of another member leave a link possible.
+MARKED_LIST = 256
 #: Bits that mark the values of a sketch, as 64-bit numbers: a value sets the bit of its lowest digits.
 MARK_BITS = 256
 MARKS = [f"m{i}" for i in range(MARK_BITS // 64)]
@@ -362,11 +364,11 @@ def _places(docs: DataFrame, n: int, percent: int) -> DataFrame:
     short = open_.join(carried, "cid").withColumn("pre", F.slice("vs", F.lit(1), F.array_position("vs", F.col("v")).cast("int") - 1)).drop("vs")
     short = _meetings(short, "v", _may_share() & ~F.arrays_overlap("prex", "prey"), percent).distinct()
     more = saved(_by_sketch(short, classes), "neardup_short")
-    dropped(open_, postings)
+    dropped(open_)
     long_lists = placed.where(F.col("members") > LONG_LIST)
     apart = saved(long_lists.groupBy("v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("v"), "neardup_apart")
-    far = saved(long_lists.join(apart, "v").select("cid", "n", "comp").distinct(), "neardup_far")
-    dropped(placed)
+    far = saved(_far(long_lists.join(apart, "v"), postings, percent).distinct(), "neardup_far")
+    dropped(placed, postings)
     if not far.isEmpty():
         far_sets = saved(_sets(docs, far.select("cid").join(classes, "cid"), n), "neardup_far_sets")
         more = more.unionByName(_far_apart(far_sets, far, percent)).distinct()
@@ -388,6 +390,18 @@ def _places(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return rows.join(found, key, "left").drop("k1", "k2")
 
 
+def _far(members: DataFrame, postings: DataFrame, percent: int) -> DataFrame:
+    """The ``members`` (v, cid, n, members, comp) of long lists that have to
+    be told apart by their full sets: all of the longest lists; of the others
+    those that some member of another component may be linked to, which its
+    marks tell without making the pair."""
+    marked = members.where(F.col("members") <= MARKED_LIST).join(postings.select("cid", *MARKS), "cid")
+    side = lambda x, n: marked.select(F.col("v").alias(f"k{x}"), F.col("cid").alias(x), F.col("n").alias(n), F.col("comp").alias(f"c{x}"), *[F.col(m).alias(f"{m}{x}") for m in MARKS])
+    alike = (F.col("kx") == F.col("ky")) & (F.col("cx") != F.col("cy")) & _close(percent=percent) & _may_share()
+    alike = side("x", "na").join(side("y", "nb"), alike, "left_semi").select(F.col("x").alias("cid"), F.col("na").alias("n"), F.col("cx").alias("comp"))
+    return alike.unionByName(members.where(F.col("members") > MARKED_LIST).select("cid", "n", "comp"))
+
+
 def _lists(classes: DataFrame) -> DataFrame:
     """What each sketch puts into inverted lists of retained values: cid, n,
     its marks, typical and ``vs``, its listed values in one order for all.
